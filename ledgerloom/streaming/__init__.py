@@ -1,0 +1,7 @@
+"""Streaming use.
+
+The pipeline this package covers is batch only, so there are no streaming
+operators. The row rules (``quality.rules``) and the scalar functions
+(``functions``) are stateless column expressions and work on a streaming
+DataFrame as they are; ``tests/test_streaming.py`` keeps that true.
+"""
