@@ -12,7 +12,7 @@ from ledgerloom.plans import warehouse
 from ledgerloom.plans.features import CHILDREN, KEY, enrich
 from ledgerloom.quality import checks
 from ledgerloom.quality.suite import WAREHOUSE_SUITES, Expectation, evaluate_all, require_success
-from ledgerloom.quality.validators import TABLES, store_staging, validate_and_store
+from ledgerloom.quality.validators import TABLES, numbers_from_text, store_staging, validate_and_store
 from ledgerloom.sources.tables import Lake, land
 
 
@@ -50,14 +50,15 @@ def run(
         silver[table] = products[f"silver.{table}"] = checked.valid
         products[f"quarantine.{table}_rejects"] = checked.rejects
 
-    enriched = enrich(silver["application_train"], {name: silver[name] for name in CHILDREN})
+    numeric = {name: numbers_from_text(df, name) for name, df in silver.items()}
+    enriched = enrich(numeric["application_train"], {name: numeric[name] for name in CHILDREN})
     staged = store_staging(lake, enriched)
     products["staging.stg_loan_application_enriched"] = staged.valid
     products["quarantine.stg_loan_application_enriched_rejects"] = staged.rejects
     if strict:
         checks.staging_gate(staged.valid, KEY)
 
-    source = raw if from_raw else silver
+    source = raw if from_raw else numeric
     applications = warehouse.stg_applications(source["application_train"])
     bureau = warehouse.stg_bureau(source["bureau"])
     models = {

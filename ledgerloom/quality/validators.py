@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ledgerloom.functions.columns import as_column
 from ledgerloom.quality.rules import (
@@ -158,6 +159,18 @@ def validate(df: DataFrame, table: str, retype_all: bool = False) -> Checked:
     return Checked(_typed(valid, table, retype_all), rejects)
 
 
+def numbers_from_text(df: DataFrame, table: str) -> DataFrame:
+    """A validated table with its checked columns as numbers where they are still text.
+
+    Keys such as ' 7' and '7.0' are the same number only then.
+    """
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    types = TYPES[table]
+    return df.select(
+        *[CASTS[types[n]](n).alias(n) if n in types and n in texts else as_column(n) for n in df.columns]
+    )
+
+
 def validate_staging(df: DataFrame) -> Checked:
     return Checked(*split(tag(df, STAGING_RULES)))
 
