@@ -1,29 +1,59 @@
-"""Casts that give NULL instead of an error for text that is no number."""
+"""Casts that give NULL for text that is no number.
+
+Text is matched against a pattern before it is converted. ``try_cast`` alone
+gives the same result but raises and catches an exception inside the JVM for
+every bad value, which makes a dirty table some twenty times slower to check
+than a clean one. Columns that are numbers already skip all of this.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    NumericType,
+    ShortType,
+    StringType,
+)
 
 from ledgerloom.functions.columns import as_column
 
 # Integer text may carry a fraction, which is cut off: "12.7" counts as 12.
-INTEGER_TEXT = r"^([+-]?[0-9]+)([.][0-9]*)?$"
+INTEGER_TEXT = r"^\s*([+-]?[0-9]+)([.][0-9]*)?\s*$"
+DOUBLE_TEXT = (
+    r"(?i)^\s*[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?[fd]?|inf|infinity|nan)\s*$"
+)
+INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
 
-def as_integer(value: str | Column, from_text: bool = True) -> Column:
-    """Cast to int; NULL for anything that is no number or does not fit.
+def as_integer(value: str | Column, data_type: DataType | None = None) -> Column:
+    """As int; NULL for anything that is no whole number or does not fit.
 
-    The regular expression only runs for the text the plain cast refuses.
+    ``data_type`` is the type of the value, text unless given.
     """
     value = as_column(value)
-    plain = value.try_cast("int")
-    if not from_text:
-        return plain
-    whole_part = F.regexp_extract(F.trim(value.cast("string")), INTEGER_TEXT, 1)
-    return F.coalesce(plain, whole_part.try_cast("int"))
-
-
-def as_double(value: str | Column) -> Column:
-    """Cast to double; NULL for text that is no number."""
-    return as_column(value).try_cast("double")
+    if isinstance(data_type, (ByteType, ShortType, IntegerType)):
+        return value.cast("int")
+    if isinstance(data_type, (LongType, FloatType, DoubleType, DecimalType)):
+        return F.when(value.between(INT_MIN, INT_MAX), value.cast("int"))
+    if data_type is not None and not isinstance(data_type, StringType):
+        return value.try_cast("int")
+    digits = F.regexp_extract_all(value.cast("string"), F.lit(INTEGER_TEXT), F.lit(1))
+    return F.get(digits, F.lit(0)).try_cast("int")
+
+
+def as_double(value: str | Column, data_type: DataType | None = None) -> Column:
+    """As double; NULL for text that is no number."""
+    value = as_column(value)
+    if isinstance(data_type, NumericType):
+        return value.cast("double")
+    if data_type is not None and not isinstance(data_type, StringType):
+        return value.try_cast("double")
+    return F.when(value.cast("string").rlike(DOUBLE_TEXT), value.try_cast("double"))

@@ -10,17 +10,16 @@ from pyspark.sql.types import StringType
 
 from ledgerloom.functions.columns import as_column
 from ledgerloom.quality.rules import (
-    CASTS,
     REASON,
     Rule,
+    Tagged,
     castable,
     in_set,
     non_negative,
     not_null,
     positive,
-    retype,
-    split,
     tag,
+    with_numbers,
 )
 from ledgerloom.sources.tables import Lake
 
@@ -149,14 +148,19 @@ class Checked:
     rejects: DataFrame
 
 
-def _typed(valid: DataFrame, table: str, retype_all: bool) -> DataFrame:
-    return retype(valid, TYPES[table]) if retype_all or table in RETYPED else valid
-
-
 def validate(df: DataFrame, table: str, retype_all: bool = False) -> Checked:
     """Valid and rejected rows of a raw table; every row is in exactly one of them."""
-    valid, rejects = split(tag(df, RULES[table]))
-    return Checked(_typed(valid, table, retype_all), rejects)
+    tagged = tag(df, RULES[table], TYPES[table])
+    return Checked(tagged.valid(retype_all or table in RETYPED), tagged.rejects())
+
+
+def validate_staging(df: DataFrame) -> Checked:
+    tagged = tag(df, STAGING_RULES, {})
+    return Checked(tagged.valid(), tagged.rejects())
+
+
+def reason_counts(rejects: DataFrame) -> DataFrame:
+    return rejects.groupBy(REASON).agg(F.count(F.lit(1)).alias("num_rows"))
 
 
 def numbers_from_text(df: DataFrame, table: str) -> DataFrame:
@@ -165,18 +169,9 @@ def numbers_from_text(df: DataFrame, table: str) -> DataFrame:
     Keys such as ' 7' and '7.0' are the same number only then.
     """
     texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
-    types = TYPES[table]
-    return df.select(
-        *[CASTS[types[n]](n).alias(n) if n in types and n in texts else as_column(n) for n in df.columns]
-    )
-
-
-def validate_staging(df: DataFrame) -> Checked:
-    return Checked(*split(tag(df, STAGING_RULES)))
-
-
-def reason_counts(rejects: DataFrame) -> DataFrame:
-    return rejects.groupBy(REASON).agg(F.count(F.lit(1)).alias("num_rows"))
+    types = {name: to for name, to in TYPES[table].items() if name in texts}
+    rows, numbers = with_numbers(df, types)
+    return rows.select(*[numbers[n].alias(n) if n in numbers else as_column(n) for n in df.columns])
 
 
 def validate_and_store(lake: Lake, df: DataFrame, table: str, retype_all: bool = False) -> Checked:
@@ -187,30 +182,34 @@ def validate_and_store(lake: Lake, df: DataFrame, table: str, retype_all: bool =
     are always replaced. Lakes with a catalog get the views ``silver.<table>``
     and ``quarantine.<table>_rejects``.
     """
-    return _store(lake, df, table, RULES[table], "silver", TYPES[table] if retype_all or table in RETYPED else {})
+    tagged = tag(df, RULES[table], TYPES[table])
+    return _store(lake, tagged, table, "silver", retype_all or table in RETYPED)
 
 
 def store_staging(lake: Lake, df: DataFrame, table: str = "stg_loan_application_enriched") -> Checked:
     """The same for the staging table, under ``staging.<table>``."""
-    return _store(lake, df, table, STAGING_RULES, "staging", {})
+    return _store(lake, tag(df, STAGING_RULES, {}), table, "staging", False)
 
 
-def _store(
-    lake: Lake, df: DataFrame, table: str, rules: list[Rule], layer: str, types: dict[str, str]
-) -> Checked:
-    typed = {f"_typed_{name}": CASTS[to](name) for name, to in types.items()}
-    tagged = tag(df, rules).withColumns({**typed, SIDE: F.col(REASON).isNotNull()})
-    lake.write(tagged, "checked", table, partition_by=[SIDE])
+def _store(lake: Lake, tagged: Tagged, table: str, layer: str, retyped: bool) -> Checked:
+    kept = [(name, name) for name in tagged.columns]
+    typed = {name: f"_{name}" for name in tagged.numbers} if retyped else {}
+    rows = tagged.rows.select(
+        *tagged.shown(False),
+        *[tagged.numbers[name].alias(stored) for name, stored in typed.items()],
+        REASON,
+        F.col(REASON).isNotNull().alias(SIDE),
+    )
+    lake.write(rows, "checked", table, partition_by=[SIDE])
 
-    kept = [(name, name) for name in df.columns]
-    valid = [pair for pair in kept if pair[0] not in types] + [(f"_typed_{name}", name) for name in types]
+    valid = [pair for pair in kept if pair[0] not in typed] + [(stored, name) for name, stored in typed.items()]
     rejects = [*kept, (REASON, REASON)]
     if lake.catalog:
         source = ("checked", table)
         lake.create_view(layer, table, source, valid, f"NOT {SIDE}")
         lake.create_view("quarantine", f"{table}_rejects", source, rejects, SIDE)
     # the schema is given because an empty side has no files to take it from
-    stored = lake.spark.read.schema(tagged.schema).parquet(lake.path("checked", table))
+    stored = lake.spark.read.schema(rows.schema).parquet(lake.path("checked", table))
 
     def shown(condition: Column, names: list[tuple[str, str]]) -> DataFrame:
         return stored.filter(condition).select(*[as_column(old).alias(new) for old, new in names])

@@ -17,6 +17,10 @@ def cents(column: str) -> str:
     return f"CAST(round({column} * 100) AS BIGINT)"
 
 
+def whole(column: str) -> str:
+    return f"CAST(floor({column}) AS BIGINT)"
+
+
 def as_int(expression: str) -> str:
     return f"CAST({expression} AS INT)"
 
@@ -148,8 +152,8 @@ DIRTY: dict[str, tuple[str, dict[str, str]]] = {
                 "CASE WHEN c_custkey % 59 = 0 THEN NULL WHEN c_custkey % 61 = 0 THEN 'X' "
                 "WHEN c_custkey % 3 = 0 THEN 'M' WHEN c_custkey % 3 = 1 THEN 'F' ELSE 'XNA' END"
             ),
-            "AMT_INCOME_TOTAL": dirty_amount("c_custkey", f"{cents('c_acctbal')} + 100000", 67, 71, 73),
-            "AMT_CREDIT": dirty_amount("c_custkey", cents("c_acctbal"), 79, 83, 89),
+            "AMT_INCOME_TOTAL": dirty_amount("c_custkey", f"{whole('c_acctbal')} + 1000", 67, 71, 73),
+            "AMT_CREDIT": dirty_amount("c_custkey", whole("c_acctbal"), 79, 83, 89),
             "AMT_ANNUITY": dirty_amount("c_custkey", "c_custkey % 1000", 97, 29, 101),
             "AMT_GOODS_PRICE": dirty_amount("c_custkey", "c_custkey % 777", 103, 23, 107),
         },
@@ -160,7 +164,7 @@ DIRTY: dict[str, tuple[str, dict[str, str]]] = {
             "SK_ID_CURR": dirty_int("o_orderkey", "o_custkey", 37, 41),
             "SK_ID_BUREAU": dirty_int("o_orderkey", "o_orderkey", 43, 47),
             "CREDIT_ACTIVE": "o_orderstatus",
-            "AMT_CREDIT_SUM": dirty_amount("o_orderkey", cents("o_totalprice"), 53, 59, 61),
+            "AMT_CREDIT_SUM": dirty_amount("o_orderkey", whole("o_totalprice"), 53, 59, 61),
             "CREDIT_DAY_OVERDUE": dirty_amount("o_orderkey", "o_orderkey % 50", 67, 71, 73),
         },
     ),
@@ -177,8 +181,8 @@ DIRTY: dict[str, tuple[str, dict[str, str]]] = {
         {
             "SK_ID_PREV": dirty_int("o_orderkey", "o_orderkey", 37, 41),
             "SK_ID_CURR": dirty_int("o_custkey", "o_custkey", 43, 47),
-            "AMT_APPLICATION": dirty_amount("o_orderkey", cents("o_totalprice"), 53, 59, 61),
-            "AMT_CREDIT": dirty_amount("o_orderkey", f"{cents('o_totalprice')} * 9", 67, 71, 73),
+            "AMT_APPLICATION": dirty_amount("o_orderkey", whole("o_totalprice"), 53, 59, 61),
+            "AMT_CREDIT": dirty_amount("o_orderkey", f"{whole('o_totalprice')} * 9", 67, 71, 73),
         },
     ),
     "pos_cash_balance": (
@@ -187,7 +191,7 @@ DIRTY: dict[str, tuple[str, dict[str, str]]] = {
             "SK_ID_PREV": dirty_int("event_id", "event_id", 37, 41),
             "SK_ID_CURR": dirty_int("user_id", "user_id", 43, 47),
             "MONTHS_BALANCE": dirty_int("event_id", "(0 - event_id % 12)", 53, 59),
-            "SK_DPD": dirty_amount("event_id", cents("value"), 61, 67, 71),
+            "SK_DPD": dirty_amount("event_id", whole("value"), 61, 67, 71),
         },
     ),
     "installments_payments": (
@@ -195,8 +199,8 @@ DIRTY: dict[str, tuple[str, dict[str, str]]] = {
         {
             "SK_ID_PREV": dirty_int("l_orderkey", "l_orderkey", 37, 41),
             "SK_ID_CURR": dirty_int("l_partkey", "l_partkey", 43, 47),
-            "AMT_PAYMENT": dirty_amount("l_orderkey", cents("l_extendedprice"), 53, 59, 61),
-            "AMT_INSTALMENT": dirty_amount("l_partkey", f"{cents('l_extendedprice')} + 100", 67, 71, 73),
+            "AMT_PAYMENT": dirty_amount("l_orderkey", whole("l_extendedprice"), 53, 59, 61),
+            "AMT_INSTALMENT": dirty_amount("l_partkey", f"{whole('l_extendedprice')} + 100", 67, 71, 73),
         },
     ),
     "credit_card_balance": (
@@ -205,7 +209,7 @@ DIRTY: dict[str, tuple[str, dict[str, str]]] = {
             "SK_ID_PREV": dirty_int("event_id", "event_id", 37, 41),
             "SK_ID_CURR": dirty_int("user_id", "user_id", 43, 47),
             "MONTHS_BALANCE": dirty_int("event_id", "(0 - event_id % 24)", 53, 59),
-            "AMT_BALANCE": dirty_amount("event_id", cents("value"), 61, 67, 71),
+            "AMT_BALANCE": dirty_amount("event_id", whole("value"), 61, 67, 71),
         },
     ),
 }
