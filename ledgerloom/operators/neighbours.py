@@ -9,8 +9,9 @@ before the shuffle, so a value held by a third of all rows is one combination.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from math import ceil, isqrt
+from functools import reduce
+from math import ceil
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,36 +43,35 @@ def adjacent(
     samples range boundaries. The boundaries only steer the balance: any choice
     gives the same result.
     """
-    rows = df.select(
-        *[c.alias(name) for name, c in {**group, **order}.items()],
-        _sort_key(list(group.values()), list(order.values())).alias("_key"),
-    )
-    rows = rows.withColumn("_range", _range_number(rows, rows_per_range))
-    names = [*group, *order]
-    distinct = rows.groupBy("_range", "_key").agg(
-        F.count(F.lit(1)).alias("copies"), *[F.first(name).alias(name) for name in names]
-    )
+    rows = df.select(_sort_key(list(group.values()), list(order.values())).alias("_key"))
+    distinct = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("copies"))
+    boundaries = _boundaries(rows, rows_per_range)
+    distinct = distinct.withColumn("_range", _range_number(boundaries, rows))
 
-    by_key = Window.partitionBy("_range").orderBy("_key")
     step = F.lead if following else F.lag
-    values = F.struct("_key", *names)
-    within = distinct.withColumn("_near", step(values).over(by_key))
-
-    # one row per range, at most MAX_RANGES: the combination facing the neighbouring range
-    edge = (F.min if following else F.max)(values)
-    edges = distinct.groupBy("_range").agg(edge.alias("_edge"), F.sum("copies").alias("_rows"))
-    edges = edges.filter("_rows > 0").select(
-        "_range", step("_edge").over(Window.orderBy("_range")).alias("_carried")
+    by_key = Window.partitionBy("_range").orderBy("_key")
+    found = distinct.withColumn("_near", step("_key").over(by_key))
+    if boundaries:
+        # one row per range, at most MAX_RANGES: the key facing the neighbouring range
+        edge = (F.min if following else F.max)("_key")
+        edges = distinct.groupBy("_range").agg(edge.alias("_edge"), F.sum("copies").alias("_rows"))
+        # the count is only used so that both branches read the same shuffled groups
+        edges = edges.filter("_rows > 0").select(
+            "_range", step("_edge").over(Window.orderBy("_range")).alias("_carried")
+        )
+        found = found.join(F.broadcast(edges), "_range", "left")
+        found = found.withColumn("_near", F.coalesce("_near", "_carried"))
+
+    near, groups, orders = F.col("_near"), range(len(group)), range(len(order))
+    same_group = reduce(
+        and_, [near[f"g{i}"].eqNullSafe(F.col("_key")[f"g{i}"]) for i in groups], near.isNotNull()
     )
-
-    near = F.coalesce(F.col("_near"), F.col("_carried"))
-    same_group = F.lit(True)
-    for name in group:
-        same_group = same_group & near[name].eqNullSafe(F.col(name))
-    neighbour = F.struct(*[near[name].alias(name) for name in order])
-    joined = within.join(F.broadcast(edges), "_range", "left")
-    return joined.select(
-        *names, "copies", F.when(near.isNotNull() & same_group, neighbour).alias("neighbour")
+    neighbour = F.struct(*[near[f"o{i}"].alias(name) for i, name in zip(orders, order)])
+    return found.select(
+        *[F.col("_key")[f"g{i}"].alias(name) for i, name in zip(groups, group)],
+        *[F.col("_key")[f"o{i}"].alias(name) for i, name in zip(orders, order)],
+        "copies",
+        F.when(same_group, neighbour).alias("neighbour"),
     )
 
 
@@ -82,45 +82,34 @@ def _sort_key(group: list[Column], order: list[Column]) -> Column:
     return F.struct(*parts)
 
 
-def _range_number(rows: DataFrame, rows_per_range: int) -> Column:
-    """Number of the range a row's ``_key`` falls into."""
-    ranges = min(MAX_RANGES, ceil(rows.count() / rows_per_range))
-    if ranges <= 1:
-        return F.lit(0)
-    boundaries = _boundaries(rows.select("_key"), ranges)
+def _range_number(boundaries: list[str], rows: DataFrame) -> Column:
+    """How many boundaries are not above ``_key``, by binary search."""
     if not boundaries:
         return F.lit(0)
-    # two steps over about sqrt(n) boundaries each: the block, then the place in it
-    size = isqrt(len(boundaries)) + 1
-    blocks = [boundaries[i : i + size] for i in range(0, len(boundaries), size)]
-    key_type = rows.select("_key").schema["_key"].dataType.simpleString()
-
-    def reached(candidates: Column) -> Column:
-        return F.size(F.filter(candidates, lambda boundary: boundary <= F.col("_key")))
-
-    block = reached(_parsed(f"[{','.join(b[0] for b in blocks)}]", f"array<{key_type}>"))
-    nested = f"[{','.join('[' + ','.join(b) + ']' for b in blocks)}]"
-    inside = F.get(_parsed(nested, f"array<array<{key_type}>>"), block - 1)
-    return F.when(block == 0, 0).otherwise((block - 1) * size + reached(inside))
+    key_type = rows.schema["_key"].dataType.simpleString()
+    sorted_keys = F.from_json(F.lit(f"[{','.join(boundaries)}]"), f"array<{key_type}>", _JSON)
+    strides = [1 << i for i in reversed(range(len(boundaries).bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(stride) for stride in strides]),
+        F.lit(0),
+        # past the end there is no boundary and the comparison is NULL
+        lambda low, stride: F.when(
+            F.get(sorted_keys, low + stride - 1) <= F.col("_key"), low + stride
+        ).otherwise(low),
+    )
 
 
-def _boundaries(keys: DataFrame, ranges: int) -> list[str]:
-    """At most ``ranges`` evenly spaced keys of a bounded sample, as JSON in sort order."""
+def _boundaries(keys: DataFrame, rows_per_range: int) -> list[str]:
+    """Evenly spaced keys of a bounded sample, as JSON in sort order; none for a small table."""
+    ranges = min(MAX_RANGES, ceil(keys.count() / rows_per_range))
+    if ranges <= 1:
+        return []
     samples = ranges * SAMPLES_PER_RANGE
-    portion = F.pmod(F.xxhash64("_key"), F.lit(samples))
-    # the smallest hash of each portion picks a uniform sample of the distinct keys
     hashed = keys.withColumn("_hash", F.xxhash64("_key"))
-    chosen = hashed.groupBy(portion.alias("_portion")).agg(F.min("_hash").alias("_hash"))
-    sample = (
-        hashed.join(F.broadcast(chosen.select("_hash")), "_hash", "left_semi")
-        .select("_key")
-        .distinct()
-        .orderBy("_key")
-        .select(F.to_json("_key", _JSON).alias("json"))
-    )
-    texts = [row["json"] for row in sample.limit(2 * samples).collect()]
-    return texts[:: max(1, len(texts) // ranges)][:ranges]
-
-
-def _parsed(json: str, schema: str) -> Column:
-    return F.from_json(F.lit(json), schema, _JSON)
+    # the smallest hash of each portion picks a uniform sample of the distinct keys
+    portion = F.pmod("_hash", F.lit(samples)).alias("_portion")
+    chosen = hashed.groupBy(portion).agg(F.min("_hash").alias("_hash")).select("_hash")
+    sample = hashed.join(F.broadcast(chosen), "_hash", "left_semi").select("_key").distinct()
+    texts = [r[0] for r in sample.orderBy("_key").select(F.to_json("_key", _JSON)).limit(2 * samples).collect()]
+    spacing = ceil(len(texts) / ranges)
+    return texts[spacing::spacing]
