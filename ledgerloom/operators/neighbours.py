@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 ROWS_PER_RANGE = 1_000_000
 # More ranges would make the list of boundaries in the plan unwieldy.
 MAX_RANGES = 4096
-SAMPLES_PER_RANGE = 16
+# Keys drawn to place the boundaries; this many rows reach the driver.
+SAMPLES = 4 * MAX_RANGES
 
 _STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _JSON = {"timestampNTZFormat": _STAMP, "timestampFormat": _STAMP}
@@ -39,7 +40,7 @@ def adjacent(
     a struct of the next (``following``) or previous combination's ``order``
     values in the same group, NULL at the end of the group. NULLs sort last.
 
-    Starts one job that counts the rows, and for large inputs a second one that
+    Starts a job that counts the rows, and for large inputs a second one that
     samples range boundaries. The boundaries only steer the balance: any choice
     gives the same result.
     """
@@ -101,15 +102,15 @@ def _range_number(boundaries: list[str], rows: DataFrame) -> Column:
 
 def _boundaries(keys: DataFrame, rows_per_range: int) -> list[str]:
     """Evenly spaced keys of a bounded sample, as JSON in sort order; none for a small table."""
-    ranges = min(MAX_RANGES, ceil(keys.count() / rows_per_range))
+    # the smallest hash of each portion picks a uniform sample of the distinct keys
+    hashed = keys.withColumn("_hash", F.xxhash64("_key"))
+    portions = hashed.groupBy(F.pmod("_hash", F.lit(SAMPLES)).alias("_portion"))
+    found = portions.agg(F.count(F.lit(1)).alias("rows"), F.min("_hash").alias("hash")).collect()
+    ranges = min(MAX_RANGES, ceil(sum(r["rows"] for r in found) / rows_per_range))
     if ranges <= 1:
         return []
-    samples = ranges * SAMPLES_PER_RANGE
-    hashed = keys.withColumn("_hash", F.xxhash64("_key"))
-    # the smallest hash of each portion picks a uniform sample of the distinct keys
-    portion = F.pmod("_hash", F.lit(samples)).alias("_portion")
-    chosen = hashed.groupBy(portion).agg(F.min("_hash").alias("_hash")).select("_hash")
+    chosen = keys.sparkSession.createDataFrame([(r["hash"],) for r in found], "_hash bigint")
     sample = hashed.join(F.broadcast(chosen), "_hash", "left_semi").select("_key").distinct()
-    texts = [r[0] for r in sample.orderBy("_key").select(F.to_json("_key", _JSON)).limit(2 * samples).collect()]
+    texts = [r[0] for r in sample.orderBy("_key").select(F.to_json("_key", _JSON)).limit(2 * SAMPLES).collect()]
     spacing = ceil(len(texts) / ranges)
     return texts[spacing::spacing]

@@ -74,9 +74,13 @@ def pivot(df: DataFrame, group_by: Sequence[str], column: str, values: Sequence,
 
     Aggregates over distinct values depend only on the distinct combinations of
     group, column and value, so those are formed first: Spark expands its input
-    once per distinct aggregate, and this way the input is small.
+    once per distinct aggregate, and this way the input is small. Where a value
+    is compared for equality and the others count as NULL, the combinations are
+    all there is to aggregate, and nothing is expanded.
     """
     if options.get("distinct"):
+        if options.get("cmp", "=") == "=" and "else_value" in options and options["else_value"] is None:
+            options["distinct"] = False
         df = df.withColumns(
             {
                 "_then": as_expression(options.pop("then_value", 1)),

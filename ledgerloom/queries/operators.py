@@ -146,7 +146,7 @@ def pivot_distinct(spark: SparkSession, folder: str) -> DataFrame:
         ["A", "N", "R"],
         agg="count",
         then_value="l_partkey",
-        else_value=F.lit(None),
+        else_value=None,
         distinct=True,
         quote_identifiers=False,
     )

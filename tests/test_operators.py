@@ -79,6 +79,10 @@ def test_pivot_distinct(spark, agg, expected):
     assert rows(pivoted) == rows(naive)
     if agg == "sum":
         assert rows(pivoted) == expected
+    others_null = reshape.pivot(df, ["g"], "c", ["a", "b"], agg=agg, then_value="v", else_value=None, distinct=True)
+    naive = df.groupBy("g").agg(*[F.expr(f"{agg}(DISTINCT CASE WHEN c = '{v}' THEN v END)") for v in ("a", "b")])
+    assert rows(others_null) == rows(naive)
+    assert "Expand" not in others_null._jdf.queryExecution().executedPlan().toString()
 
 
 CUSTOMERS = [(123, "2017-01-01", "active", "tier 1", "name 1"), (234, "2017-02-01", "active", "tier 3", "name 3"), (567, "2017-03-01", "churned", "tier 2", "name 2")]
