@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 ROWS_PER_RANGE = 1_000_000
 # More ranges would make the list of boundaries in the plan unwieldy.
 MAX_RANGES = 4096
-# Keys drawn to place the boundaries; this many rows reach the driver.
-SAMPLES = 4 * MAX_RANGES
+# Keys drawn to place the boundaries, and the most rows that reach the driver for it.
+SAMPLES_PER_RANGE = 16
+SAMPLES = 16 * 1024
 
 _STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _JSON = {"timestampNTZFormat": _STAMP, "timestampFormat": _STAMP}
@@ -47,7 +48,10 @@ def adjacent(
     rows = df.select(_sort_key(list(group.values()), list(order.values())).alias("_key"))
     distinct = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("copies"))
     boundaries = _boundaries(rows, rows_per_range)
-    distinct = distinct.withColumn("_range", _range_number(boundaries, rows))
+    # out of a generator the number is a plain column: were it an expression, the optimizer
+    # would derive conditions from it for the other side of the join below
+    number = _range_number(boundaries, rows).alias("_range")
+    distinct = distinct.select("*", F.inline(F.array(F.struct(number))))
 
     step = F.lead if following else F.lag
     by_key = Window.partitionBy("_range").orderBy("_key")
@@ -89,15 +93,18 @@ def _range_number(boundaries: list[str], rows: DataFrame) -> Column:
         return F.lit(0)
     key_type = rows.schema["_key"].dataType.simpleString()
     sorted_keys = F.from_json(F.lit(f"[{','.join(boundaries)}]"), f"array<{key_type}>", _JSON)
-    strides = [1 << i for i in reversed(range(len(boundaries).bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(stride) for stride in strides]),
-        F.lit(0),
+    strides = F.array(*[F.lit(1 << i) for i in reversed(range(len(boundaries).bit_length()))])
+
+    def search(key: Column) -> Column:
         # past the end there is no boundary and the comparison is NULL
-        lambda low, stride: F.when(
-            F.get(sorted_keys, low + stride - 1) <= F.col("_key"), low + stride
-        ).otherwise(low),
-    )
+        return F.aggregate(
+            strides,
+            F.lit(0),
+            lambda low, stride: F.when(F.get(sorted_keys, low + stride - 1) <= key, low + stride).otherwise(low),
+        )
+
+    # bound as a lambda variable the key is brought to the type of the boundaries only once
+    return F.get(F.transform(F.array(F.col("_key").cast(key_type)), search), F.lit(0))
 
 
 def _boundaries(keys: DataFrame, rows_per_range: int) -> list[str]:
@@ -109,7 +116,8 @@ def _boundaries(keys: DataFrame, rows_per_range: int) -> list[str]:
     ranges = min(MAX_RANGES, ceil(sum(r["rows"] for r in found) / rows_per_range))
     if ranges <= 1:
         return []
-    chosen = keys.sparkSession.createDataFrame([(r["hash"],) for r in found], "_hash bigint")
+    hashes = [(r["hash"],) for r in found[: ranges * SAMPLES_PER_RANGE]]
+    chosen = keys.sparkSession.createDataFrame(hashes, "_hash bigint")
     sample = hashed.join(F.broadcast(chosen), "_hash", "left_semi").select("_key").distinct()
     texts = [r[0] for r in sample.orderBy("_key").select(F.to_json("_key", _JSON)).limit(2 * SAMPLES).collect()]
     spacing = ceil(len(texts) / ranges)

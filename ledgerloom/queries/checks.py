@@ -11,7 +11,7 @@ from ledgerloom.queries.registry import query, table
 from ledgerloom.queries.standins import clean, clean_sql
 
 # Smaller ranges than by default, so that the test tables are cut as large ones are.
-ROWS_PER_RANGE = 5_000
+ROWS_PER_RANGE = 10_000
 
 
 @query("check_not_null", clean_sql("application_train") + " SELECT * FROM application_train WHERE TARGET IS NULL")
