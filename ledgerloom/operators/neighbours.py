@@ -116,8 +116,9 @@ def _boundaries(keys: DataFrame, rows_per_range: int) -> list[str]:
     ranges = min(MAX_RANGES, ceil(sum(r["rows"] for r in found) / rows_per_range))
     if ranges <= 1:
         return []
-    hashes = [(r["hash"],) for r in found[: ranges * SAMPLES_PER_RANGE]]
-    chosen = keys.sparkSession.createDataFrame(hashes, "_hash bigint")
+    # in order of hash, since the rows may come in the order of the data
+    hashes = sorted(r["hash"] for r in found)[: ranges * SAMPLES_PER_RANGE]
+    chosen = keys.sparkSession.createDataFrame([(h,) for h in hashes], "_hash bigint")
     sample = hashed.join(F.broadcast(chosen), "_hash", "left_semi").select("_key").distinct()
     texts = [r[0] for r in sample.orderBy("_key").select(F.to_json("_key", _JSON)).limit(2 * SAMPLES).collect()]
     spacing = ceil(len(texts) / ranges)
