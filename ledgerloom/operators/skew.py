@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,12 +17,12 @@ COPIES_PER_TASK = 1_000_000
 
 
 def hot_keys(df: DataFrame, key: str, rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Keys with more than ``rows`` rows.
+    """Keys with more than ``rows`` rows, NULL included.
 
     There are fewer of them than row count / ``rows``, which makes them safe to
     broadcast: 100,000 keys for a table of 100 billion rows.
     """
-    counts = df.filter(as_column(key).isNotNull()).groupBy(as_column(key)).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = df.groupBy(as_column(key)).agg(F.count(F.lit(1)).alias("_rows"))
     return counts.filter(F.col("_rows") > rows).select(as_column(key))
 
 
@@ -30,15 +31,19 @@ def left_join_unique(
 ) -> DataFrame:
     """Left joins of ``base`` with tables that hold one row per key.
 
-    Most rows take the shuffled join; lookups already grouped by the key are
-    not shuffled again. Rows with a NULL key cannot match and stay where they
-    are. Rows of hot keys stay where they are too and meet a broadcast of the
-    few lookup rows these keys have. Without hot keys, adaptive execution drops
-    that branch once the (then empty) list of hot keys is known.
+    Starts a job that counts the keys of ``base`` and returns at most one row:
+    is any key hot? If not, these are plain joins; lookups already grouped by
+    the key are not shuffled again. Otherwise rows of hot keys stay where they
+    are and meet a broadcast of the few lookup rows these keys have, rows with a
+    NULL key stay where they are and match nothing, and only the others are
+    joined by shuffling.
     """
-    hot = F.broadcast(hot_keys(base, key, hot_key_rows))
-    present = base.filter(as_column(key).isNotNull())
+    hot = hot_keys(base, key, hot_key_rows)
+    if hot.first() is None:
+        return reduce(lambda df, lookup: df.join(lookup, key, "left"), lookups, base)
 
+    hot = F.broadcast(hot)
+    present = base.filter(as_column(key).isNotNull())
     cold_rows = present.join(hot, key, "left_anti")
     hot_rows = present.join(hot, key, "left_semi")
     missing = base.filter(as_column(key).isNull())

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,19 @@ from ledgerloom.quality.validators import TABLES, numbers_from_text, store_stagi
 from ledgerloom.sources.tables import Lake, land
 
 
+Result = TypeVar("Result")
+
+# Jobs started side by side. Large ones share the cluster anyway; small ones fill idle cores.
+CONCURRENT_JOBS = 4
+
+
+def side_by_side(steps: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Run steps that do not depend on each other; the first error is raised."""
+    with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:
+        started = {name: pool.submit(step) for name, step in steps.items()}
+        return {name: future.result() for name, future in started.items()}
+
+
 def warehouse_tests(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The key tests of the warehouse tables; each must return no rows."""
     return {
@@ -44,11 +59,11 @@ def run(
     suite or test raises ``CheckFailed`` if ``strict``.
     """
     products: dict[str, DataFrame] = {}
-    silver = {}
-    for table in TABLES:
-        checked = validate_and_store(lake, raw[table], table)
-        silver[table] = products[f"silver.{table}"] = checked.valid
-        products[f"quarantine.{table}_rejects"] = checked.rejects
+    checked = side_by_side({name: partial(validate_and_store, lake, raw[name], name) for name in TABLES})
+    silver = {name: sides.valid for name, sides in checked.items()}
+    for name, sides in checked.items():
+        products[f"silver.{name}"] = sides.valid
+        products[f"quarantine.{name}_rejects"] = sides.rejects
 
     numeric = {name: numbers_from_text(df, name) for name, df in silver.items()}
     enriched = enrich(numeric["application_train"], {name: numeric[name] for name in CHILDREN})
@@ -66,10 +81,9 @@ def run(
         "dim_bureau": warehouse.dim_bureau(source["bureau"]),
         "fact_loans": warehouse.fact_loans(applications, bureau),
     }
-    tables = {}
-    for name, model in models.items():
-        lake.write(model, "warehouse", name)
-        tables[name] = products[f"warehouse.{name}"] = lake.read("warehouse", name)
+    side_by_side({name: partial(lake.write, model, "warehouse", name) for name, model in models.items()})
+    tables = {name: lake.read("warehouse", name) for name in models}
+    products |= {f"warehouse.{name}": table for name, table in tables.items()}
 
     results = evaluate_all(tables, suites)
     lake.write(results, "warehouse", "suite_results")

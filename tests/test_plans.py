@@ -39,32 +39,27 @@ def test_features_read_only_their_columns(spark):
     assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double>" in plan
 
 
+def _enriched(spark, **options):
+    children = {name: clean(spark, FOLDER, name) for name in CHILDREN}
+    return enrich(clean(spark, FOLDER, "application_train"), children, **options)
+
+
 def test_one_shuffle_per_child(spark):
-    """The joins use the partitioning of the aggregates."""
+    """The joins use the partitioning of the aggregates: one exchange for each child and the base."""
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        children = {name: clean(spark, FOLDER, name) for name in CHILDREN}
-        plan = physical(enrich(clean(spark, FOLDER, "application_train"), children))
+        lines = operator_lines(physical(_enriched(spark)))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    cold = plan[: plan.index("BroadcastHashJoin [SK_ID_CURR") if "Union" not in plan else len(plan)]
-    shuffles = [line for line in operator_lines(cold) if line.startswith("Exchange hashpartitioning(SK_ID_CURR")]
-    # regular branch: base and 5 children; hot branch: 5 children; each list of hot keys: 1
-    # (equal lists are computed once, which only shows when the plan runs)
-    assert "SortMergeJoin" in plan
-    regular = [s for s in shuffles if "SK_ID_CURR" in s]
-    assert len(regular) >= 6
+    assert len([line for line in lines if line.startswith("SortMergeJoin")]) == len(CHILDREN)
+    assert len([line for line in lines if line.startswith("Exchange")]) == len(CHILDREN) + 1
 
 
-def test_no_hot_keys_no_second_scan(spark):
-    children = {name: clean(spark, FOLDER, name) for name in CHILDREN}
-    enriched = enrich(clean(spark, FOLDER, "application_train"), children)
-    enriched.collect()
-    final = physical(enriched).split("Initial Plan")[0]
-    # orders feed two child tables, lineitem one, events two; the branch of hot keys is gone
-    scans = re.findall(r"FileScan parquet \[(\w)_", final)
-    assert scans.count("l") == 1 and scans.count("o") == 2
+def test_hot_keys_get_a_broadcast_of_their_own_features(spark):
+    plan = physical(_enriched(spark, hot_key_rows=0))
+    assert plan.count("Union") == 1 and "LeftSemi" in plan and "LeftAnti" in plan
+    assert "Union" not in physical(_enriched(spark))
 
 
 def test_text_is_converted_once(spark):
