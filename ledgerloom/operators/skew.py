@@ -31,18 +31,19 @@ def left_join_unique(
 ) -> DataFrame:
     """Left joins of ``base`` with tables that hold one row per key.
 
-    Starts a job that counts the keys of ``base`` and returns at most one row:
-    is any key hot? If not, these are plain joins; lookups already grouped by
-    the key are not shuffled again. Otherwise rows of hot keys stay where they
+    Starts a job that counts the keys of ``base`` and returns the few hot ones.
+    Without any, these are plain joins; lookups already grouped by the key are
+    not shuffled again. Otherwise rows of hot keys stay where they
     are and meet a broadcast of the few lookup rows these keys have, rows with a
     NULL key stay where they are and match nothing, and only the others are
     joined by shuffling.
     """
     hot = hot_keys(base, key, hot_key_rows)
-    if hot.first() is None:
+    found = hot.collect()
+    if not found:
         return reduce(lambda df, lookup: df.join(lookup, key, "left"), lookups, base)
 
-    hot = F.broadcast(hot)
+    hot = F.broadcast(base.sparkSession.createDataFrame(found, hot.schema))
     present = base.filter(as_column(key).isNotNull())
     cold_rows = present.join(hot, key, "left_anti")
     hot_rows = present.join(hot, key, "left_semi")
