@@ -21,6 +21,7 @@ from ledgerloom.quality.suite import (
 from ledgerloom.quality.validators import TABLES, validate_staging
 from ledgerloom.queries.registry import query
 from ledgerloom.queries.standins import clean, clean_sql, dirty
+from ledgerloom.queries.validation import tagged_sql, whole
 from ledgerloom.session import scratch_folder
 from ledgerloom.sources.tables import Lake
 
@@ -280,7 +281,28 @@ def suites_passed(spark: SparkSession, folder: str) -> DataFrame:
     return suite_success(evaluate_all(_warehouse(spark, folder), SUITES))
 
 
-@query("product_counts")
+def _counts_sql() -> str:
+    """Every raw row is valid or rejected; later products follow from the valid ones."""
+    tagged = [f"{name}_tagged AS ({tagged_sql(name)} SELECT * FROM tagged)" for name in TABLES]
+    counts = []
+    for name in TABLES:
+        counts.append(("silver." + name, f"{name}_tagged WHERE reject_reason IS NULL"))
+        counts.append((f"quarantine.{name}_rejects", f"{name}_tagged WHERE reject_reason IS NOT NULL"))
+    applications = "application_train_tagged WHERE reject_reason IS NULL"
+    customers = f"(SELECT DISTINCT {whole('SK_ID_CURR')} FROM {applications})"
+    counts += [
+        ("staging.stg_loan_application_enriched", applications),
+        ("quarantine.stg_loan_application_enriched_rejects", f"{applications} AND TARGET IS NULL"),
+        ("warehouse.dim_customer", customers),
+        ("warehouse.fact_loans", customers),
+        ("warehouse.dim_bureau", "bureau_tagged WHERE reject_reason IS NULL"),
+        ("warehouse.suite_results", f"range({sum(map(len, SUITES.values()))})"),
+    ]
+    lines = [f"SELECT '{product}' AS product, count(*) AS num_rows FROM {rows}" for product, rows in counts]
+    return f"WITH {', '.join(tagged)} {' UNION ALL '.join(lines)}"
+
+
+@query("product_counts", _counts_sql())
 def all_products(spark: SparkSession, folder: str) -> DataFrame:
     """The whole run on dirty input, one row per product with its row count."""
     raw = {name: dirty(spark, folder, name) for name in TABLES}

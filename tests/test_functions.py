@@ -71,7 +71,7 @@ def test_haversine(spark):
 
 HOSTS = {
     "www.google.co.uk?utm_source=google&utm_medium=cpc&utm_campaign=spring-summer": "www.google.co.uk",
-    "http://witanddelight.com/2018/01/tips-tricks-how-run-half-marathon-first-time/": "witanddelight.com",
+    "http://running.example.com/2018/01/tips-tricks-how-run-half-marathon-first-time/": "running.example.com",
     "https://www.nytimes.com/2018/01/01/blog": "www.nytimes.com",
     "android-app://m.facebook.com/": "m.facebook.com",
     "docs.nytimes.com/2021/01/01/index.js?utm_source=google": "docs.nytimes.com",
@@ -81,9 +81,9 @@ HOSTS = {
 MARATHON = "2018/01/tips-tricks-how-run-half-marathon-first-time/"
 PATHS = {
     "www.google.co.uk?utm_source=google&utm_medium=cpc&utm_campaign=spring-summer": "",
-    f"http://witanddelight.com/{MARATHON}": MARATHON,
+    f"http://running.example.com/{MARATHON}": MARATHON,
     "https://www.nytimes.com/2018/01/01/blog": "2018/01/01/blog",
-    f"http://witanddelight.com/{MARATHON}?utm_source=google&utm_medium=cpc&utm_campaign=spring-summer": MARATHON,
+    f"http://running.example.com/{MARATHON}?utm_source=google&utm_medium=cpc&utm_campaign=spring-summer": MARATHON,
     "example.com": "example.com",
     "example.com?u=a/b": "b",
 }
@@ -96,7 +96,7 @@ def test_url_parts(spark, function, cases):
 
 
 def test_url_parameter(spark):
-    urls = ["http://drewbanin.com/milky?utm_medium=organic", "http://drewbanin.com/milky?utm_medium=organic&utm_source=github"]
+    urls = ["http://example.com/milky?utm_medium=organic", "http://example.com/milky?utm_medium=organic&utm_source=github"]
     df = spark.createDataFrame([(url,) for url in urls], "url string")
     assert one(df, L.url_parameter("url", "utm_medium")) == ["organic", "organic"]
     assert one(df, L.url_parameter("url", "utm_source")) == [None, "github"]

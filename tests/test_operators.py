@@ -113,13 +113,13 @@ def test_unpivot_booleans_and_nulls(spark):
 
 @pytest.fixture(scope="module")
 def union_inputs(spark):
-    one = spark.createDataFrame([(1, "drew", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string")
+    one = spark.createDataFrame([(1, "dora", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string")
     two = spark.createDataFrame([(1, "green", 7), (2, "pink", 13)], "id int, favorite_color string, favorite_number int")
     return one, two
 
 
 EXPECTED_UNION = [
-    (1, "drew", "pi", None),
+    (1, "dora", "pi", None),
     (2, "bob", "e", None),
     (3, "alice", "4", None),
     (1, None, "7", "green"),
