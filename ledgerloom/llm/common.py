@@ -46,12 +46,12 @@ def map_rows(
     given = [(as_column(c) if isinstance(c, str) else c).alias(f"_{i}") for i, c in enumerate(inputs)]
     inner = [StructField(f"k_{i}", df.schema[c].dataType) for i, c in enumerate(keep)]
     schema = StructType(inner + [StructField(f"n_{f.name}", f.dataType) for f in added])
-    types = [to_arrow_type(f.dataType) for f in added]
+    types, names, first = [to_arrow_type(f.dataType) for f in added], schema.names, len(kept)
 
     def run(batches):
         for part in pieces(batches):
             arrays = [pa.array(v, t) for v, t in zip(compute(part), types)]
-            yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *arrays], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*part.columns[:first], *arrays], names=names)
 
     return df.select(*kept, *given).mapInArrow(run, schema).toDF(*keep, *added.names)
 
