@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe
+from ledgerloom.llm import bpe, packing, token_files
 from ledgerloom.llm.registry import ORACLES, QUERIES, query, table
+from ledgerloom.session import scratch_folder
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -26,3 +27,21 @@ def op2_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_hierarchical_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@query
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Write all ids to shards in order of doc_id, then read every document back by its key."""
+    documents = table(spark, folder, "documents")
+    back = token_files.read(token_files.write(documents, scratch_folder(spark, "token-files")))
+    return back.select(
+        "doc_id",
+        "start",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
