@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, packing, token_files
+from ledgerloom.llm import bpe, packing, simhash, token_files
 from ledgerloom.llm.registry import ORACLES, QUERIES, query, table
 from ledgerloom.session import scratch_folder
 
@@ -45,3 +45,9 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
+
+
+@query
+def op7_simhash_deletion_variants(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.withColumn("fingerprint", simhash.hexadecimal(F.col("fingerprint")))
