@@ -9,13 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, packing, simhash, token_files
+from ledgerloom.llm import bpe, packing, quality, simhash, token_files
 from ledgerloom.llm.registry import ORACLES, QUERIES, query, table
 from ledgerloom.session import scratch_folder
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query
+def op1_quality_isolation_forest(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.drop("features")
+
+
 @query
 def op2_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     """Encode every text, decode the ids, and digest both."""
