@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, packing, quality, simhash, token_files
+from ledgerloom.llm import bpe, language, packing, quality, simhash, token_files
 from ledgerloom.llm.registry import ORACLES, QUERIES, query, table
 from ledgerloom.session import scratch_folder
 
@@ -35,6 +35,13 @@ def op2_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_cross_parsing_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").withColumn("held_out", language.held_out("doc_id"))
+    training = language.training_texts(documents.filter("NOT held_out"))
+    return language.identify(documents, training, keep=("doc_id", "held_out"))
+
+
 @query
 def op6_hierarchical_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
