@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, language, packing, quality, simhash, token_files
+from ledgerloom.llm import bpe, language, packing, quality, simhash, token_files, toxicity
 from ledgerloom.llm.registry import ORACLES, QUERIES, query, table
 from ledgerloom.session import scratch_folder
 
@@ -47,6 +47,14 @@ def op6_hierarchical_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+@query
+def op8_max_segment_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").withColumn("held_out", toxicity.held_out("doc_id"))
+    known = table(spark, folder, "labels").filter(~toxicity.held_out("doc_id"))
+    model = toxicity.train(documents, known)
+    return toxicity.score(documents, model, keep=("doc_id", "held_out"))
+
+
 @query
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Write all ids to shards in order of doc_id, then read every document back by its key."""
