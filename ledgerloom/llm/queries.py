@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, language, packing, quality, simhash, token_files, toxicity
+from ledgerloom.llm import bpe, language, packing, pii, quality, simhash, token_files, toxicity
 from ledgerloom.llm.registry import ORACLES, QUERIES, query, table
 from ledgerloom.session import scratch_folder
 
@@ -35,6 +35,17 @@ def op2_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_pii_boosted_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *[pii.count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op5_cross_parsing_language(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").withColumn("held_out", language.held_out("doc_id"))
