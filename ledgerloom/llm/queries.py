@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, language, packing, pii, quality, simhash, token_files, toxicity
+from ledgerloom.llm import bpe, embeddings, language, packing, pii, quality, simhash, token_files, toxicity
 from ledgerloom.llm.registry import ORACLES, QUERIES, query, table
 from ledgerloom.session import scratch_folder
 
@@ -66,6 +66,11 @@ def op8_max_segment_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, model, keep=("doc_id", "held_out"))
 
 
+@query
+def op9_embedding_nn_descent(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Write all ids to shards in order of doc_id, then read every document back by its key."""
