@@ -104,6 +104,10 @@ class Codec:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(ids, "<i4") for ids in self.words.values_of(texts)]
 
+    def sizes(self, pre_tokens: Sequence[str]) -> list[int]:
+        """Tokens of each pre-token."""
+        return [len(ids) for ids in self.model.encode([_mapped(p.encode()) for p in pre_tokens], num_threads=1)] if pre_tokens else []
+
     def decode(self, ids: Sequence[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 

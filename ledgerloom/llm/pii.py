@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
 from ledgerloom.llm.common import stored
+from ledgerloom.llm.spans import matches, placed
 
 KINDS = ("email", "ip", "card", "phone")
 # The fixed rules. Lookbehinds and possessive quantifiers keep the search linear and change no match.
@@ -53,7 +54,6 @@ _ANNOUNCED = {
 }
 # What stands before numbers that are nobody's.
 _NUMERIC = r"(?:[$€£#=%\"/:]|version|vers\.|no\.|isbn|page|id)\s*$"
-_CONTEXT = 24
 _FEATURES = ("kind", "digits", "separators", "brackets", "announced", "before", "after", "kinds_of_digits", "first", "numeric")
 
 TREES = 24
@@ -63,37 +63,6 @@ LEARNING_RATE = 0.3
 PRECISION = 0.99
 
 
-def _matches(text: Column, pattern: str) -> tuple[Column, Column]:
-    """The matches of a pattern and the texts around them, one more."""
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-
-
-def _placed(values: Column, gaps: Column) -> Column:
-    """An array of start, stop, value, before and after for the matches."""
-    element = "struct<start:int,stop:int,value:string,before:string,after:string>"
-    pairs = F.zip_with(
-        F.zip_with(gaps, values, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value"))),
-        F.slice(gaps, F.lit(2), F.greatest(F.size(gaps), F.lit(1))),
-        lambda pair, after: F.struct(pair["gap"].alias("gap"), pair["value"].alias("value"), F.left(after, F.lit(1)).alias("after")),
-    )
-
-    def place(state: Column, pair: Column) -> Column:
-        start = state["stop"] + F.length(pair["gap"])
-        stop = start + F.length(pair["value"])
-        found = F.struct(
-            start.alias("start"),
-            stop.alias("stop"),
-            pair["value"].alias("value"),
-            F.lower(F.right(pair["gap"], F.lit(_CONTEXT))).alias("before"),
-            pair["after"].alias("after"),
-        )
-        return F.struct(stop.alias("stop"), F.concat(state["found"], F.array(found)).alias("found"))
-
-    empty = F.struct(F.lit(0).alias("stop"), F.array().cast(f"array<{element}>").alias("found"))
-    matched = F.filter(pairs, lambda pair: pair["value"].isNotNull())
-    return F.aggregate(matched, empty, place, lambda state: state["found"])
-
-
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -171,9 +140,9 @@ def _searched(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     names = [(f"{kind}_{i}", kind, patterns[kind]) for i, patterns in enumerate((RULES, GENERATORS)) for kind in KINDS]
     columns = {}
     for name, _, pattern in names:
-        columns[f"{name}_v"], columns[f"{name}_g"] = _matches(F.col("_text"), pattern)
+        columns[f"{name}_v"], columns[f"{name}_g"] = matches(F.col("_text"), pattern)
     found = found.withColumns(columns)
-    found = found.withColumns({name: _placed(F.col(f"{name}_v"), F.col(f"{name}_g")) for name, _, _ in names})
+    found = found.withColumns({name: placed(F.col(f"{name}_v"), F.col(f"{name}_g")) for name, _, _ in names})
 
     base, candidates = [], []
     for kind in KINDS:

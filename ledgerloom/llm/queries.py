@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, embeddings, language, packing, pii, quality, simhash, token_files, toxicity
+from ledgerloom.llm import bpe, embeddings, language, packing, pii, quality, simhash, spans, token_counts, token_files, toxicity
 from ledgerloom.llm.registry import ORACLES, QUERIES, query, table
 from ledgerloom.session import scratch_folder
 
@@ -35,6 +35,29 @@ def op2_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op3_edit_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts before and after three kinds of edits: a line with the source is put in front, every
+    number becomes a zero, and a line break ends the text."""
+    documents = table(spark, folder, "documents")
+    state = token_counts.build(documents, keep=("doc_id", "source")).withColumnRenamed("n_tokens", "n_tokens_before")
+    state = state.withColumns(dict(zip(("_values", "_gaps"), spans.matches(F.col("text"), "[0-9]+"))))
+
+    def change(start, stop, replacement):
+        return F.struct(start.alias("start"), stop.alias("stop"), replacement.alias("replacement"))
+
+    numbers = spans.placed(F.col("_values"), F.col("_gaps"))
+    front = change(F.lit(0), F.lit(0), F.concat(F.lit("source: "), F.coalesce("source", F.lit("")), F.lit("\n")))
+    end = F.length("text")
+    edits = F.concat(
+        F.array(front),
+        F.transform(numbers, lambda s: change(s["start"], s["stop"], F.lit("0"))),
+        F.array(change(end, end, F.lit("\n"))),
+    )
+    counted = token_counts.apply_edits(state, edits, keep=("doc_id", "n_tokens_before"))
+    return counted.select("doc_id", "n_tokens_before", "n_edits", "n_tokens", "n_reencoded", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op4_pii_boosted_candidates(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(table(spark, folder, "documents"))
