@@ -14,15 +14,13 @@ empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
-from ledgerloom.llm.common import add_to_rows, map_rows, stored
+from ledgerloom.llm.common import add_to_rows, keep_rows, map_rows, stored
 
 TREES = 100
 # Different rows of statistics each tree is grown on. TREES * ROWS_PER_TREE bounds what reaches the driver.
@@ -172,13 +170,34 @@ def threshold(scores: DataFrame, labels: DataFrame, key: str, label: str, false_
     return step * SCORE_STEP
 
 
+def _fitted(df: DataFrame, labels: DataFrame, text: str, key: str, label: str) -> tuple[DataFrame, Forest | None, float]:
+    """Scores of every row, the forest and the threshold."""
+    stats = stored(rule_statistics(df, text, (key,)), "statistics").withColumn("base_failed", base_failed())
+    forest = grow(stats)
+    scores = stored(scored(stats, forest), "scores")
+    return scores, forest, threshold(scores.filter("NOT base_failed"), labels, key, label)
+
+
 def judge(
     df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality"
 ) -> DataFrame:
     """Statistics of every row, ``base_failed``, ``score`` and ``kept``."""
-    stats = stored(rule_statistics(df, text, (key,)), "statistics")
-    passed = stats.withColumn("base_failed", base_failed())
-    forest = grow(passed)
-    scores = stored(scored(passed, forest), "scores")
-    limit = threshold(scores.filter("NOT base_failed"), labels, key, label)
+    scores, _, limit = _fitted(df, labels, text, key, label)
     return scores.withColumn("kept", ~F.col("base_failed") & (F.floor(F.col("score") / SCORE_STEP) * SCORE_STEP < limit))
+
+
+def keep_good(
+    df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality"
+) -> DataFrame:
+    """The rows of ``df`` that ``judge`` keeps, judged row by row, so that keys need not be unique."""
+    _, forest, limit = _fitted(df, labels, text, key, label)
+
+    def decide(texts: list[str]) -> list[bool]:
+        found = [statistics(t) for t in texts]
+        scores = forest.scores(np.array([f[-1] for f in found])) if forest and found else []
+        return [
+            f[0] >= 50 and 100 * f[4] <= 50 * f[0] and np.floor(s / SCORE_STEP) * SCORE_STEP < limit
+            for f, s in zip(found, scores)
+        ]
+
+    return keep_rows(df, text, decide)
