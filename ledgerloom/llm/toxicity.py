@@ -1,13 +1,13 @@
 """Toxicity by maximum-scoring segments: passages in which words of toxic texts are dense.
 
 A word's score is the log ratio of its share among the words of toxic and of other labelled texts,
-with a Dirichlet prior at its share in both; words whose ratio may be chance score nothing. A small
+with a Dirichlet prior that expects no difference; words whose ratio may be chance score nothing. A small
 cost per word makes the expected score negative, so that a linear-time scan finds the disjoint passages of maximal
 score. The scores of the best passages in texts that are not toxic follow an extreme-value
 distribution with the length of the text; its two parameters turn the scores of all passages into one
 surprise, and a logistic curve that into the score.
 
-The words are learned from one half of a bounded sample of labelled texts and the curves from the other half, so
+The words are learned from three quarters of a bounded sample of labelled texts and the curves from the other quarter, so
 that no text tells how well it was learned itself. Words are runs of letters in lower case; their beginnings
 are tokens as well, and a word without a score of its own has that of its longest beginning with one.
 
@@ -36,10 +36,12 @@ from ledgerloom.llm.common import add_to_rows, map_rows, pieces, stored, texts_o
 
 # Labelled texts of each kind that are learned from.
 LABELLED_TEXTS = 10_000
-# Weight of the prior, as a share of the words counted.
-PRIOR = 0.02
+# Texts that the Dirichlet prior adds for each token, toxic ones in proportion to all.
+PRIOR = 1.0
 # Words with a smaller log ratio, in standard deviations, score nothing.
-LEAST_DEVIATIONS = 4.0
+LEAST_DEVIATIONS = 2.9
+# Words with a smaller log ratio score nothing: many small ones add up in texts of one language.
+LEAST_RATIO = 1.0
 # Lengths of the beginnings of words that are tokens, too.
 BEGINNINGS = (6, 5, 4)
 # Words whose tokens one Python process remembers.
@@ -119,8 +121,13 @@ class Model:
     offset: float = -50.0
 
     def segments(self, words: list[str]) -> list[tuple[int, int, float]]:
-        scores = map(_scores(self).__getitem__, words)
-        return maximal_segments([(i, s) for i, s in enumerate(scores) if s is not None], COST)
+        """Maximal passages; a word scores where it first occurs, so that repeating it is no evidence."""
+        places: dict[str, int] = {}
+        scores = _scores(self)
+        for i, word in enumerate(words):
+            if scores[word] is not None:
+                places.setdefault(word, i)
+        return maximal_segments([(i, scores[word]) for word, i in places.items()], COST)
 
     def significant(self, words: list[str]) -> list[tuple[int, int, float]]:
         """Passages, each with its surprise: minus the log of how often chance makes as good a one."""
@@ -148,11 +155,10 @@ def word_scores(counts: dict[str, tuple[int, int]]) -> tuple[tuple[str, float],
     totals = [max(1, sum(c[kind] for c in counts.values())) for kind in (0, 1)]
     found = []
     for word, pair in counts.items():
-        share = sum(pair) / sum(totals)
-        toxic, other = (n + PRIOR * total * share for n, total in zip(pair, totals))
+        toxic, other = (n + PRIOR * total / sum(totals) for n, total in zip(pair, totals))
         ratio = math.log(toxic / totals[0]) - math.log(other / totals[1])
         deviations = ratio / math.sqrt(1 / toxic + 1 / other)
-        if abs(deviations) >= LEAST_DEVIATIONS:
+        if abs(deviations) >= LEAST_DEVIATIONS and abs(ratio) >= LEAST_RATIO:
             found.append((abs(deviations), word, ratio))
     return tuple((word, ratio) for _, word, ratio in sorted(found, reverse=True)[:MOST_WORDS] if word)
 
@@ -187,7 +193,7 @@ def held_out(key: str) -> Column:
 
 
 def labelled_texts(df: DataFrame, labels: DataFrame, text: str, key: str, label: str) -> DataFrame:
-    """The bounded sample: columns text, toxic, half."""
+    """The bounded sample: columns text, toxic, calibrates."""
     marks = labels.select(as_column(key).alias("_key"), as_column(label).cast("int").alias("toxic"))
     marks = marks.filter("toxic IS NOT NULL AND _key IS NOT NULL").groupBy("_key").agg(F.max("toxic").alias("toxic"))
     place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("_key"), "_key"))
@@ -196,7 +202,7 @@ def labelled_texts(df: DataFrame, labels: DataFrame, text: str, key: str, label:
     # at most twice LABELLED_TEXTS rows of a key and two numbers
     found = named.filter("text IS NOT NULL").join(F.broadcast(marks), "_key")
     found = found.groupBy(F.xxhash64("text").alias("hash")).agg(F.max(F.struct("toxic", "text")).alias("row"))
-    return found.select("row.text", "row.toxic", F.pmod("hash", F.lit(2)).alias("half"))
+    return found.select("row.text", "row.toxic", (F.pmod("hash", F.lit(4)) == 0).alias("calibrates"))
 
 
 def _counts(sample: DataFrame) -> dict[str, tuple[int, int]]:
@@ -226,7 +232,7 @@ def _counts(sample: DataFrame) -> dict[str, tuple[int, int]]:
 def train(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic") -> Model:
     """A model from a bounded sample of labelled texts."""
     sample = stored(labelled_texts(df, labels, text, key, label), "labelled")
-    weights = word_scores(_counts(sample.filter("half = 0")))
+    weights = word_scores(_counts(sample.filter("NOT calibrates")))
     first = Model(weights)
 
     def measured(part):
@@ -234,7 +240,7 @@ def train(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         best = [max((s[2] for s in first.segments(words)), default=0.0) for words in read]
         return [best, [len(words) for words in read]]
 
-    rest = stored(sample.filter("half = 1"), "calibration")
+    rest = stored(sample.filter("calibrates"), "calibration")
     rows = map_rows(rest, ["text"], ["toxic"], "best double, n long", measured).collect()
     toxic, best, n = (np.array([r[k] for r in rows], float) for k in ("toxic", "best", "n"))
     if not weights or not 0 < toxic.sum() < len(toxic):
