@@ -89,6 +89,8 @@ class CrossParser:
 
     def __init__(self, texts: dict[str, str]):
         self.languages = sorted(texts)
+        if not texts:
+            return
         read = [_letters(texts[name]) for name in self.languages]
         seen = np.unique(np.concatenate([[0], *read]))
         # symbols: 0 a space, then the known letters, then any other letter, then the end of a text
@@ -142,9 +144,9 @@ class CrossParser:
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
-        read = [_letters(t) for t in texts]
         if not self.languages:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
+        read = [_letters(t) for t in texts]
         bits = self.phrases(read) * self.bits[:, None]
         best = bits.argmin(axis=0)
         ordered = np.sort(bits, axis=0)

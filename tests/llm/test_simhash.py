@@ -34,12 +34,12 @@ def test_query(spark):
     assert rows.component_id.tolist() == [ids[i] for i in brute.components(len(ids), close(prints, 3))]
 
 
-@pytest.mark.parametrize("distance,rows_per_key", [(3, 128), (3, 2), (2, 2), (1, 2), (0, 2), (5, 2)])
+@pytest.mark.parametrize("distance,rows_per_key", [(3, 128), (3, 4), (2, 4), (1, 4), (0, 4), (5, 128)])
 def test_links_against_all_pairs(spark, distance, rows_per_key):
     """Also with so few rows per key that keys are refined down to the last level."""
     draw = random.Random(distance)
-    centres = [draw.getrandbits(64) for _ in range(6)]
-    prints = {c ^ sum(1 << draw.randrange(64) for _ in range(draw.randint(0, 4))) & (1 << 64) - 1 for c in centres for _ in range(25)}
+    centres = [draw.getrandbits(64) for _ in range(4)]
+    prints = {c ^ sum(1 << draw.randrange(64) for _ in range(draw.randint(0, 4))) & (1 << 64) - 1 for c in centres for _ in range(8)}
     signed = [p - (1 << 64) if p >> 63 else p for p in sorted(prints)]
     df = spark.createDataFrame([(p,) for p in signed], "fp long")
     found = {tuple(sorted(r)) for r in simhash.links(df, distance, rows_per_key).collect()}
