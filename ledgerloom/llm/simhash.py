@@ -84,7 +84,7 @@ def _variants(key: Column, rest: Column, side: Column, bits: int, segments: int,
             if wildcard < 0:
                 masked, own = segment, F.lit(_WHOLE)
             else:
-                masked = segment.bitwiseAND(F.lit(~(1 << wildcard)))
+                masked = segment.bitwiseAND(F.lit(~(1 << wildcard) if wildcard < 63 else (1 << 63) - 1))
                 own = F.shiftrightunsigned(segment, wildcard).bitwiseAND(F.lit(1)).cast("int")
             found.append(
                 F.struct(
