@@ -25,10 +25,13 @@ from pyspark.sql.types import (
 
 from ledgerloom.functions.columns import as_column
 
-# Integer text may carry a fraction, which is cut off: "12.7" counts as 12.
-INTEGER_TEXT = r"^\s*([+-]?[0-9]+)([.][0-9]*)?\s*$"
+# White space and control characters around a number do not count.
+_AROUND = r"[\x00-\x20\x7F]*"
+# Integer text may carry a fraction, which is cut off: "12.7" counts as 12, ".5" and "." as 0.
+INTEGER_TEXT = rf"^{_AROUND}([+-]?)(?:([0-9]+)(?:[.][0-9]*)?|[.][0-9]*){_AROUND}$"
 DOUBLE_TEXT = (
-    r"(?i)^\s*[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?[fd]?|inf|infinity|nan)\s*$"
+    r"(?i)^[\x00-\x20]*[+-]?(?:(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:e[+-]?[0-9]+)?[fd]?"
+    r"|0x(?:[0-9a-f]+[.]?|[0-9a-f]*[.][0-9a-f]+)p[+-]?[0-9]+[fd]?|inf|infinity|nan)[\x00-\x20]*$"
 )
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
@@ -45,7 +48,8 @@ def as_integer(value: str | Column, data_type: DataType | None = None) -> Column
         return F.when(value.between(INT_MIN, INT_MAX), value.cast("int"))
     if data_type is not None and not isinstance(data_type, StringType):
         return value.try_cast("int")
-    digits = F.regexp_extract_all(value.cast("string"), F.lit(INTEGER_TEXT), F.lit(1))
+    # a sign, and a zero in front so that a fraction alone is zero; no match gives no element
+    digits = F.regexp_extract_all(F.regexp_replace(value.cast("string"), INTEGER_TEXT, "$10$2"), F.lit(r"^[+-]?[0-9]+$"), F.lit(0))
     return F.get(digits, F.lit(0)).try_cast("int")
 
 

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column, as_condition
 
-# A list this long is still a sensible number of columns to build from it.
-MAX_VALUES = 10_000
-
 
 def deduplicate(
     df: DataFrame, partition_by: Sequence[str | Column], order_by: Sequence[str | Column]
@@ -58,29 +55,32 @@ def column_values(
     max_records: int | None = None,
     default: list | None = None,
     where: str | Column | None = None,
+    refuse_above: int | None = None,
 ) -> list:
-    """Distinct values of a column as a list (starts a job).
+    """Distinct values of a column as a list on the driver (starts a job).
 
     Ordered by falling frequency unless ``order_by`` says otherwise. The default
-    is returned for a missing or empty table. Longer lists than ``MAX_VALUES``
-    are refused, never cut: they do not belong on the driver.
+    is returned for a missing or empty table. ``value_counts`` keeps long lists
+    distributed; with ``refuse_above`` a list with more values is an error, never cut.
     """
     if df is None:
         if default is None:
             raise ValueError("the table does not exist and no default was given")
         return default
-    if max_records is not None and max_records > MAX_VALUES:
-        raise ValueError(f"at most {MAX_VALUES} values fit in a list")
     rows = df.filter(as_condition(where)).groupBy(as_column(column).alias("value"))
     counts = rows.agg(F.count(F.lit(1)).alias("num_rows"))
     if order_by is None:
         order = [F.desc("num_rows")]
     else:
         order = [F.expr(order_by) if isinstance(order_by, str) else order_by]
-    limit = MAX_VALUES + 1 if max_records is None else max_records
-    values = [r["value"] for r in counts.orderBy(*order, F.asc_nulls_last("value")).limit(limit).collect()]
-    if len(values) > MAX_VALUES:
-        raise ValueError(f"{column} has more than {MAX_VALUES} distinct values")
+    counts = counts.orderBy(*order, F.asc_nulls_last("value"))
+    if max_records is not None:
+        counts = counts.limit(max_records)
+    elif refuse_above is not None:
+        counts = counts.limit(refuse_above + 1)
+    values = [r["value"] for r in counts.select("value").collect()]
+    if refuse_above is not None and len(values) > refuse_above:
+        raise ValueError(f"{column} has more than {refuse_above} distinct values")
     return values or default
 
 

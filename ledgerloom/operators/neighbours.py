@@ -10,22 +10,12 @@ before the shuffle, so a value held by a third of all rows is one combination.
 from __future__ import annotations
 
 from functools import reduce
-from math import ceil
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A range of this many rows is sorted by one task.
-ROWS_PER_RANGE = 1_000_000
-# More ranges would make the list of boundaries in the plan unwieldy.
-MAX_RANGES = 4096
-# Keys drawn to place the boundaries, and the most rows that reach the driver for it.
-SAMPLES_PER_RANGE = 16
-SAMPLES = 16 * 1024
-
-_STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-_JSON = {"timestampNTZFormat": _STAMP, "timestampFormat": _STAMP}
+from ledgerloom.session import scratch_folder
 
 
 def adjacent(
@@ -33,7 +23,7 @@ def adjacent(
     group: dict[str, Column],
     order: dict[str, Column],
     following: bool,
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """One row per distinct combination of ``group`` and ``order`` values.
 
@@ -41,31 +31,20 @@ def adjacent(
     a struct of the next (``following``) or previous combination's ``order``
     values in the same group, NULL at the end of the group. NULLs sort last.
 
-    Starts a job that counts the rows, and for large inputs a second one that
-    samples range boundaries. The boundaries only steer the balance: any choice
-    gives the same result.
+    Starts a job that writes the combinations to the scratch folder, each with the
+    number of its range. There are as many ranges as shuffle partitions unless
+    ``ranges`` says otherwise; any number gives the same result.
     """
-    rows = df.select(_sort_key(list(group.values()), list(order.values())).alias("_key"))
-    distinct = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("copies"))
-    boundaries = _boundaries(rows, rows_per_range)
-    # out of a generator the number is a plain column: were it an expression, the optimizer
-    # would derive conditions from it for the other side of the join below
-    number = _range_number(boundaries, rows).alias("_range")
-    distinct = distinct.select("*", F.inline(F.array(F.struct(number))))
-
-    step = F.lead if following else F.lag
-    by_key = Window.partitionBy("_range").orderBy("_key")
-    found = distinct.withColumn("_near", step("_key").over(by_key))
-    if boundaries:
-        # one row per range, at most MAX_RANGES: the key facing the neighbouring range
-        edge = (F.min if following else F.max)("_key")
-        edges = distinct.groupBy("_range").agg(edge.alias("_edge"), F.sum("copies").alias("_rows"))
-        # the count is only used so that both branches read the same shuffled groups
-        edges = edges.filter("_rows > 0").select(
-            "_range", step("_edge").over(Window.orderBy("_range")).alias("_carried")
-        )
-        found = found.join(F.broadcast(edges), "_range", "left")
-        found = found.withColumn("_near", F.coalesce("_near", "_carried"))
+    distinct = _in_ranges(df.select(_sort_key(list(group.values()), list(order.values())).alias("_key")), ranges)
+    step, back = (F.lead, F.lag) if following else (F.lag, F.lead)
+    in_range = Window.partitionBy("_range").orderBy("_key")
+    found = distinct.select(
+        "*", step("_key").over(in_range).alias("_near"), back("_key").over(in_range).isNull().alias("_faces")
+    )
+    # one row per range: the key that faces the neighbouring range
+    edges = found.filter("_faces").select("_range", F.col("_key").alias("_edge"))
+    edges = edges.select("_range", step("_edge").over(Window.orderBy("_range")).alias("_carried"))
+    found = found.join(edges, "_range", "left").withColumn("_near", F.coalesce("_near", "_carried"))
 
     near, groups, orders = F.col("_near"), range(len(group)), range(len(order))
     same_group = reduce(
@@ -87,39 +66,15 @@ def _sort_key(group: list[Column], order: list[Column]) -> Column:
     return F.struct(*parts)
 
 
-def _range_number(boundaries: list[str], rows: DataFrame) -> Column:
-    """How many boundaries are not above ``_key``, by binary search."""
-    if not boundaries:
-        return F.lit(0)
-    key_type = rows.schema["_key"].dataType.simpleString()
-    sorted_keys = F.from_json(F.lit(f"[{','.join(boundaries)}]"), f"array<{key_type}>", _JSON)
-    strides = F.array(*[F.lit(1 << i) for i in reversed(range(len(boundaries).bit_length()))])
-
-    def search(key: Column) -> Column:
-        # past the end there is no boundary and the comparison is NULL
-        return F.aggregate(
-            strides,
-            F.lit(0),
-            lambda low, stride: F.when(F.get(sorted_keys, low + stride - 1) <= key, low + stride).otherwise(low),
-        )
+def _in_ranges(keys: DataFrame, ranges: int | None) -> DataFrame:
+    """Distinct keys with their ``copies`` and the number of the range of the sort order they lie in.
 
-    # bound as a lambda variable the key is brought to the type of the boundaries only once
-    return F.get(F.transform(F.array(F.col("_key").cast(key_type)), search), F.lit(0))
-
-
-def _boundaries(keys: DataFrame, rows_per_range: int) -> list[str]:
-    """Evenly spaced keys of a bounded sample, as JSON in sort order; none for a small table."""
-    # the smallest hash of each portion picks a uniform sample of the distinct keys
-    hashed = keys.withColumn("_hash", F.xxhash64("_key"))
-    portions = hashed.groupBy(F.pmod("_hash", F.lit(SAMPLES)).alias("_portion"))
-    found = portions.agg(F.count(F.lit(1)).alias("rows"), F.min("_hash").alias("hash")).collect()
-    ranges = min(MAX_RANGES, ceil(sum(r["rows"] for r in found) / rows_per_range))
-    if ranges <= 1:
-        return []
-    # in order of hash, since the rows may come in the order of the data
-    hashes = sorted(r["hash"] for r in found)[: ranges * SAMPLES_PER_RANGE]
-    chosen = keys.sparkSession.createDataFrame([(h,) for h in hashes], "_hash bigint")
-    sample = hashed.join(F.broadcast(chosen), "_hash", "left_semi").select("_key").distinct()
-    texts = [r[0] for r in sample.orderBy("_key").select(F.to_json("_key", _JSON)).limit(2 * SAMPLES).collect()]
-    spacing = ceil(len(texts) / ranges)
-    return texts[spacing::spacing]
+    Written once, so that the numbers stay what they are.
+    """
+    spark = keys.sparkSession
+    distinct = keys.groupBy("_key").agg(F.count(F.lit(1)).alias("copies"))
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = distinct.repartitionByRange(n, "_key").withColumn("_range", F.spark_partition_id())
+    folder = scratch_folder(spark, "ranges")
+    placed.write.parquet(folder)
+    return spark.read.schema(placed.schema).parquet(folder)

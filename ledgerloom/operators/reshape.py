@@ -8,7 +8,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DataType, StringType
+from pyspark.sql.types import (
+    BooleanType,
+    ByteType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    NumericType,
+    ShortType,
+    StringType,
+)
 
 from ledgerloom.functions.columns import as_column, as_condition, as_expression
 from ledgerloom.functions.names import slugify
@@ -28,16 +40,39 @@ COMPARISONS: dict[str, Callable[[Column, Column], Column]] = {
 AGGREGATES = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "avg": F.avg}
 DISTINCT_AGGREGATES = {"sum": F.sum_distinct, "count": F.count_distinct, "min": F.min, "max": F.max}
 
+# Digits a decimal can have.
+MOST_DIGITS = 38
+
 # Fixed value: readers of existing unions look for this column.
 SOURCE_COLUMN = "_dbt_source_relation"
 
 
+def _comparison(column: str, cmp: str | Callable[[Column, Column], Column], value) -> Column:
+    """Any operator of SQL, or a function of two Columns, between a column and a literal."""
+    known = cmp if callable(cmp) else COMPARISONS.get(cmp.lower())
+    if known:
+        return known(as_column(column), F.lit(value))
+    if not isinstance(value, (str, int, float)):
+        raise ValueError(f"{cmp!r} takes texts and numbers, got {value!r}")
+    literal = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else repr(value)
+    return F.expr(f"`{column.replace('`', '``')}` {cmp} {literal}")
+
+
+def _aggregate(agg: str | Callable[[Column], Column], distinct: bool) -> Callable[[Column], Column]:
+    if callable(agg):
+        return agg
+    known = (DISTINCT_AGGREGATES if distinct else AGGREGATES).get(agg.lower())
+    if known is None and distinct:
+        raise ValueError(f"over distinct values agg is a function or one of {sorted(DISTINCT_AGGREGATES)}, got {agg!r}")
+    return known or (lambda case: F.call_function(agg, case))
+
+
 def pivot_columns(
     column: str,
     values: Sequence,
     alias: bool = True,
-    agg: str = "sum",
-    cmp: str = "=",
+    agg: str | Callable[[Column], Column] = "sum",
+    cmp: str | Callable[[Column, Column], Column] = "=",
     prefix: str = "",
     suffix: str = "",
     then_value=1,
@@ -47,21 +82,17 @@ def pivot_columns(
 ) -> list[Column]:
     """One conditional aggregate per value, for use inside ``agg``.
 
-    ``then_value`` and ``else_value`` are literals, Columns or SQL text. A value
-    that does not occur gives ``else_value``, never NULL. Without
+    ``agg`` is the name of any SQL aggregate or a function of a Column, ``cmp`` an
+    operator of SQL or a function of two Columns. ``then_value`` and ``else_value``
+    are literals, Columns or SQL text. A value that does not occur gives ``else_value``, never NULL. Without
     ``quote_identifiers`` the new names are slugs.
     """
-    if cmp.lower() not in COMPARISONS:
-        raise ValueError(f"cmp must be one of {sorted(COMPARISONS)}, got {cmp!r}")
-    aggregates = DISTINCT_AGGREGATES if distinct else AGGREGATES
-    if agg.lower() not in aggregates:
-        raise ValueError(f"agg must be one of {sorted(aggregates)}, got {agg!r}")
-    matches = COMPARISONS[cmp.lower()]
+    aggregated = _aggregate(agg, distinct)
     then_value, else_value = as_expression(then_value), as_expression(else_value)
     result = []
     for value in values:
-        case = F.when(matches(as_column(column), F.lit(value)), then_value).otherwise(else_value)
-        aggregate = aggregates[agg.lower()](case)
+        case = F.when(_comparison(column, cmp, value), then_value).otherwise(else_value)
+        aggregate = aggregated(case)
         if alias:
             name = f"{prefix}{value}{suffix}"
             aggregate = aggregate.alias(name if quote_identifiers else slugify(name))
@@ -122,6 +153,27 @@ def unpivot(
     return wide.unpivot(ids, [as_column(f.name) for f in melted], field_name, value_name)
 
 
+def common_type(first: DataType, second: DataType) -> DataType:
+    """Text if either is text, the number type that loses nothing of either, else the first."""
+    if isinstance(second, StringType):
+        return second
+    if first == second or not (isinstance(first, NumericType) and isinstance(second, NumericType)):
+        return first
+    if any(isinstance(t, (FloatType, DoubleType)) for t in (first, second)):
+        return DoubleType()
+    # whole numbers are decimals without a fraction
+    (whole_1, scale_1), (whole_2, scale_2) = ((t.precision - t.scale, t.scale) for t in map(_as_decimal, (first, second)))
+    if not any(isinstance(t, DecimalType) for t in (first, second)):
+        return first if whole_1 >= whole_2 else second
+    whole, scale = max(whole_1, whole_2), max(scale_1, scale_2)
+    return DecimalType(whole + scale, scale) if whole + scale <= MOST_DIGITS else DoubleType()
+
+
+def _as_decimal(number: DataType) -> DecimalType:
+    digits = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 20}
+    return number if isinstance(number, DecimalType) else DecimalType(digits[type(number)], 0)
+
+
 def union_relations(
     relations: Mapping[str, DataFrame] | Sequence[tuple[str, DataFrame]],
     column_override: Mapping[str, str] | None = None,
@@ -134,7 +186,8 @@ def union_relations(
 
     Columns appear in the order first seen; a table lacking one contributes
     NULLs. The type of a column is the override, else string if any table has
-    text there, else the type first seen. ``where`` filters every table.
+    text there, else the number type that holds all its numbers, else the type
+    first seen. ``where`` filters every table.
     """
     if include and exclude:
         raise ValueError("give include or exclude, not both")
@@ -150,8 +203,9 @@ def union_relations(
                 continue
             if key not in columns:
                 columns[key] = (f.name, overrides.get(key, f.dataType))
-            elif isinstance(f.dataType, StringType) and key not in overrides:
-                columns[key] = (columns[key][0], f.dataType)
+            elif key not in overrides:
+                label, seen = columns[key]
+                columns[key] = (label, common_type(seen, f.dataType))
     if not columns:
         raise ValueError(f"no columns left to union for {[name for name, _ in named]}")
 

@@ -41,7 +41,7 @@ def date_spine(
     last = F.lit(end.isoformat(sep=" ")).cast("timestamp_ntz")
     name = f"date_{part}"
     numbers = generate_series(spark, periods_between(part, start, end))
-    step = (F.col("generated_number") - 1).cast("int")
+    step = F.col("generated_number") - 1
     return numbers.select(add_interval(part, step, first).alias(name)).filter(F.col(name) <= last)
 
 

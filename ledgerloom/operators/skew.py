@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,48 +11,43 @@ from ledgerloom.functions.columns import as_column
 
 # Rows of one key a single join task can take without trouble.
 HOT_KEY_ROWS = 1_000_000
+# Portions that rows without a key are dealt out to.
+NULL_PORTIONS = 1024
 # Copies of one row a single task writes at most.
 COPIES_PER_TASK = 1_000_000
 
 
 def hot_keys(df: DataFrame, key: str, rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Keys with more than ``rows`` rows, NULL included.
+    """Keys with more than ``rows`` rows and ``parts``, the portions of that size they make.
 
-    There are fewer of them than row count / ``rows``, which makes them safe to
-    broadcast: 100,000 keys for a table of 100 billion rows.
+    There are fewer of them than row count / ``rows``, so that one task can hold the list and Spark,
+    which sees its size at run time, decides whether to broadcast it.
     """
-    counts = df.groupBy(as_column(key)).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.filter(F.col("_rows") > rows).select(as_column(key))
+    counts = df.filter(as_column(key).isNotNull()).groupBy(as_column(key)).agg(F.count(F.lit(1)).alias("_rows"))
+    parts = F.ceil(F.col("_rows") / rows).cast("int").alias("_parts")
+    return counts.filter(F.col("_rows") > rows).select(as_column(key), parts).repartition(1)
 
 
 def left_join_unique(
     base: DataFrame, lookups: Sequence[DataFrame], key: str, hot_key_rows: int = HOT_KEY_ROWS
 ) -> DataFrame:
-    """Left joins of ``base`` with tables that hold one row per key.
+    """Left joins of ``base`` with tables that hold one row per key, as one plan without a job.
 
-    Starts a job that counts the keys of ``base`` and returns the few hot ones.
-    Without any, these are plain joins; lookups already grouped by the key are
-    not shuffled again. Otherwise rows of hot keys stay where they
-    are and meet a broadcast of the few lookup rows these keys have, rows with a
-    NULL key stay where they are and match nothing, and only the others are
-    joined by shuffling.
+    Rows of a hot key are dealt out over its portions by a hash of the row, and the key's one row of each
+    lookup is repeated for every portion. Rows with a NULL key match nothing and are dealt out as well.
     """
+    if not lookups:
+        return base
     hot = hot_keys(base, key, hot_key_rows)
-    found = hot.collect()
-    if not found:
-        return reduce(lambda df, lookup: df.join(lookup, key, "left"), lookups, base)
-
-    hot = F.broadcast(base.sparkSession.createDataFrame(found, hot.schema))
-    present = base.filter(as_column(key).isNotNull())
-    cold_rows = present.join(hot, key, "left_anti")
-    hot_rows = present.join(hot, key, "left_semi")
-    missing = base.filter(as_column(key).isNull())
+    portion = F.when(as_column(key).isNull(), F.lit(NULL_PORTIONS)).otherwise(F.coalesce("_parts", F.lit(1)))
+    row = F.xxhash64(*[as_column(c) for c in base.columns])
+    joined = base.join(hot, key, "left").withColumn("_part", F.pmod(row, portion).cast("int")).drop("_parts")
     for lookup in lookups:
-        cold_rows = cold_rows.join(lookup, key, "left")
-        hot_rows = hot_rows.join(F.broadcast(lookup.join(hot, key, "left_semi")), key, "left")
-        added = [f for f in lookup.schema.fields if f.name != key]
-        missing = missing.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
-    return cold_rows.unionByName(hot_rows).unionByName(missing)
+        copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("_part")
+        dealt = lookup.filter(as_column(key).isNotNull()).join(hot, key, "left").select(*map(as_column, lookup.columns), copies)
+        joined = joined.join(dealt, [key, "_part"], "left")
+    added = [as_column(c) for lookup in lookups for c in lookup.columns if c != key]
+    return joined.select(*map(as_column, base.columns), *added)
 
 
 def repeat_rows(df: DataFrame, copies: str, per_task: int = COPIES_PER_TASK) -> DataFrame:

@@ -39,6 +39,9 @@ def warehouse_tests(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "not_null dim_bureau.bureau_id": checks.not_null(tables["dim_bureau"], "bureau_id"),
         "unique dim_bureau.bureau_id": checks.unique(tables["dim_bureau"], "bureau_id"),
         "not_null fact_loans.avg_credit_amount": checks.not_null(tables["fact_loans"], "avg_credit_amount"),
+        "relationships fact_loans.customer_key": checks.relationships(
+            tables["fact_loans"], "customer_key", tables["dim_customer"], "customer_key"
+        ),
     }
 
 
@@ -49,12 +52,13 @@ def run(
     from_raw: bool = False,
     strict: bool = True,
     land_as: str | None = None,
+    land_format: str = "iceberg",
 ) -> dict[str, DataFrame]:
     """Build every product of the seven raw tables in ``lake`` and return them by name.
 
     Steps, in order: silver and quarantine, enriched staging, staging gate,
     dimensions and fact, expectation suites, key tests, landing in the namespace
-    ``land_as``. Each step reads what the step before has written. ``from_raw``
+    ``land_as`` as ``land_format``. Each step reads what the step before has written. ``from_raw``
     builds the warehouse from unvalidated rows instead of silver. A failed gate,
     suite or test raises ``CheckFailed`` if ``strict``.
     """
@@ -95,7 +99,7 @@ def run(
                 raise checks.CheckFailed(f"{name}: {found.failures} failures")
     if land_as:
         for name, table in tables.items():
-            products[land(table, land_as, name)] = table
+            products[land(table, land_as, name, land_format)] = table
     return products
 
 

@@ -20,7 +20,7 @@ from ledgerloom.functions.columns import as_column, as_condition, as_expression
 from ledgerloom.functions.dates import add_interval, check_date_part
 from ledgerloom.functions.names import slugify
 from ledgerloom.operators.grouping import key_counts
-from ledgerloom.operators.neighbours import ROWS_PER_RANGE, adjacent
+from ledgerloom.operators.neighbours import adjacent
 from ledgerloom.operators.setops import counts_on_both_sides, except_both_ways
 from ledgerloom.operators.skew import repeat_rows
 
@@ -290,7 +290,7 @@ def sequential_values(
     datepart: str | None = None,
     group_by: Sequence[str] = (),
     where: Condition = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Rows whose value is not the previous one plus the interval; the first passes.
 
@@ -301,7 +301,7 @@ def sequential_values(
         check_date_part(datepart)
     rows = df.filter(as_condition(where)).filter(as_column(column).isNotNull())
     groups = {f"group_{i}": as_column(name) for i, name in enumerate(group_by)}
-    near = adjacent(rows, groups, {"value": as_column(column)}, following=False, rows_per_range=rows_per_range)
+    near = adjacent(rows, groups, {"value": as_column(column)}, following=False, ranges=ranges)
 
     # the first of equal rows follows the previous value, the others follow their like
     value = F.col("value")
@@ -338,7 +338,7 @@ def mutually_exclusive_ranges(
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
     where: Condition = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Ranges that are empty or run into the next one. Bounds and partition are SQL text.
 
@@ -350,7 +350,7 @@ def mutually_exclusive_ranges(
     length_words = "less_than_or_equal_to" if zero_length_range_allowed else "less_than"
     group = {} if partition_by is None else {"partition_by_col": F.expr(partition_by)}
     order = {"lower_bound": F.expr(lower_bound), "upper_bound": F.expr(upper_bound)}
-    near = adjacent(df.filter(as_condition(where)), group, order, following=True, rows_per_range=rows_per_range)
+    near = adjacent(df.filter(as_condition(where)), group, order, following=True, ranges=ranges)
 
     # all but one of equal ranges are followed by their like
     lower, upper = F.col("lower_bound"), F.col("upper_bound")

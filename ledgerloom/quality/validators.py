@@ -21,7 +21,7 @@ from ledgerloom.quality.rules import (
     tag,
     with_numbers,
 )
-from ledgerloom.sources.tables import Lake
+from ledgerloom.sources.tables import CHECKED, SIDE, Lake, side_columns
 
 
 def required(column: str, to: str) -> list[Rule]:
@@ -138,9 +138,6 @@ STAGING_RULES: list[Rule] = [
 
 TABLES = tuple(RULES)
 
-# Partition column of stored tables: true for rejected rows.
-SIDE = "_rejected"
-
 
 @dataclass(frozen=True)
 class Checked:
@@ -192,7 +189,6 @@ def store_staging(lake: Lake, df: DataFrame, table: str = "stg_loan_application_
 
 
 def _store(lake: Lake, tagged: Tagged, table: str, layer: str, retyped: bool) -> Checked:
-    kept = [(name, name) for name in tagged.columns]
     typed = {name: f"_{name}" for name in tagged.numbers} if retyped else {}
     rows = tagged.rows.select(
         *tagged.shown(False),
@@ -200,16 +196,15 @@ def _store(lake: Lake, tagged: Tagged, table: str, layer: str, retyped: bool) ->
         REASON,
         F.col(REASON).isNotNull().alias(SIDE),
     )
-    lake.write(rows, "checked", table, partition_by=[SIDE])
+    lake.write(rows, CHECKED, table, partition_by=[SIDE])
 
-    valid = [pair for pair in kept if pair[0] not in typed] + [(stored, name) for name, stored in typed.items()]
-    rejects = [*kept, (REASON, REASON)]
+    valid, rejects = (side_columns(rows.columns, rejected) for rejected in (False, True))
     if lake.catalog:
-        source = ("checked", table)
+        source = (CHECKED, table)
         lake.create_view(layer, table, source, valid, f"NOT {SIDE}")
         lake.create_view("quarantine", f"{table}_rejects", source, rejects, SIDE)
     # the schema is given because an empty side has no files to take it from
-    stored = lake.spark.read.schema(rows.schema).parquet(lake.path("checked", table))
+    stored = lake.spark.read.schema(rows.schema).parquet(lake.path(CHECKED, table))
 
     def shown(condition: Column, names: list[tuple[str, str]]) -> DataFrame:
         return stored.filter(condition).select(*[as_column(old).alias(new) for old, new in names])

@@ -10,9 +10,6 @@ from ledgerloom.quality import checks
 from ledgerloom.queries.registry import query, table
 from ledgerloom.queries.standins import clean, clean_sql
 
-# Smaller ranges than by default, so that the test tables are cut as large ones are.
-ROWS_PER_RANGE = 10_000
-
 
 @query("check_not_null", clean_sql("application_train") + " SELECT * FROM application_train WHERE TARGET IS NULL")
 def check_not_null(spark: SparkSession, folder: str) -> DataFrame:
@@ -296,7 +293,7 @@ def check_recency_by_date(spark: SparkSession, folder: str) -> DataFrame:
     WHERE NOT (l_orderkey = previous_l_orderkey + 1)""",
 )
 def check_sequential_values(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.sequential_values(table(spark, folder, "lineitem"), "l_orderkey", rows_per_range=ROWS_PER_RANGE)
+    return checks.sequential_values(table(spark, folder, "lineitem"), "l_orderkey")
 
 
 @query(
@@ -309,7 +306,7 @@ def check_sequential_values(spark: SparkSession, folder: str) -> DataFrame:
 )
 def check_sequential_values_grouped(spark: SparkSession, folder: str) -> DataFrame:
     return checks.sequential_values(
-        table(spark, folder, "events"), "user_id", 2, group_by=["event_type"], rows_per_range=ROWS_PER_RANGE
+        table(spark, folder, "events"), "user_id", 2, group_by=["event_type"]
     )
 
 
@@ -324,7 +321,7 @@ def check_sequential_values_grouped(spark: SparkSession, folder: str) -> DataFra
 def check_sequential_hours(spark: SparkSession, folder: str) -> DataFrame:
     hours = table(spark, folder, "events").select("event_type", F.date_trunc("hour", "ts").alias("hour"))
     failing = checks.sequential_values(
-        hours, "hour", 1, datepart="hour", group_by=["event_type"], rows_per_range=ROWS_PER_RANGE
+        hours, "hour", 1, datepart="hour", group_by=["event_type"]
     )
     texts = [F.date_format(name, "yyyy-MM-dd HH").alias(name) for name in ("hour", "previous_hour")]
     return failing.select("event_type", *texts)
@@ -389,7 +386,6 @@ def _range_check(by: str | None, gaps: str, zero_length: bool):
             partition_by=by,
             gaps=gaps,
             zero_length_range_allowed=zero_length,
-            rows_per_range=ROWS_PER_RANGE,
         )
 
     return run

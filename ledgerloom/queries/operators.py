@@ -212,6 +212,36 @@ def union_included(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("union_widened", """
+    SELECT 'order' AS source, o_orderkey AS id, CAST(o_custkey AS DOUBLE) AS amount FROM orders
+    UNION ALL SELECT 'line', l_orderkey, l_extendedprice FROM lineitem
+    UNION ALL SELECT 'nation', CAST(n_nationkey AS BIGINT), CAST(n_regionkey AS DOUBLE) FROM nation""")
+def union_widened(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole and fractional numbers, short and long ones, in either order."""
+    nation = table(spark, folder, "nation").selectExpr("CAST(n_nationkey AS INT) AS id", "CAST(n_regionkey AS INT) AS amount")
+    orders = table(spark, folder, "orders").selectExpr("o_orderkey AS id", "o_custkey AS amount")
+    lines = table(spark, folder, "lineitem").selectExpr("CAST(l_orderkey AS INT) AS id", "l_extendedprice AS amount")
+    return reshape.union_relations([("nation", nation), ("order", orders), ("line", lines)], source_column="source")
+
+
+@query("pivot_any_aggregate", """
+    SELECT o_orderstatus, bool_or(o_orderpriority = '1-URGENT') AS "1-URGENT", bool_or(o_orderpriority = '5-LOW') AS "5-LOW"
+    FROM orders GROUP BY o_orderstatus""")
+def pivot_any_aggregate(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders")
+    return reshape.pivot(
+        orders, ["o_orderstatus"], "o_orderpriority", ["1-URGENT", "5-LOW"], agg="bool_or", then_value=F.lit(True), else_value=F.lit(False)
+    )
+
+
+@query("pivot_any_comparison", """
+    SELECT o_orderstatus, max(CASE WHEN regexp_matches(o_orderpriority, '^[12]') THEN o_totalprice ELSE 0 END) AS "^[12]"
+    FROM orders GROUP BY o_orderstatus""")
+def pivot_any_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders")
+    return reshape.pivot(orders, ["o_orderstatus"], "o_orderpriority", ["^[12]"], agg=F.max, cmp="RLIKE", then_value="o_totalprice")
+
+
 @query("except_both_ways", """
     SELECT 'a_minus_b' AS which_diff, * FROM (SELECT o_custkey AS k FROM orders EXCEPT SELECT user_id FROM events)
     UNION ALL SELECT 'b_minus_a', * FROM (SELECT user_id AS k FROM events EXCEPT SELECT o_custkey FROM orders)""")

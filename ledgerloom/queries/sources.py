@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.queries.registry import query, table
+from ledgerloom.queries.registry import own_name, query, table
 from ledgerloom.session import scratch_folder
 from ledgerloom.sources import csv_files, tables
 from ledgerloom.sources.discovery import union_folders, union_tables_like
@@ -74,10 +74,11 @@ def union_like(spark: SparkSession, folder: str) -> DataFrame:
     """Catalog tables found by pattern, one of them excluded."""
     lake = Lake(spark, scratch_folder(spark, "accounts"), catalog=True)
     customer, supplier = _accounts(spark, folder)
-    lake.write(customer, "accounts", "acct_customer")
-    lake.write(supplier, "accounts", "acct_supplier")
-    lake.write(supplier, "accounts", "acct_supplier_old")
-    return union_tables_like(spark, "accounts", "ACCT_%", exclude="%_old", source_column=None)
+    accounts = own_name(spark, "accounts")
+    lake.write(customer, accounts, "acct_customer")
+    lake.write(supplier, accounts, "acct_supplier")
+    lake.write(supplier, accounts, "acct_supplier_old")
+    return union_tables_like(spark, accounts, "ACCT_%", exclude="%_old", source_column=None)
 
 
 @query("union_folders", UNION_ACCOUNTS)
@@ -93,9 +94,10 @@ def union_of_folders(spark: SparkSession, folder: str) -> DataFrame:
 def layer_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Tables of two layers, written and read through the catalog."""
     lake = Lake(spark, scratch_folder(spark, "layers"), catalog=True)
-    lake.write(table(spark, folder, "nation"), "raw", "nation")
-    lake.write(table(spark, folder, "region"), "staging", "region")
-    nation, region = spark.table("raw.nation"), spark.table("staging.region")
+    raw, staging = own_name(spark, "raw"), own_name(spark, "staging")
+    lake.write(table(spark, folder, "nation"), raw, "nation")
+    lake.write(table(spark, folder, "region"), staging, "region")
+    nation, region = spark.table(f"{raw}.nation"), spark.table(f"{staging}.region")
     joined = nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
     return joined.select("n_nationkey", "n_name", "r_name")
 

@@ -114,5 +114,6 @@ for _name in DIRTY:
 def stored_validation(spark: SparkSession, folder: str) -> DataFrame:
     """Both sides of a table, stored with one scan and read back."""
     lake = Lake(spark, scratch_folder(spark, "checked"))
-    stored = validate_and_store(lake, dirty(spark, folder, "bureau"), "bureau")
-    return stored.valid.unionByName(stored.rejects, allowMissingColumns=True)
+    validate_and_store(lake, dirty(spark, folder, "bureau"), "bureau")
+    valid, rejects = lake.read("silver", "bureau"), lake.read("quarantine", "bureau_rejects")
+    return valid.unionByName(rejects, allowMissingColumns=True)

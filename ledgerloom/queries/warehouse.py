@@ -19,7 +19,7 @@ from ledgerloom.quality.suite import (
     suite_success,
 )
 from ledgerloom.quality.validators import TABLES, validate_staging
-from ledgerloom.queries.registry import query
+from ledgerloom.queries.registry import own_name, query
 from ledgerloom.queries.standins import clean, clean_sql, dirty
 from ledgerloom.queries.validation import tagged_sql, whole
 from ledgerloom.session import scratch_folder
@@ -302,6 +302,15 @@ def _counts_sql() -> str:
     return f"WITH {', '.join(tagged)} {' UNION ALL '.join(lines)}"
 
 
+@query("strict_run", clean_sql("application_train", "bureau") + FACT_LOANS)
+def strict_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The default run on clean input, gates on, landed, and the landed fact table read back."""
+    raw = {name: clean(spark, folder, name) for name in TABLES}
+    lake, namespace = Lake(spark, scratch_folder(spark, "run")), own_name(spark, "landed")
+    products = run(lake, raw, land_as=namespace, land_format="parquet")
+    return spark.table(f"{namespace}.fact_loans").select(*products["warehouse.fact_loans"].columns)
+
+
 @query("product_counts", _counts_sql())
 def all_products(spark: SparkSession, folder: str) -> DataFrame:
     """The whole run on dirty input, one row per product with its row count."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -34,14 +36,16 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables, under ``spark.checkpoint.dir``.
 
     The cluster's setting wins. Only a local session without one gets a
-    temporary folder of its own, because executors on other machines could
-    not read it.
+    temporary folder of its own, removed when Python ends, because executors on other
+    machines could not read it. Tables in a cluster's folder stay until it is cleared.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
+        own = tempfile.mkdtemp(prefix="ledgerloom-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
         root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -23,7 +23,7 @@ class Database:
 
     spark: SparkSession
     url: str
-    properties: Mapping[str, str] = field(default_factory=dict)
+    properties: Mapping[str, str] = field(default_factory=dict, repr=False)
 
     def _load(self, options: Mapping[str, str]) -> DataFrame:
         return self.spark.read.format("jdbc").options(url=self.url, **self.properties, **options).load()

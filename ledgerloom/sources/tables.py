@@ -12,6 +12,10 @@ from ledgerloom.functions.columns import as_column
 
 LAYERS = ("raw", "silver", "quarantine", "staging", "warehouse")
 
+# The layer that holds valid and rejected rows together, its partition column (true for rejected
+# rows), and the column with the first rule a row broke.
+CHECKED, SIDE, REASON = "checked", "_rejected", "reject_reason"
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -36,7 +40,8 @@ class Lake:
 
     def write(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()) -> None:
         """Replace the table (starts a job). Files are written by all tasks in parallel."""
-        writer = df.write.mode("overwrite").format("parquet")
+        # the whole table is replaced, also where the session overwrites single partitions only
+        writer = df.write.mode("overwrite").format("parquet").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if self.catalog:
@@ -58,10 +63,38 @@ class Lake:
         )
 
     def read(self, layer: str, table: str, columns: Sequence[str] | None = None) -> DataFrame:
-        """The table, or those of ``columns`` it has; only these are read from the files."""
-        df = self.spark.read.parquet(self.path(layer, table))
+        """The table, or those of ``columns`` it has; only these are read from the files.
+
+        Valid and rejected rows lie in one table of the layer ``checked``; their names in other
+        layers are resolved to their side of it.
+        """
+        if self._exists(self.path(layer, table)):
+            df = self.spark.read.parquet(self.path(layer, table))
+        else:
+            df = self._side(layer, table)
         return df if columns is None else existing_columns(df, columns)
 
+    def _exists(self, path: str) -> bool:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(place)
+
+    def _side(self, layer: str, table: str) -> DataFrame:
+        rejected = layer == "quarantine"
+        stored = self.spark.read.parquet(self.path(CHECKED, table.removesuffix("_rejects") if rejected else table))
+        # read back without a schema, the folder names are text
+        is_rejected = as_column(SIDE).cast("boolean")
+        side = stored.filter(is_rejected if rejected else ~is_rejected)
+        return side.select(*[as_column(old).alias(new) for old, new in side_columns(stored.columns, rejected)])
+
+
+def side_columns(stored: Sequence[str], rejected: bool) -> list[tuple[str, str]]:
+    """Stored and shown names of one side: rejects as they came, with the reason; valid rows with converted columns last."""
+    plain = [c for c in stored if c not in (REASON, SIDE)]
+    typed = [c for c in plain if c[:1] == "_" and c[1:] in plain]
+    if rejected:
+        return [(c, c) for c in plain if c not in typed] + [(REASON, REASON)]
+    return [(c, c) for c in plain if c not in typed and f"_{c}" not in typed] + [(c, c[1:]) for c in typed]
+
 
 def table_columns(df: DataFrame) -> list[str]:
     return list(df.columns)
@@ -107,14 +140,18 @@ def materialize(df: DataFrame, name: str, how: str = "view") -> DataFrame:
     return spark.table(name)
 
 
-def land(df: DataFrame, namespace: str, table: str, catalog: str = "iceberg") -> str:
+def land(df: DataFrame, namespace: str, table: str, format: str = "iceberg", catalog: str = "iceberg") -> str:
     """Create or replace a lakehouse table and return its name (starts a write).
 
-    Uses the named Iceberg catalog where the session has one; otherwise the
-    table becomes a Parquet table of the session catalog.
+    ``format`` is "iceberg", for a table of the named Iceberg catalog, which the session must
+    have, or "parquet", for a table of the session catalog.
     """
     spark = df.sparkSession
-    if spark.conf.get(f"spark.sql.catalog.{catalog}", None):
+    if format not in ("iceberg", "parquet"):
+        raise ValueError(f"format must be 'iceberg' or 'parquet', got {format!r}")
+    if format == "iceberg":
+        if not spark.conf.get(f"spark.sql.catalog.{catalog}", None):
+            raise ValueError(f"the session has no catalog {catalog!r}; land as 'parquet' or set spark.sql.catalog.{catalog}")
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {catalog}.{namespace}")
         name = f"{catalog}.{namespace}.{table}"
         df.writeTo(name).using("iceberg").createOrReplace()

@@ -126,13 +126,33 @@ def test_integers_from_text(spark):
         "2147483647": 2147483647,
         "2147483648": None,
         "99999999999999999999": None,
+        ".5": 0,
+        "-.5": 0,
+        ".": 0,
+        "\x01 7": 7,
+        "7\x7f": 7,
+        "+": None,
+        "1 2": None,
+        "12.x": None,
     }
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert one(df, L.as_integer("t")) == list(texts.values())
 
 
+def test_texts_convert_as_without_ansi(spark):
+    texts = [".5", "-.5", ".", "-.", "+.", "\x01 7", "7\x00", " 12.9 ", "+4.", "1e3", "0x1p3", "0x.8P1", "", " ", "+", "-", "1.2.3", "٣", "1_0", "NaN", "inf", "+Infinity", "1f", "12L"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    ours = df.select(L.as_integer("t").alias("i"), L.as_double("t").alias("d")).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        plain = df.selectExpr("CAST(t AS INT) AS i", "CAST(t AS DOUBLE) AS d").collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert [(t, str(r["i"]), str(r["d"])) for t, r in zip(texts, ours)] == [(t, str(r["i"]), str(r["d"])) for t, r in zip(texts, plain)]
+
+
 def test_doubles_from_text(spark):
-    texts = {"12": 12.0, " 1.5 ": 1.5, "1e3": 1000.0, ".5": 0.5, "-2.": -2.0, "1d": 1.0, "n/a": None, "": None, "1,5": None}
+    texts = {"12": 12.0, " 1.5 ": 1.5, "1e3": 1000.0, ".5": 0.5, "-2.": -2.0, "1d": 1.0, "0x1p3": 8.0, "\x01 7": 7.0, ".": None, "n/a": None, "": None, "1,5": None}
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert one(df, L.as_double("t")) == list(texts.values())
     special = spark.createDataFrame([("NaN",), ("-Infinity",), ("inf",)], "t string")

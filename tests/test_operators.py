@@ -156,7 +156,7 @@ def test_deduplicate(spark):
     assert rows(grouping.deduplicate(df, ["user_id"], ["version"])) == [(1, "play", 1), (2, "pause", 1), (None, "play", 3)]
 
 
-def test_column_values(spark, monkeypatch):
+def test_column_values(spark):
     df = spark.createDataFrame([(v, "left" if i % 2 == 0 else "right") for i, v in enumerate("abcdefggggg")], "field string, condition string")
     assert grouping.column_values(df, "field") == ["g", "a", "b", "c", "d", "e", "f"]
     assert grouping.column_values(df, "field", order_by="value") == list("abcdefg")
@@ -166,9 +166,9 @@ def test_column_values(spark, monkeypatch):
     assert grouping.column_values(None, "field", default=[]) == []
     with pytest.raises(ValueError):
         grouping.column_values(None, "field")
-    monkeypatch.setattr(grouping, "MAX_VALUES", 3)
     with pytest.raises(ValueError):
-        grouping.column_values(df, "field")
+        grouping.column_values(df, "field", refuse_above=3)
+    assert len(grouping.column_values(spark.range(10_001), "id")) == 10_001
 
 
 def test_scalar_value(spark):

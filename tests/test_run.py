@@ -6,7 +6,7 @@ from ledgerloom.plans import warehouse
 from ledgerloom.plans.features import BASE_COLUMNS, FEATURES, child_features, enrich
 from ledgerloom.plans.run import product_counts, run
 from ledgerloom.quality.checks import CheckFailed
-from ledgerloom.quality.suite import ROW_COUNT, WAREHOUSE_SUITES, Expectation
+from ledgerloom.quality.suite import SHIPPED_ROW_COUNTS, warehouse_suites
 from ledgerloom.quality.validators import TABLES
 from ledgerloom.sources.tables import Lake
 
@@ -89,14 +89,8 @@ def raw(spark):
     }
 
 
-SUITES = {
-    name: [e for e in suite if e.kind != ROW_COUNT] + [Expectation(ROW_COUNT, {"min_value": 1})]
-    for name, suite in WAREHOUSE_SUITES.items()
-}
-
-
 def test_run(spark, tmp_path, raw):
-    products = run(Lake(spark, str(tmp_path)), raw, SUITES, land_as="landed_warehouse")
+    products = run(Lake(spark, str(tmp_path)), raw, land_as="landed_warehouse", land_format="parquet")
     counts = {r["product"]: r["num_rows"] for r in product_counts(products).collect()}
     for table in TABLES:
         assert counts[f"silver.{table}"] + counts[f"quarantine.{table}_rejects"] == raw[table].count()
@@ -113,9 +107,9 @@ def test_run(spark, tmp_path, raw):
 def test_run_stops_at_failures(spark, tmp_path, raw):
     duplicated = raw | {"application_train": raw["application_train"].union(raw["application_train"])}
     with pytest.raises(CheckFailed, match="SK_ID_CURR"):
-        run(Lake(spark, str(tmp_path / "a")), duplicated, SUITES)
+        run(Lake(spark, str(tmp_path / "a")), duplicated)
     with pytest.raises(CheckFailed, match="expect_table_row_count"):
-        run(Lake(spark, str(tmp_path / "b")), raw)
+        run(Lake(spark, str(tmp_path / "b")), raw, warehouse_suites(SHIPPED_ROW_COUNTS))
     unchecked = run(Lake(spark, str(tmp_path / "c")), duplicated, strict=False)
     assert unchecked["staging.stg_loan_application_enriched"].count() == 4
 

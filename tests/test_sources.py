@@ -63,12 +63,33 @@ def test_catalog_layers(spark, tmp_path):
     assert {"raw", "silver", "quarantine", "staging", "warehouse"} <= {d.name for d in spark.catalog.listDatabases()}
 
 
+def test_sides_are_read_by_their_layer(spark, tmp_path):
+    """Also in a session that overwrites single partitions only, rejects of an earlier run are gone."""
+    from ledgerloom.quality.validators import validate_and_store
+
+    lake = Lake(spark, str(tmp_path))
+    schema = "SK_ID_BUREAU string, MONTHS_BALANCE string, STATUS string"
+    dirty = spark.createDataFrame([("1", "-1", "C"), ("x", "-1", "C")], schema)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        validate_and_store(lake, dirty, "bureau_balance")
+        assert lake.read("silver", "bureau_balance").collect() == [("1", "-1", "C")]
+        assert lake.read("quarantine", "bureau_balance_rejects").collect() == [("x", "-1", "C", "INVALID_SK_ID_BUREAU_TYPE")]
+        validate_and_store(lake, dirty.limit(1), "bureau_balance")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert lake.read("quarantine", "bureau_balance_rejects").count() == 0
+    assert lake.read("silver", "bureau_balance", ["status"]).columns == ["STATUS"]
+
+
 def test_materialize_and_land(spark):
     assert tables.materialize(spark.range(3), "three_rows").count() == 3
     assert tables.materialize(spark.range(4), "marts.four_rows", "table").count() == 4
-    assert tables.land(spark.range(2), "lakehouse", "two_rows") == "lakehouse.two_rows"
-    assert tables.land(spark.range(6), "lakehouse", "two_rows") == "lakehouse.two_rows"
+    assert tables.land(spark.range(2), "lakehouse", "two_rows", "parquet") == "lakehouse.two_rows"
+    assert tables.land(spark.range(6), "lakehouse", "two_rows", "parquet") == "lakehouse.two_rows"
     assert spark.table("lakehouse.two_rows").count() == 6
+    with pytest.raises(ValueError, match="no catalog"):
+        tables.land(spark.range(2), "lakehouse", "two_rows")
     with pytest.raises(ValueError):
         tables.materialize(spark.range(1), "x", "index")
 
