@@ -79,7 +79,7 @@ def test_sides_are_read_by_their_layer(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert lake.read("quarantine", "bureau_balance_rejects").count() == 0
-    assert lake.read("silver", "bureau_balance", ["status"]).columns == ["STATUS"]
+    assert lake.read("silver", "bureau_balance", ["status"]).columns == ["status"]
 
 
 def test_materialize_and_land(spark):
