@@ -14,7 +14,7 @@ from ledgerloom.plans import warehouse
 from ledgerloom.plans.features import CHILDREN, KEY, enrich
 from ledgerloom.quality import checks
 from ledgerloom.quality.suite import WAREHOUSE_SUITES, Expectation, evaluate_all, require_success
-from ledgerloom.quality.validators import TABLES, numbers_from_text, store_staging, validate_and_store
+from ledgerloom.quality.validators import TABLES, store_staging, validate_and_store
 from ledgerloom.sources.tables import Lake, land
 
 
@@ -64,12 +64,11 @@ def run(
     """
     products: dict[str, DataFrame] = {}
     checked = side_by_side({name: partial(validate_and_store, lake, raw[name], name) for name in TABLES})
-    silver = {name: sides.valid for name, sides in checked.items()}
     for name, sides in checked.items():
         products[f"silver.{name}"] = sides.valid
         products[f"quarantine.{name}_rejects"] = sides.rejects
 
-    numeric = {name: numbers_from_text(df, name) for name, df in silver.items()}
+    numeric = {name: sides.numbers for name, sides in checked.items()}
     enriched = enrich(numeric["application_train"], {name: numeric[name] for name in CHILDREN})
     staged = store_staging(lake, enriched)
     products["staging.stg_loan_application_enriched"] = staged.valid

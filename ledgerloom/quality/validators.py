@@ -141,8 +141,11 @@ TABLES = tuple(RULES)
 
 @dataclass(frozen=True)
 class Checked:
+    """Both sides of a table; ``numbers`` are stored valid rows with all checked columns converted."""
+
     valid: DataFrame
     rejects: DataFrame
+    numbers: DataFrame | None = None
 
 
 def validate(df: DataFrame, table: str, retype_all: bool = False) -> Checked:
@@ -189,7 +192,8 @@ def store_staging(lake: Lake, df: DataFrame, table: str = "stg_loan_application_
 
 
 def _store(lake: Lake, tagged: Tagged, table: str, layer: str, retyped: bool) -> Checked:
-    typed = {name: f"_{name}" for name in tagged.numbers} if retyped else {}
+    # text is converted here once; later steps read the numbers
+    typed = {name: f"_{name}" if retyped else f"__{name}" for name in tagged.numbers}
     rows = tagged.rows.select(
         *tagged.shown(False),
         *[tagged.numbers[name].alias(stored) for name, stored in typed.items()],
@@ -209,4 +213,5 @@ def _store(lake: Lake, tagged: Tagged, table: str, layer: str, retyped: bool) ->
     def shown(condition: Column, names: list[tuple[str, str]]) -> DataFrame:
         return stored.filter(condition).select(*[as_column(old).alias(new) for old, new in names])
 
-    return Checked(shown(~F.col(SIDE), valid), shown(F.col(SIDE), rejects))
+    numbers = [(typed.get(name, name), name) for name in tagged.columns]
+    return Checked(shown(~F.col(SIDE), valid), shown(F.col(SIDE), rejects), shown(~F.col(SIDE), numbers))

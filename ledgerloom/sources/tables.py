@@ -88,8 +88,11 @@ class Lake:
 
 
 def side_columns(stored: Sequence[str], rejected: bool) -> list[tuple[str, str]]:
-    """Stored and shown names of one side: rejects as they came, with the reason; valid rows with converted columns last."""
-    plain = [c for c in stored if c not in (REASON, SIDE)]
+    """Stored and shown names of one side: rejects as they came, with the reason; valid rows with converted columns last.
+
+    ``_x`` is column ``x`` converted and shown instead, ``__x`` the same for later steps only.
+    """
+    plain = [c for c in stored if c not in (REASON, SIDE) and not (c[:2] == "__" and c[2:] in stored)]
     typed = [c for c in plain if c[:1] == "_" and c[1:] in plain]
     if rejected:
         return [(c, c) for c in plain if c not in typed] + [(REASON, REASON)]

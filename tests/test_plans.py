@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ledgerloom.queries import QUERIES
 from ledgerloom.queries.standins import clean, dirty
 from ledgerloom.plans.features import CHILDREN, child_features, enrich
-from ledgerloom.quality.validators import validate
+from ledgerloom.quality.validators import validate, validate_and_store
+from ledgerloom.sources.tables import Lake
 
 FOLDER = "/root/testdata/sf0.001"
 # These only read back what they have written.
@@ -31,8 +32,8 @@ def test_plan(spark, name):
     lines = operator_lines(plan)
     for line, below in zip(lines, lines[1:]):
         if line.startswith("Exchange SinglePartition"):
-            # only partial results go to one task: aggregates, the head of a limit, one row per range
-            assert re.match(r"(Hash|Sort|ObjectHash)Aggregate|LocalLimit|Project \[_range|Filter .*_rows|Window", below), below
+            # only partial results go to one task: aggregates, the head of a limit, one row per range, hot keys
+            assert re.match(r"(Hash|Sort|ObjectHash)Aggregate|LocalLimit|Project \[_range|Project .* AS _parts", below), below
 
 
 def test_features_read_only_their_columns(spark):
@@ -57,6 +58,12 @@ def test_nothing_is_broadcast_by_force(spark):
     assert "ResolvedHint" not in _enriched(spark)._jdf.queryExecution().analyzed().toString()
 
 
+def test_features_of_stored_text_read_only_their_numbers(spark, tmp_path):
+    stored = validate_and_store(Lake(spark, str(tmp_path)), dirty(spark, FOLDER, "pos_cash_balance"), "pos_cash_balance")
+    plan = physical(child_features("pos_cash_balance", stored.numbers))
+    assert "ReadSchema: struct<__SK_ID_CURR:int,__SK_DPD:double>" in plan and "regexp" not in plan
+
+
 def test_text_is_converted_once(spark):
     plan = physical(validate(dirty(spark, FOLDER, "bureau"), "bureau").rejects)
     assert plan.count("regexp_extract_all") == 2  # one per integer column
