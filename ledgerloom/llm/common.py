@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
@@ -17,6 +17,14 @@ from ledgerloom.session import scratch_folder
 ROWS_AT_ONCE = 256
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand over texts in batches of few rows: by default one holds 10,000 texts, several times over.
+
+    A setting of the session, so that queries and pipelines set it, not operators.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):

@@ -28,7 +28,7 @@ from ledgerloom.functions.columns import as_column
 from ledgerloom.llm.common import add_to_rows, keep_rows
 
 # Letters each language's automaton is built from, and the labelled texts they are taken from.
-TRAINING_CHARACTERS = 30_000
+TRAINING_CHARACTERS = 16_000
 TRAINING_TEXTS = 64
 # Letters parsed from a fresh start.
 SEGMENT = 512
@@ -98,11 +98,14 @@ class CrossParser:
         self.symbol[seen] = np.arange(len(seen))
         self.end = len(seen) + 1
         width = self.end + 1
+        # an automaton has at most twice as many states as letters
+        most = 8 * width * sum(len(letters) + 1 for letters in read)
+        kind = np.int32 if most < 1 << 31 else np.int64
         tables, self.roots, base = [], [], 0
         for letters in read:
             states = suffix_automaton(self.symbol[letters].tolist())
             start = [(base + states[0][c]) * width * 4 + 1 if c in states[0] else base * width * 4 + 2 for c in range(width)]
-            table = np.tile(np.array(start, np.int64), (len(states), 1))
+            table = np.tile(np.array(start, kind), (len(states), 1))
             table[0] -= 1  # nothing ends where nothing has begun
             table[:, self.end] = base * width * 4 + 1
             table[0, self.end] -= 1
@@ -113,7 +116,6 @@ class CrossParser:
             tables.append(table)
             base += len(states)
         self.table = np.concatenate(tables).ravel()
-        self.table = self.table.astype(np.int32) if self.table.max() < 1 << 31 else self.table
         self.bits = np.log2([max(2, len(letters)) for letters in read])
 
     def phrases(self, texts: Sequence[np.ndarray]) -> np.ndarray:
@@ -158,7 +160,7 @@ class CrossParser:
         )
 
 
-@lru_cache(2)
+@lru_cache(1)
 def _parser(texts: tuple[tuple[str, str], ...]) -> CrossParser:
     """Built once in every Python process, from the training texts that come with a task."""
     return CrossParser(dict(texts))

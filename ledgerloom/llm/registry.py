@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.llm.common import small_batches
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
+    def with_small_batches(spark: SparkSession, folder: str) -> DataFrame:
+        small_batches(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = with_small_batches
     return function
 
 

@@ -30,7 +30,7 @@ from ledgerloom.llm.common import map_rows, texts_of
 # Pre-tokens in a leaf when a tree is built.
 LEAF = 16
 # Pre-tokens whose counts one Python process remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 EDITS = "array<struct<start:int,stop:int,replacement:string>>"
 

@@ -45,7 +45,7 @@ LEAST_RATIO = 1.0
 # Lengths of the beginnings of words that are tokens, too.
 BEGINNINGS = (6, 5, 4)
 # Words whose tokens one Python process remembers.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 250_000
 # Words with the largest deviations that are kept; bounds the model.
 MOST_WORDS = 20_000
 # Cost of every word, which ends a passage without toxic words.

@@ -19,7 +19,7 @@ import public_tokenizers
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 # Words remembered by one Python process; bounds its memory, not its results.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 250_000
 
 
 class WordCache(dict):
