@@ -11,6 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from ledgerloom.functions.columns import as_column
+from ledgerloom.operators.skew import left_join_unique
 from ledgerloom.session import scratch_folder
 
 # Rows a Python task works on at a time; the rest of an Arrow batch waits in Arrow's form.
@@ -101,7 +102,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps, which need a number of rounds
     logarithmic in the number of nodes. Each round is a table in the shared scratch folder. A node with
-    very many neighbours is reduced to its minimum within each task first.
+    very many neighbours is reduced to its minimum within each task first, and its rows are dealt
+    out to meet that minimum again.
     """
     a, b = F.col("a"), F.col("b")
     now = stored(edges.filter(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "edges")
@@ -109,9 +111,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(b.alias("a"), a.alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
-        large = both.join(least, "a").filter(b > a).select(b.alias("a"), F.least(a, F.col("m")).alias("b")).distinct()
+        large = left_join_unique(both, [least], "a").filter(b > a).select(b.alias("a"), F.least(a, F.col("m")).alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
+        small = left_join_unique(large, [least], "a")
         small = small.select(a, F.col("m").alias("b")).unionByName(small.filter(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b")))
         now = stored(small.distinct(), "edges")
         seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()

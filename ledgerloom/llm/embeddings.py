@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
 from ledgerloom.llm.common import connected_components, stored
+from ledgerloom.operators.skew import left_join_unique
 
 THRESHOLD = 0.95
 # Neighbours of a node to begin with.
@@ -220,7 +221,7 @@ def count_links(nodes: DataFrame, members: DataFrame, threshold: float, block: i
     The members of a component are dealt into blocks; every pair of blocks is one group.
     """
     sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = left_join_unique(members, [sizes], "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
         "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "own"
@@ -289,12 +290,12 @@ def near_duplicates(
     found = nodes.join(links(nodes, threshold, neighbours), "node", "left")
     found = found.withColumn("component", F.coalesce("component", "node"))
     least = found.groupBy("component").agg(F.min("first").alias("component_id"))
-    found = found.join(least, "component").select(
+    found = left_join_unique(found, [least], "component").select(
         "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
     )
     # rows without a node have vectors that link with nothing
     named = df.select(as_column(key).alias("id"), as_column(vector).cast("array<double>").alias("vector"))
-    out = named.join(found, "vector", "left")
+    out = left_join_unique(named, [found], "vector")  # a vector may be that of a third of all rows
     component = F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(
         F.col("id").alias(key),

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
 from ledgerloom.llm.common import add_to_rows, connected_components, stored
+from ledgerloom.operators.skew import left_join_unique
 
 SHINGLE = 3
 MAX_DISTANCE = 3
@@ -135,7 +136,7 @@ def groups(prints: DataFrame, key: str = "doc_id", distance: int = MAX_DISTANCE,
     nodes = nodes.join(linked, nodes["fp"] == linked["node"], "left")
     nodes = nodes.select("fp", "first", F.coalesce("component", "fp").alias("group"))
     least = nodes.groupBy("group").agg(F.min("first").alias("component_id"))
-    return nodes.join(least, "group").select(F.col("fp").alias("fingerprint"), "component_id")
+    return left_join_unique(nodes, [least], "group").select(F.col("fp").alias("fingerprint"), "component_id")
 
 
 def near_duplicates(
@@ -148,9 +149,9 @@ def near_duplicates(
 ) -> DataFrame:
     """(key, fingerprint, component_id) for every row."""
     prints = stored(fingerprints(df, text, (key,), shingle), "prints")
-    return prints.join(groups(prints, key, distance, rows_per_key), "fingerprint").select(
-        as_column(key), "fingerprint", "component_id"
-    )
+    # a fingerprint may be that of a third of all rows
+    found = left_join_unique(prints, [groups(prints, key, distance, rows_per_key)], "fingerprint")
+    return found.select(as_column(key), "fingerprint", "component_id")
 
 
 def one_of_each_group(
@@ -164,7 +165,7 @@ def one_of_each_group(
     key, text = (named.columns[df.columns.index(c)] for c in (key, text))
     rows = fingerprints(named, text, named.columns, shingle)
     prints = stored(rows.select(key, "fingerprint"), "prints")
-    best = prints.join(groups(prints, key, distance), "fingerprint").groupBy("component_id")
+    best = left_join_unique(prints, [groups(prints, key, distance)], "fingerprint").groupBy("component_id")
     best = best.agg(F.min(F.struct(F.col(key).isNull(), key, "fingerprint")).alias("best"))
     best = best.select(F.col(f"best.{key}").alias("best_key"), F.col("best.fingerprint").alias("best_print"))
     same = Window.partitionBy("fingerprint", key).orderBy(F.xxhash64(text))
