@@ -89,6 +89,22 @@ def keep_rows(df: DataFrame, text: str, decide: Callable[[list[str]], Sequence[b
     return df.toDF(*names).mapInArrow(run, schema).toDF(*df.columns)
 
 
+def below_share(hashed: Column, share: float) -> Column:
+    """True for this share of all hashes, always the same ones."""
+    largest = (1 << 63) - 1
+    return F.shiftrightunsigned(hashed, 1) <= F.lit(min(largest, int(share * largest)))
+
+
+def chosen_by_hash(df: DataFrame, columns: Sequence[str], rows: int) -> DataFrame:
+    """The ``rows`` rows with the smallest hashes of ``columns`` (starts a counting job).
+
+    Only about twice as many rows leave their tasks to be sorted, however many tasks there are.
+    """
+    hashed = F.xxhash64(*columns)
+    few = df.filter(below_share(hashed, 2 * rows / max(1, df.count())))
+    return few.orderBy(F.shiftrightunsigned(hashed, 1), *columns).limit(rows)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: later stages, and tasks
     that are run again after an executor is lost, start from the files."""

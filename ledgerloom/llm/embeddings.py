@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
-from ledgerloom.llm.common import connected_components, stored
+from ledgerloom.llm.common import chosen_by_hash, connected_components, stored
 from ledgerloom.operators.skew import left_join_unique
 
 THRESHOLD = 0.95
@@ -246,7 +246,7 @@ def count_links(nodes: DataFrame, members: DataFrame, threshold: float, block: i
 
 def audit(nodes: DataFrame, found: DataFrame, threshold: float, audited: int = AUDITED) -> float:
     """Share of the links of a bounded sample of nodes, counted against all nodes, that were found."""
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(audited).select("node", "unit").collect()
+    sample = chosen_by_hash(nodes.select("node", "unit"), ["node"], audited).collect()
     if not sample:
         return 1.0
     ids = np.array([r["node"] for r in sample])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
-from ledgerloom.llm.common import add_to_rows, keep_rows, map_rows, stored
+from ledgerloom.llm.common import add_to_rows, chosen_by_hash, keep_rows, map_rows, stored
 
 TREES = 100
 # Different rows of statistics each tree is grown on. TREES * ROWS_PER_TREE bounds what reaches the driver.
@@ -139,7 +139,7 @@ class Forest:
 def grow(stats: DataFrame, trees: int = TREES, rows: int = ROWS_PER_TREE) -> Forest | None:
     """A forest from the different statistics with the smallest hashes; None for an empty table."""
     different = stats.select("features").dropDuplicates()
-    sample = different.orderBy(F.xxhash64("features"), "features").limit(trees * rows).collect()
+    sample = chosen_by_hash(different, ["features"], trees * rows).collect()
     return Forest(np.array([r["features"] for r in sample]), trees, rows) if sample else None
 
 

@@ -23,8 +23,9 @@ import re
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import chain
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
-from ledgerloom.llm.common import add_to_rows, map_rows, pieces, stored, texts_of
+from ledgerloom.llm.common import add_to_rows, below_share, map_rows, pieces, stored, texts_of
 
 # Labelled texts of each kind that are learned from.
 LABELLED_TEXTS = 10_000
@@ -196,7 +197,13 @@ def labelled_texts(df: DataFrame, labels: DataFrame, text: str, key: str, label:
     """The bounded sample: columns text, toxic, calibrates."""
     marks = labels.select(as_column(key).alias("_key"), as_column(label).cast("int").alias("toxic"))
     marks = marks.filter("toxic IS NOT NULL AND _key IS NOT NULL").groupBy("_key").agg(F.max("toxic").alias("toxic"))
-    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("_key"), "_key"))
+    marks = stored(marks.withColumn("toxic", (F.col("toxic") > 0).cast("int")), "marks")
+    # only about twice as many rows as are wanted leave their tasks to be sorted
+    sizes = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
+    hashed = F.xxhash64("_key")
+    few = [(F.col("toxic") == kind) & below_share(hashed, 2 * LABELLED_TEXTS / size) for kind, size in sizes.items()]
+    marks = marks.filter(reduce(or_, few, F.lit(False)))
+    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.shiftrightunsigned(hashed, 1), "_key"))
     marks = marks.withColumn("place", place).filter(F.col("place") <= LABELLED_TEXTS)
     named = df.select(as_column(key).alias("_key"), as_column(text).cast("string").alias("text"))
     # at most twice LABELLED_TEXTS rows of a key and two numbers
