@@ -302,11 +302,16 @@ def _counts_sql() -> str:
     return f"WITH {', '.join(tagged)} {' UNION ALL '.join(lines)}"
 
 
-# Validated amounts are doubles, and so are their sums.
-_LANDED = f"SELECT * REPLACE (CAST(total_bureau_credit AS DOUBLE) AS total_bureau_credit) FROM ({FACT_LOANS})"
+# Validation drops applications without a valid target or amounts; validated amounts are doubles, and so are their sums.
+_VALID = ", valid AS (SELECT * FROM application_train WHERE TARGET IN (0, 1) AND AMT_CREDIT > 0 AND AMT_INCOME_TOTAL > 0) "
+_LANDED = FACT_LOANS.replace("FROM application_train", "FROM valid")
 
 
-@query("strict_run", clean_sql("application_train", "bureau") + _LANDED)
+@query(
+    "strict_run",
+    f"""{clean_sql("application_train", "bureau")}{_VALID}
+    SELECT * REPLACE (CAST(total_bureau_credit AS DOUBLE) AS total_bureau_credit) FROM ({_LANDED})""",
+)
 def strict_run(spark: SparkSession, folder: str) -> DataFrame:
     """The default run on clean input, gates on, landed, and the landed fact table read back."""
     raw = {name: clean(spark, folder, name) for name in TABLES}
