@@ -38,7 +38,13 @@ COMPARISONS: dict[str, Callable[[Column, Column], Column]] = {
 }
 
 AGGREGATES = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "avg": F.avg}
-DISTINCT_AGGREGATES = {"sum": F.sum_distinct, "count": F.count_distinct, "min": F.min, "max": F.max}
+DISTINCT_AGGREGATES = {
+    "sum": F.sum_distinct,
+    "count": F.count_distinct,
+    "min": F.min,
+    "max": F.max,
+    "avg": lambda c: F.sum_distinct(c) / F.nullif(F.count_distinct(c), F.lit(0)),
+}
 
 # Digits a decimal can have.
 MOST_DIGITS = 38

@@ -64,9 +64,11 @@ def test_pivot_slugs_and_options(shirts):
     assert rows(other) == [("M", 5), ("S", 5)]
     unaliased = reshape.pivot(shirts, ["size"], "color", ["red"], alias=False)
     assert unaliased.columns[1] != "red"
-    for wrong in ({"cmp": "=="}, {"agg": "median"}, {"agg": "avg", "distinct": True}):
-        with pytest.raises(ValueError):
-            reshape.pivot(shirts, ["size"], "color", ["red"], **wrong)
+    # any operator and aggregate of SQL
+    same = reshape.pivot(shirts, ["size"], "color", ["red", "blue's"], cmp="==", agg="median", then_value=2)
+    assert rows(same) == rows(reshape.pivot(shirts, ["size"], "color", ["red", "blue's"], agg=F.median, then_value=2))
+    with pytest.raises(ValueError):
+        reshape.pivot(shirts, ["size"], "color", ["red"], agg="median", distinct=True)
 
 
 @pytest.mark.parametrize("agg, expected", [("sum", [(1, 3, 0), (2, 0, 9)]), ("count", [(1, 3, 1), (2, 1, 2)])])
