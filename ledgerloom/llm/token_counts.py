@@ -30,7 +30,7 @@ from ledgerloom.llm.common import map_rows, texts_of
 # Pre-tokens in a leaf when a tree is built.
 LEAF = 16
 # Pre-tokens whose counts one Python process remembers.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 
 EDITS = "array<struct<start:int,stop:int,replacement:string>>"
 
@@ -50,6 +50,8 @@ class Counts(dict):
 
     def learn(self, pre_tokens) -> None:
         new = [p for p in set(pre_tokens) if p not in self]
+        if not new:
+            return
         found = dict(zip(new, self.codec.sizes(new)))
         if len(self) < self.most:
             self.update(found)
@@ -176,7 +178,7 @@ def build(
         counts = counts_of(path, pattern)
         texts = texts_of(part.column("_0"))
         split = [counts.split(t) for t in texts]
-        counts.learn(p for pre_tokens in split for p in pre_tokens)
+        counts.learn(set().union(*split))
         trees = [Tree.build(np.fromiter(map(len, s), np.int64, len(s)), counts.of(s)) for s in split]
         return [texts, [t.dump() for t in trees], [t.tokens for t in trees]]
 
