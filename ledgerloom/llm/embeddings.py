@@ -10,8 +10,8 @@ component of links they belong to, whose members are compared in blocks, in doub
 counts leave a block. Finally recall is audited: a bounded sample of nodes is compared with all
 others. As long as too few of its links were found, lists are doubled, further sort orders added and the descent goes on.
 
-Vectors that are NULL, zero, shorter than the longest, or hold NULL or non-finite components link with nothing and are their own
-component. Copies are linked, repeated rows too, and count each; vectors in the same direction are equal only if their
+Vectors that are NULL, zero, or hold NULL or non-finite components link with nothing and are their own
+component. Vectors are compared with those of their own length only, so that a faulty row says nothing about the others. Copies are linked, repeated rows too, and count each; vectors in the same direction are equal only if their
 components are. NULL ids take part, but do not name a component unless all its ids are NULL. An empty table
 gives an empty result; other columns are not read.
 """
@@ -81,6 +81,13 @@ def _matrix(column, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1)
 
 
+def _widths(column) -> Iterator[tuple[int, np.ndarray]]:
+    """Every length in bytes among the vectors of a column and the rows that have it."""
+    sizes = np.array([len(v) for v in column.to_pylist()], np.int64)
+    for size in np.unique(sizes).tolist():
+        yield size, np.nonzero(sizes == size)[0]
+
+
 def _in_groups(df: DataFrame, *keys: str) -> DataFrame:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys).sortWithinPartitions(*keys)
@@ -89,18 +96,19 @@ def _in_groups(df: DataFrame, *keys: str) -> DataFrame:
 def nodes_of(df: DataFrame, vector: str, key: str) -> DataFrame:
     """Different usable vectors: node, first (smallest key), copies, vector, unit and small (binary, single precision)."""
     named = df.select(as_column(key).alias("id"), as_column(vector).cast("array<double>").alias("vector"))
-    width = named.agg(F.max(F.size("vector"))).first()[0]
-    usable = named.filter(_usable(F.col("vector")) & (F.size("vector") == F.lit(width)))
+    usable = named.filter(_usable(F.col("vector")))
     different = usable.groupBy("vector").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
 
     def run(batches):
         for batch in batches:
-            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            raw = flat.reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 1))
-            raw = raw / np.abs(raw).max(axis=1, keepdims=True)
-            unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
-            both = [pa.array([r.tobytes() for r in m], pa.binary()) for m in (unit, unit.astype("<f4"))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *both], names=["vector", "first", "copies", "unit", "small"])
+            sizes = batch.column(0).value_lengths().to_numpy(zero_copy_only=False)
+            for size in np.unique(sizes):
+                some = batch.filter(pa.array(sizes == size))
+                raw = some.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+                raw = raw / np.abs(raw).max(axis=1, keepdims=True)
+                unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+                both = [pa.array([r.tobytes() for r in m], pa.binary()) for m in (unit, unit.astype("<f4"))]
+                yield pa.RecordBatch.from_arrays([*some.columns, *both], names=["vector", "first", "copies", "unit", "small"])
 
     first = different.schema["first"].dataType.simpleString()
     made = different.mapInArrow(run, f"vector array<double>, first {first}, copies long, unit binary, small binary")
@@ -121,20 +129,23 @@ def first_graph(nodes: DataFrame, orders: range, best: int, reach: int = REACH)
 
     def codes(batches):
         for batch in batches:
-            vectors = _matrix(batch.column(1), "<f4")
-            for order in orders if len(vectors) else ():
-                planes = np.random.default_rng(order).normal(size=(vectors.shape[1], PROJECTIONS))
-                code = (vectors @ planes > 0) @ (1 << np.arange(PROJECTIONS)) + (order << PROJECTIONS)
-                yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), *batch.columns], names=["code", "node", "small"])
+            for size, rows in _widths(batch.column(1)):
+                some = batch.take(pa.array(rows))
+                vectors = _matrix(some.column(1), "<f4")
+                for order in orders:
+                    planes = np.random.default_rng(order).normal(size=(vectors.shape[1], PROJECTIONS))
+                    code = (vectors @ planes > 0) @ (1 << np.arange(PROJECTIONS)) + (order << PROJECTIONS)
+                    arrays = [pa.array(np.full(len(rows), size), pa.int32()), pa.array(code, pa.int64()), *some.columns]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["size", "code", "node", "small"])
 
     def near(batches):
         ids, vectors = np.zeros(0, np.int64), None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = _matrix(batch.column(2), "<f4")
+        for batch in (batch.take(pa.array(rows)) for batch in batches for _, rows in _widths(batch.column(3))):
+            own = _matrix(batch.column(3), "<f4")
+            if vectors is not None and vectors.shape[1] != own.shape[1]:
+                ids, vectors = np.zeros(0, np.int64), None
             old = len(ids)
-            ids = np.concatenate([ids, np.asarray(batch.column(1))])
+            ids = np.concatenate([ids, np.asarray(batch.column(2))])
             vectors = own if vectors is None else np.concatenate([vectors, own])
             n = len(ids)
             sims, other = np.full((n, 2 * reach), -2.0, np.float32), np.zeros((n, 2 * reach), np.int64)
@@ -153,8 +164,9 @@ def first_graph(nodes: DataFrame, orders: range, best: int, reach: int = REACH)
             ids, vectors = ids[-reach:], vectors[-reach:]
 
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = nodes.select("node", "small").mapInArrow(codes, "code long, node long, small binary")
-    return placed.repartitionByRange(n, "code", "node").sortWithinPartitions("code", "node").mapInArrow(near, _EDGES)
+    placed = nodes.select("node", "small").mapInArrow(codes, "size int, code long, node long, small binary")
+    place = ["size", "code", "node"]
+    return placed.repartitionByRange(n, *place).sortWithinPartitions(*place).mapInArrow(near, _EDGES)
 
 
 def _best(edges: DataFrame, most: int) -> DataFrame:
@@ -207,10 +219,11 @@ def _exact(nodes: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:
 
     def check(batches):
         for batch in batches:
-            if batch.num_rows:
-                left, right = (_matrix(batch.column(i), "<f8") for i in (2, 3))
+            for _, rows in _widths(batch.column(2)):
+                some = batch.take(pa.array(rows))
+                left, right = (_matrix(some.column(i), "<f8") for i in (2, 3))
                 good = np.einsum("ij,ij->i", left, right) >= threshold
-                yield batch.select([0, 1]).filter(pa.array(good))
+                yield some.select([0, 1]).filter(pa.array(good))
 
     return both.mapInArrow(check, "a long, b long")
 
@@ -249,15 +262,22 @@ def audit(nodes: DataFrame, found: DataFrame, threshold: float, audited: int = A
     sample = chosen_by_hash(nodes.select("node", "unit"), ["node"], audited).collect()
     if not sample:
         return 1.0
-    ids = np.array([r["node"] for r in sample])
-    queries = np.frombuffer(b"".join(bytes(r["unit"]) for r in sample), "<f8").reshape(len(ids), -1)
+    queries = {}
+    for size in {len(r["unit"]) for r in sample}:
+        some = [r for r in sample if len(r["unit"]) == size]
+        unit = np.frombuffer(b"".join(bytes(r["unit"]) for r in some), "<f8").reshape(len(some), -1)
+        queries[size] = (np.array([r["node"] for r in some]), unit)
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                linked = queries @ _matrix(batch.column(1), "<f8").T >= threshold
-                linked &= ids[:, None] != np.asarray(batch.column(0))[None, :]
-                counts = linked @ np.asarray(batch.column(2))
+            for size, rows in _widths(batch.column(1)):
+                if size not in queries:
+                    continue
+                some = batch.take(pa.array(rows))
+                ids, unit = queries[size]
+                linked = unit @ _matrix(some.column(1), "<f8").T >= threshold
+                linked &= ids[:, None] != np.asarray(some.column(0))[None, :]
+                counts = linked @ np.asarray(some.column(2))
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts)], names=["node", "links"])
 
     true = nodes.select("node", "unit", "copies").mapInArrow(run, "node long, links long")

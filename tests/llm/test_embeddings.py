@@ -53,3 +53,15 @@ def test_hard_rows(spark):
     linked = {(7, 4, 7, True), (8, 4, 7, False), (9, 4, 7, False), (None, 4, 7, True)}
     assert found == alone | linked
     assert embeddings.near_duplicates(df.filter("false")).count() == 0
+
+
+def test_vectors_of_another_length_do_no_harm(spark):
+    """One longer row, faulty or not, leaves the links of all others; equal lengths find each other."""
+    draw = np.random.default_rng(7)
+    vectors = [(draw.normal(size=8) + 10).tolist() for _ in range(30)]
+    rows = [*enumerate(vectors), (30, [float("nan")] * 9), (31, [1.0] * 9), (32, [1.0] * 8 + [1.01]), (33, [1.0])]
+    found = rows_of(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    links, component = expected(np.array(vectors))
+    assert links.sum() > 0
+    assert found.n_links.tolist() == [*links.tolist(), 0, 1, 1, 0]
+    assert found.component_id.tolist() == [*component, 30, 31, 31, 33]
