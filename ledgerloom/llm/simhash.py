@@ -129,14 +129,15 @@ def links(distinct: DataFrame, distance: int = MAX_DISTANCE, rows_per_key: int =
 
 
 def groups(prints: DataFrame, key: str = "doc_id", distance: int = MAX_DISTANCE, rows_per_key: int = ROWS_PER_KEY) -> DataFrame:
-    """(fingerprint, component_id): the smallest key reachable over links, for every different fingerprint."""
+    """(fingerprint, group, component_id) for every different fingerprint: the smallest fingerprint and the smallest
+    key reachable over links. Only ``group`` tells groups apart: keys may be NULL or repeated."""
     nodes = prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(as_column(key)).alias("first"))
     nodes = stored(nodes, "fingerprints")
     linked = connected_components(links(nodes.select("fp"), distance, rows_per_key))
     nodes = nodes.join(linked, nodes["fp"] == linked["node"], "left")
     nodes = nodes.select("fp", "first", F.coalesce("component", "fp").alias("group"))
     least = nodes.groupBy("group").agg(F.min("first").alias("component_id"))
-    return left_join_unique(nodes, [least], "group").select(F.col("fp").alias("fingerprint"), "component_id")
+    return left_join_unique(nodes, [least], "group").select(F.col("fp").alias("fingerprint"), "group", "component_id")
 
 
 def near_duplicates(
@@ -159,13 +160,14 @@ def one_of_each_group(
 ) -> DataFrame:
     """The rows of ``df`` without near-duplicates: of each group the row with the smallest key stays.
 
-    Of rows that share this key, too, one with the smallest fingerprint and text hash stays.
+    Of rows that share this key, too, one with the smallest fingerprint and text hash stays. Groups are those of
+    linked fingerprints, so that texts of one key, or without one, that are not alike all stay.
     """
     named = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     key, text = (named.columns[df.columns.index(c)] for c in (key, text))
     rows = fingerprints(named, text, named.columns, shingle)
     prints = stored(rows.select(key, "fingerprint"), "prints")
-    best = left_join_unique(prints, [groups(prints, key, distance)], "fingerprint").groupBy("component_id")
+    best = left_join_unique(prints, [groups(prints, key, distance)], "fingerprint").groupBy("group")
     best = best.agg(F.min(F.struct(F.col(key).isNull(), key, "fingerprint")).alias("best"))
     best = best.select(F.col(f"best.{key}").alias("best_key"), F.col("best.fingerprint").alias("best_print"))
     same = Window.partitionBy("fingerprint", key).orderBy(F.xxhash64(text))

@@ -65,6 +65,15 @@ def test_one_row_of_each_group_stays(spark):
     assert kept.filter(F.col("text") == "The end.").select("doc_id").collect() == [(5,)]
 
 
+def test_groups_without_or_with_the_same_key_stay_apart(spark):
+    """Unlike texts with NULL ids, or that share one id, are no near-duplicates."""
+    apart = [" ".join(f"{word}{i}" for i in range(40)) for word in ("north", "vela", "quartz", "umbra", "piano")]
+    rows = [(None, apart[0]), (None, apart[1]), (None, apart[2]), (None, apart[2]), (4, apart[3]), (4, apart[4]), (5, apart[4])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in simhash.one_of_each_group(df).collect()]
+    assert sorted(kept, key=str) == sorted([(None, apart[0]), (None, apart[1]), (None, apart[2]), (4, apart[3]), (4, apart[4])], key=str)
+
+
 def test_copies_cost_nothing(spark):
     """Fingerprints are indexed once, however many rows have them."""
     df = spark.range(3000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'the very same text again', concat('text ', id)) AS text")
