@@ -5,9 +5,9 @@ random sort orders (signs of random projections). Then neighbours of neighbours
 around every node the vectors of its neighbours meet in one task, and each keeps the best it has seen. Rounds
 end when they hardly find links any more.
 
-A list full of links is saturated: there may be more than fit in. Lists are enlarged to the whole
-component of links they belong to, whose members are compared in blocks, in double precision; only
-counts leave a block. Finally recall is audited: a bounded sample of nodes is compared with all
+A list full of links is saturated: there may be more than fit in. Nodes with such lists are compared with
+those of all other components, block by block; only blocks whose centres and radii rule out a link are left
+out. Then the members of every component are compared in blocks, in double precision; only counts leave a block. Finally recall is audited: a bounded sample of nodes is compared with all
 others. As long as too few of its links were found, lists are doubled, further sort orders added and the descent goes on.
 
 Vectors that are NULL, zero, or hold NULL or non-finite components link with nothing and are their own
@@ -43,6 +43,8 @@ AUDITED = 400
 RECALL = 0.98
 # Vectors of a component that one side of a block holds.
 BLOCK = 512
+# Centres of blocks that one side of a group holds.
+CHUNK = 2048
 # Slack of single precision, in which the descent compares.
 _SLACK = 1e-4
 
@@ -257,6 +259,99 @@ def count_links(nodes: DataFrame, members: DataFrame, threshold: float, block: i
     return counts.groupBy("node").agg(F.sum("links").alias("links"))
 
 
+def _saturated(graph: DataFrame, members: DataFrame, most: int, threshold: float, block: int) -> DataFrame:
+    """(component, block, node) of the nodes whose lists hold nothing but links, dealt into blocks of a component."""
+    near = graph.filter(F.col("sim") >= threshold - _SLACK).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n"))
+    full = near.filter(F.col("n") >= most).select("node").join(members, "node", "left")
+    full = full.select(F.coalesce("component", "node").alias("component"), "node")
+    sizes = full.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = left_join_unique(full, [sizes], "component")
+    return dealt.select("component", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "node")
+
+
+def _centres(met: DataFrame) -> DataFrame:
+    """(component, block, centre, radius): a unit vector and the largest angle between it and a vector of the block."""
+
+    def run(batches):
+        for group in _groups(batches, 2):
+            vectors = _matrix(group.column(3), "<f8")
+            centre = vectors.mean(axis=0)
+            length = np.linalg.norm(centre)
+            centre = centre / length if length > 1e-6 else vectors[0]
+            radius = float(np.arccos(np.clip(vectors @ centre, -1, 1)).max())
+            key = [group.column(i).slice(0, 1).to_pylist() for i in (0, 1)]
+            arrays = [pa.array(v, t) for v, t in zip((*key, [centre.tobytes()], [radius]), _CENTRE_TYPES)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["component", "block", "centre", "radius"])
+
+    return _in_groups(met, "component", "block").mapInArrow(run, "component long, block int, centre binary, radius double")
+
+
+_CENTRE_TYPES = (pa.int64(), pa.int32(), pa.binary(), pa.float64())
+_PAIR_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.int32())
+_PAIRS = ["component", "block", "other", "other_block"]
+
+
+def _pairs(centres: DataFrame, threshold: float, chunk: int) -> DataFrame:
+    """The pairs of blocks of two components that may hold a link: (component, block, other, other_block).
+
+    Two vectors are at least as far apart as the centres of their blocks less both radii.
+    """
+    chunks = -(-centres.count() // chunk)
+    dealt = centres.withColumn("own", F.pmod(F.xxhash64("component", "block"), F.lit(chunks)).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    dealt = dealt.select(F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", *centres.columns)
+    widest = float(np.arccos(threshold)) + 1e-6
+
+    def run(batches):
+        for group in _groups(batches, 2):
+            for _, rows in _widths(group.column(5)):
+                some = group.take(pa.array(rows))
+                own, component, block, radius = (some.column(k).to_numpy() for k in (2, 3, 4, 6))
+                centre = _matrix(some.column(5), "<f8")
+                left, right = own == some.column(0)[0].as_py(), own == some.column(1)[0].as_py()
+                angles = np.arccos(np.clip(centre[left] @ centre[right].T, -1, 1))
+                near = angles <= widest + radius[left][:, None] + radius[right][None, :]
+                one, two = component[left][:, None], component[right][None, :]
+                # within a chunk every pair is met twice
+                near &= one < two if (left == right).all() else one != two
+                a, b = np.nonzero(near)
+                columns = (component[left][a], block[left][a], component[right][b], block[right][b])
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, _PAIR_TYPES)], names=_PAIRS)
+
+    return _in_groups(dealt, "i", "j").mapInArrow(run, "component long, block int, other long, other_block int")
+
+
+def across(
+    nodes: DataFrame, graph: DataFrame, members: DataFrame, most: int, threshold: float, block: int = BLOCK
+) -> DataFrame:
+    """``members`` with the components as one that links between saturated lists join."""
+    full = stored(_saturated(graph, members, most, threshold, block), "saturated")
+    met = full.join(nodes.select("node", "unit"), "node").select("component", "block", "node", "unit")
+    centres = stored(_centres(met), "centres")
+    if centres.isEmpty():
+        return members
+    pairs = stored(_pairs(centres, threshold, CHUNK), "pairs")
+    sides = [
+        pairs.join(met.select(*[F.col(c).alias(k) for c, k in zip(("component", "block"), keys)], "unit"), keys)
+        .select(*_PAIRS, F.lit(side).alias("side"), "unit")
+        for side, keys in enumerate((_PAIRS[:2], _PAIRS[2:]))
+    ]
+
+    def run(batches):
+        for group in _groups(batches, 4):
+            side = group.column(4).to_numpy()
+            vectors = _matrix(group.column(5), "<f8")
+            if (vectors[side == 0] @ vectors[side == 1].T >= threshold).any():
+                ends = [pa.array([group.column(k)[0].as_py()], pa.int64()) for k in (0, 2)]
+                yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+    joined = connected_components(_in_groups(sides[0].unionByName(sides[1]), *_PAIRS).mapInArrow(run, "a long, b long"))
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    alone = full.select("node").join(members, "node", "left_anti").select("node", F.col("node").alias("component"))
+    every = left_join_unique(members.unionByName(alone), [joined], "component")
+    return stored(every.select("node", F.coalesce("whole", "component").alias("component")), "members")
+
+
 def audit(nodes: DataFrame, found: DataFrame, threshold: float, audited: int = AUDITED) -> float:
     """Share of the links of a bounded sample of nodes, counted against all nodes, that were found."""
     sample = chosen_by_hash(nodes.select("node", "unit"), ["node"], audited).collect()
@@ -295,6 +390,7 @@ def links(nodes: DataFrame, threshold: float = THRESHOLD, neighbours: int = NEIG
         graph = descend(stored(_best(edges, most), "graph"), nodes, most, threshold)
         near = graph.filter(F.col("sim") >= threshold - _SLACK)
         members = connected_components(_exact(nodes, near.select("a", "b"), threshold))
+        members = across(nodes, graph, stored(members, "members"), most, threshold)
         counted = stored(members.join(count_links(nodes, members, threshold), "node"), "links")
         if audit(nodes, counted, threshold) >= RECALL:
             return counted

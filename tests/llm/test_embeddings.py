@@ -65,3 +65,24 @@ def test_vectors_of_another_length_do_no_harm(spark):
     assert links.sum() > 0
     assert found.n_links.tolist() == [*links.tolist(), 0, 1, 1, 0]
     assert found.component_id.tolist() == [*component, 30, 31, 31, 33]
+
+
+def test_links_between_saturated_lists(spark):
+    """Two tight groups whose cross cosines are 0.96 fill all lists with their own members."""
+    draw = np.random.default_rng(8)
+    angle = np.arccos(0.96)
+    centres = np.array([[1.0, 0, 0, 0, 0, 0], [np.cos(angle), np.sin(angle), 0, 0, 0, 0], [0, 0, 1.0, 0, 0, 0]])
+    vectors = np.concatenate([c + 1e-4 * draw.normal(size=(14, 6)) for c in centres])
+    nodes = embeddings.nodes_of(
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>"),
+        "embedding", "vec_id",
+    )
+    number = {r["first"]: r["node"] for r in nodes.collect()}
+    members = spark.createDataFrame([(number[i], min(number[j] for j in range(42) if j // 14 == i // 14)) for i in range(42)], "node long, component long")
+    lists = [(number[i], number[j], 1.0) for i in range(42) for j in range(42) if i // 14 == j // 14 and 0 < (j - i) % 14 <= 10]
+    graph = spark.createDataFrame(lists, "a long, b long, sim float")
+    found = {r["node"]: r["component"] for r in embeddings.across(nodes, graph, members, 10, 0.95, block=5).collect()}
+    assert len({found[number[i]] for i in range(28)}) == 1 and len({found[number[i]] for i in range(42)}) == 2
+    counts = embeddings.count_links(nodes, spark.createDataFrame(list(found.items()), "node long, component long"), 0.95)
+    links, _ = expected(vectors)
+    assert {r["node"]: r["links"] for r in counts.collect()} == {number[i]: n for i, n in enumerate(links)}
