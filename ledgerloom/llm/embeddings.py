@@ -7,8 +7,9 @@ end when they hardly find links any more.
 
 A list full of links is saturated: there may be more than fit in. Nodes with such lists are compared with
 those of all other components, block by block; only blocks whose centres and radii rule out a link are left
-out. Then the members of every component are compared in blocks, in double precision; only counts leave a block. Finally recall is audited: a bounded sample of nodes is compared with all
-others. As long as too few of its links were found, lists are doubled, further sort orders added and the descent goes on.
+out. Then the members of every component are compared in blocks, in double precision; only counts leave a block. Finally recall is audited: samples of the nodes of every size of component, and of those
+without links, are compared with all others. As long as one of them lacks too many links, lists are doubled, further sort orders
+added and the descent goes on; if few or no links were found, all nodes without links are compared.
 
 Vectors that are NULL, zero, or hold NULL or non-finite components link with nothing and are their own
 component. Vectors are compared with those of their own length only, so that a faulty row says nothing about the others. Copies are linked, repeated rows too, and count each; vectors in the same direction are equal only if their
@@ -19,6 +20,8 @@ gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
-from ledgerloom.llm.common import chosen_by_hash, connected_components, stored
+from ledgerloom.llm.common import below_share, connected_components, pieces, stored
 from ledgerloom.operators.skew import left_join_unique
 
 THRESHOLD = 0.95
@@ -36,11 +39,15 @@ NEIGHBOURS = 10
 ORDERS = 6
 PROJECTIONS = 24
 REACH = 12
-# Rounds end when they add less than this share of links.
+# Rounds end when they add less than this share of links and of neighbours.
 NEW_LINKS = 0.002
-# Nodes whose links are counted by brute force, and the share of these links to be found.
+NEW_NEIGHBOURS = 0.01
+# Nodes of each size of components whose links are counted by brute force, and the share of their links to be found.
 AUDITED = 400
 RECALL = 0.98
+# Missed nodes that an audit may overlook by chance (95 % sure of fewer), and audited nodes the driver holds at a time.
+ALLOWANCE = 3
+AT_ONCE = 8192
 # Vectors of a component that one side of a block holds.
 BLOCK = 512
 # Centres of blocks that one side of a group holds.
@@ -204,12 +211,21 @@ def _round(graph: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
 
 
 def descend(graph: DataFrame, nodes: DataFrame, most: int, threshold: float) -> DataFrame:
-    """Rounds until hardly any links are new."""
-    link = F.col("sim") >= threshold - _SLACK
+    """Rounds until hardly any neighbours are new, and hardly any links in lists that hold others besides.
+
+    Lists full of links are left out of the second count, so that those of a large group do not end the descent.
+    """
+    link, new = F.col("sim") >= threshold - _SLACK, F.col("fresh") == 1
     while True:
         graph = stored(_round(graph, nodes, most), "graph")
-        counts = graph.agg(F.count_if(link).alias("links"), F.count_if(link & (F.col("fresh") == 1)).alias("new")).first()
-        if counts["new"] <= NEW_LINKS * counts["links"]:
+        lists = graph.groupBy("a").agg(
+            F.count(F.lit(1)).alias("have"), F.count_if(new).alias("new"),
+            F.count_if(link).alias("links"), F.count_if(link & new).alias("new_links"),
+        )
+        sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("have", "new")]
+        sums += [F.coalesce(F.sum(F.when(F.col("links") < most, F.col(c))), F.lit(0)) for c in ("links", "new_links")]
+        have, fresh, links, new_links = lists.agg(*[c.alias(f"s{i}") for i, c in enumerate(sums)]).first()
+        if fresh <= NEW_NEIGHBOURS * have and new_links <= NEW_LINKS * links:
             return graph
 
 
@@ -352,50 +368,109 @@ def across(
     return stored(every.select("node", F.coalesce("whole", "component").alias("component")), "members")
 
 
-def audit(nodes: DataFrame, found: DataFrame, threshold: float, audited: int = AUDITED) -> float:
-    """Share of the links of a bounded sample of nodes, counted against all nodes, that were found."""
-    sample = chosen_by_hash(nodes.select("node", "unit"), ["node"], audited).collect()
-    if not sample:
-        return 1.0
+def _checked(nodes: DataFrame, sample: DataFrame, threshold: float) -> DataFrame:
+    """(node, actual, b): for the nodes of a sample that have links, their links counted against all nodes and one of them."""
+    spark = nodes.sparkSession
+    rows = sample.select("node", "unit").collect()
     queries = {}
-    for size in {len(r["unit"]) for r in sample}:
-        some = [r for r in sample if len(r["unit"]) == size]
+    for size in {len(r["unit"]) for r in rows}:
+        some = [r for r in rows if len(r["unit"]) == size]
         unit = np.frombuffer(b"".join(bytes(r["unit"]) for r in some), "<f8").reshape(len(some), -1)
         queries[size] = (np.array([r["node"] for r in some]), unit)
 
     def run(batches):
-        for batch in batches:
+        true = {size: np.zeros(len(ids), np.int64) for size, (ids, _) in queries.items()}
+        other = {size: np.full(len(ids), -1, np.int64) for size, (ids, _) in queries.items()}
+        for batch in pieces(batches, BLOCK):
             for size, rows in _widths(batch.column(1)):
                 if size not in queries:
                     continue
                 some = batch.take(pa.array(rows))
                 ids, unit = queries[size]
+                b = np.asarray(some.column(0))
                 linked = unit @ _matrix(some.column(1), "<f8").T >= threshold
-                linked &= ids[:, None] != np.asarray(some.column(0))[None, :]
-                counts = linked @ np.asarray(some.column(2))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts)], names=["node", "links"])
-
-    true = nodes.select("node", "unit", "copies").mapInArrow(run, "node long, links long")
-    true = true.groupBy("node").agg(F.sum("links").alias("true"))
-    both = true.join(found, "node", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("links", F.lit(0))))).first()
-    return (both[1] or 0) / both[0] if both[0] else 1.0
+                linked &= ids[:, None] != b[None, :]
+                true[size] += linked @ np.asarray(some.column(2))
+                any_link = linked.any(axis=1)
+                other[size][any_link] = b[linked.argmax(axis=1)][any_link]
+        for size, (ids, _) in queries.items():
+            found = true[size] > 0
+            arrays = [pa.array(v[found], pa.int64()) for v in (ids, true[size], other[size])]
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "actual", "b"])
+
+    fields = "node long, actual long, b long"
+    if not queries:
+        return spark.createDataFrame([], fields)
+    parts = nodes.select("node", "unit", "copies").mapInArrow(run, fields)
+    return stored(parts.groupBy("node").agg(F.sum("actual").alias("actual"), F.min("b").alias("b")), "checked")
+
+
+def audit(
+    nodes: DataFrame, found: DataFrame, threshold: float, audited: int = AUDITED, salt: int = 0
+) -> tuple[float, DataFrame]:
+    """The recall of the worst size class of components, and an edge for every audited node that lacks links.
+
+    Classes are powers of two; every one has its own sample, and a node counts as much as any other, so that large
+    components hide nothing. Nodes without links are a class as well. Of these so many are audited that
+    those missed, ALLOWANCE more than were seen, can be weighed against all nodes with links; all of them if few or no
+    links were found, so that a sample without links proves nothing.
+    """
+    sizes = found.groupBy("component").agg(F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("class"))
+    known = left_join_unique(found.filter("links > 0"), [sizes], "component").select("node", "links", "class")
+    every = nodes.select("node", "unit").join(known, "node", "left").withColumn("class", F.coalesce("class", F.lit(0)))
+    totals = {r["class"]: r["count"] for r in every.groupBy("class").count().collect()}
+    alone, linked = totals.get(0, 0), sum(n for kind, n in totals.items() if kind)
+    lost = (1 - RECALL) / RECALL * linked  # nodes without links that may have some
+    wanted = {kind: audited for kind in totals}
+    wanted[0] = min(alone, max(audited, int(np.ceil(2 * ALLOWANCE * alone / lost)))) if linked else alone
+    hashed = F.xxhash64("node", F.lit(salt))
+    few = [(F.col("class") == kind) & below_share(hashed, wanted[kind] / total) for kind, total in totals.items()]
+    some = every.filter(reduce(or_, few, F.lit(False)))
+    parts = max(1, -(-sum(wanted.values()) // AT_ONCE))
+    checked = []
+    for part in range(parts):
+        sample = some.filter(F.pmod(F.xxhash64("node", F.lit(salt + 1)), F.lit(parts)) == part)
+        checked.append(_checked(nodes, sample, threshold))
+    checked = reduce(DataFrame.unionByName, checked).join(known, "node", "left").withColumn("class", F.coalesce("class", F.lit(0)))
+    share = F.coalesce(F.col("links") / F.col("actual"), F.lit(0.0))
+    sums = checked.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.sum(share).alias("share")).collect()
+    sums = {r["class"]: (r["n"], r["share"]) for r in sums}
+    missed = sums.pop(0, (0, 0.0))[0]
+    if alone and wanted[0] < alone:
+        missed = (missed + ALLOWANCE) * alone / wanted[0]
+    recalls = [found_share / n for n, found_share in sums.values()]
+    if missed:
+        recalls.append(linked / (linked + missed))
+    return min(recalls, default=1.0), checked.filter("links IS NULL OR links < actual").select(F.col("node").alias("a"), "b")
 
 
 def links(nodes: DataFrame, threshold: float = THRESHOLD, neighbours: int = NEIGHBOURS) -> DataFrame:
     """(node, component, links) for every node that has links to other nodes."""
-    most, orders, graph = neighbours, range(ORDERS), None
+    most, orders, graph, known, salt = neighbours, range(ORDERS), None, None, 0
     while True:
         edges = first_graph(nodes, orders, most).withColumn("fresh", F.lit(1))
         edges = edges if graph is None else edges.unionByName(graph.withColumn("fresh", F.lit(0)))
         graph = descend(stored(_best(edges, most), "graph"), nodes, most, threshold)
         near = graph.filter(F.col("sim") >= threshold - _SLACK)
-        members = connected_components(_exact(nodes, near.select("a", "b"), threshold))
-        members = across(nodes, graph, stored(members, "members"), most, threshold)
-        counted = stored(members.join(count_links(nodes, members, threshold), "node"), "links")
-        if audit(nodes, counted, threshold) >= RECALL:
-            return counted
-        # lists may have been saturated, or the random orders unlucky
-        most, orders = 2 * most, range(orders.stop, orders.stop + ORDERS)
+        counted = _counted(nodes, graph, near.select("a", "b"), known, most, threshold)
+        recall, lacking = audit(nodes, counted, threshold, salt=salt)
+        lacking = stored(lacking, "lacking")
+        found_more = not lacking.isEmpty()
+        if found_more:
+            known = lacking if known is None else known.unionByName(lacking)
+        if recall >= RECALL:
+            return _counted(nodes, graph, near.select("a", "b"), known, most, threshold) if found_more else counted
+        # the random orders were unlucky; what the audit found is kept, and the next one takes other nodes
+        most, orders, salt = 2 * most, range(orders.stop, orders.stop + ORDERS), salt + 2
+
+
+def _counted(
+    nodes: DataFrame, graph: DataFrame, near: DataFrame, known: DataFrame | None, most: int, threshold: float
+) -> DataFrame:
+    """(node, component, links) from the links of the graph and others that are known."""
+    members = connected_components(_exact(nodes, near if known is None else near.unionByName(known), threshold))
+    members = across(nodes, graph, stored(members, "members"), most, threshold)
+    return stored(members.join(count_links(nodes, members, threshold), "node"), "links")
 
 
 def near_duplicates(

@@ -86,3 +86,19 @@ def test_links_between_saturated_lists(spark):
     counts = embeddings.count_links(nodes, spark.createDataFrame(list(found.items()), "node long, component long"), 0.95)
     links, _ = expected(vectors)
     assert {r["node"]: r["links"] for r in counts.collect()} == {number[i]: n for i, n in enumerate(links)}
+
+
+def test_audit_sees_small_groups_beside_a_large_one(spark):
+    """All links of the pairs are missing beside a hot group that has nearly all links, or beside nothing."""
+    draw = np.random.default_rng(9)
+    pairs = np.repeat(draw.normal(size=(15, 32)), 2, axis=0)
+    pairs[::2] += 1e-3
+    vectors = np.concatenate([draw.normal(size=32) + 1e-3 * draw.normal(size=(300, 32)), pairs])
+    for rows, hot in ((vectors, 300), (pairs, 0)):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+        nodes = embeddings.nodes_of(df, "embedding", "vec_id")
+        number = {r["first"]: r["node"] for r in nodes.collect()}
+        found = spark.createDataFrame([(number[i], number[0], hot - 1) for i in range(hot)], "node long, component long, links long")
+        recall, lacking = embeddings.audit(nodes, found, 0.95)
+        assert recall < embeddings.RECALL
+        assert {r["a"] for r in lacking.collect()} == {number[i] for i in range(hot, len(rows))}
