@@ -33,8 +33,11 @@ TRAINING_TEXTS = 64
 # Letters parsed from a fresh start.
 SEGMENT = 512
 UNKNOWN = "und"
-# Below this lead over the second language, as a share of its cross-entropy, a text is in none of them.
-LEAST_SCORE = 0.0
+# A text is in none of the languages if it costs more bits a letter than this share of the winner's own texts, and its lead
+# over the second language, as a share of its cross-entropy, is smaller than theirs. Few texts set no limit.
+CLEAN_SHARE = 0.99
+CALIBRATION_TEXTS = 64
+FEWEST_TEXTS = 20
 
 FIELDS = "lang_pred string, score double"
 
@@ -146,8 +149,12 @@ class CrossParser:
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
+        return self.judged(texts)[:2]
+
+    def judged(self, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
+        """Language, lead over the second one, and bits per letter of every text."""
         if not self.languages:
-            return [UNKNOWN] * len(texts), [0.0] * len(texts)
+            return [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         read = [_letters(t) for t in texts]
         bits = self.phrases(read) * self.bits[:, None]
         best = bits.argmin(axis=0)
@@ -157,6 +164,7 @@ class CrossParser:
         return (
             [self.languages[i] if k else UNKNOWN for i, k in zip(best, known)],
             [float(s) if k else 0.0 for s, k in zip(lead, known)],
+            [float(b) / max(1, len(t)) for b, t in zip(ordered[0], read)],
         )
 
 
@@ -172,7 +180,52 @@ def held_out(key: str) -> Column:
 
 
 def training_texts(df: DataFrame, text: str = "text", language: str = "lang") -> tuple[tuple[str, str], ...]:
-    """A bounded sample of labelled texts per language, chosen by hash: (language, text).
+    """A bounded sample of labelled texts per language, chosen by hash: (language, text)."""
+    return tuple(sorted(_learned(_labelled(df, text, language, TRAINING_TEXTS))[0].items()))
+
+
+def _learned(rows: Sequence[tuple[str, str]]) -> tuple[dict[str, str], list[tuple[str, str]]]:
+    """The letters each language is learned from, and the texts that are not among them."""
+    found: dict[str, str] = {}
+    places: dict[str, int] = {}
+    rest = []
+    for name, body in rows:
+        have = found.get(name, "")
+        places[name] = places.get(name, 0) + 1
+        # no text makes up more than an eighth of a language's letters
+        room = min(TRAINING_CHARACTERS - len(have), TRAINING_CHARACTERS // 8)
+        if room > 0 and places[name] <= TRAINING_TEXTS:
+            found[name] = f"{have} {body[:room]}"
+        else:
+            rest.append((name, body))
+    return found, rest
+
+
+def limits(
+    df: DataFrame, training: tuple[tuple[str, str], ...], text: str = "text", language: str = "lang"
+) -> dict[str, tuple[float, float]]:
+    """The most bits per letter and the least lead of each language's labelled texts that the automata were not built from.
+
+    The driver parses at most TRAINING_TEXTS + CALIBRATION_TEXTS of each language. Languages with fewer than FEWEST_TEXTS have no limits.
+    """
+    _, rows = _learned(_labelled(df, text, language, TRAINING_TEXTS + CALIBRATION_TEXTS))
+    names, leads, bits = _parser(training).judged([body for _, body in rows])
+    own: dict[str, list[tuple[float, float]]] = {}
+    for (name, _), winner, lead, cost in zip(rows, names, leads, bits):
+        if name == winner:
+            own.setdefault(name, []).append((cost, lead))
+    return {
+        name: (
+            float(np.quantile([c for c, _ in found], CLEAN_SHARE, method="higher")),
+            float(np.quantile([lead for _, lead in found], 1 - CLEAN_SHARE, method="lower")),
+        )
+        for name, found in own.items()
+        if len(found) >= FEWEST_TEXTS
+    }
+
+
+def _labelled(df: DataFrame, text: str, language: str, most: int) -> list[tuple[str, str]]:
+    """(language, text) of the first ``most`` labelled texts of each language by hash.
 
     Copies count once. Only hashes are compared over all rows; the texts behind the chosen
     ones come to the driver, at most TRAINING_CHARACTERS of each.
@@ -181,17 +234,11 @@ def training_texts(df: DataFrame, text: str = "text", language: str = "lang") ->
     named = named.filter("text IS NOT NULL AND lang IS NOT NULL").withColumn("hash", F.xxhash64("text"))
     first = Window.partitionBy("lang").orderBy("hash")
     chosen = named.select("lang", "hash").distinct().withColumn("place", F.row_number().over(first))
-    chosen = chosen.filter(F.col("place") <= TRAINING_TEXTS).drop("place")
-    # TRAINING_TEXTS rows of 40 bytes for every language
+    chosen = chosen.filter(F.col("place") <= most).drop("place")
+    # ``most`` rows of 40 bytes for every language
     texts = named.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "hash")
     rows = texts.agg(F.min(F.left("text", F.lit(TRAINING_CHARACTERS))).alias("text")).orderBy("lang", "hash").collect()
-    found: dict[str, str] = {}
-    for row in rows:
-        have = found.get(row["lang"], "")
-        # no text makes up more than an eighth of a language's letters
-        room = min(TRAINING_CHARACTERS - len(have), TRAINING_CHARACTERS // 8)
-        found[row["lang"]] = f"{have} {row['text'][:room]}" if room > 0 else have
-    return tuple(sorted(found.items()))
+    return [(r["lang"], r["text"]) for r in rows]
 
 
 def identify(
@@ -201,11 +248,22 @@ def identify(
     return add_to_rows(df, text, keep, FIELDS, lambda texts: _parser(training).predict(texts))
 
 
-def keep_identified(df: DataFrame, training: tuple[tuple[str, str], ...], text: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text is in one of the languages."""
+def keep_identified(
+    df: DataFrame,
+    training: tuple[tuple[str, str], ...],
+    text: str = "text",
+    limits: dict[str, tuple[float, float]] | None = None,
+) -> DataFrame:
+    """The rows of ``df`` whose text is in one of the languages, within the ``limits`` of its own texts."""
 
     def decide(texts: list[str]) -> list[bool]:
-        languages, scores = _parser(training).predict(texts)
-        return [name != UNKNOWN and score >= LEAST_SCORE for name, score in zip(languages, scores)]
+        parser = _parser(training)
+
+        def own(name: str, lead: float, bits: float) -> bool:
+            most, least = (limits or {}).get(name, (float("inf"), 0.0))
+            # with a single language there is no lead to speak of
+            return bits <= most or (len(parser.languages) > 1 and lead >= least)
+
+        return [name != UNKNOWN and own(name, lead, bits) for name, lead, bits in zip(*parser.judged(texts))]
 
     return keep_rows(df, text, decide)

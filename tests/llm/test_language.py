@@ -83,3 +83,20 @@ def test_held_out_is_a_quarter(spark):
     rows = spark.range(1000).select("id", language.held_out("id").alias("out")).collect()
     assert [r["out"] for r in rows] == [zlib.crc32(str(r["id"]).encode()) % 4 == 2 for r in rows]
     assert np.mean([r["out"] for r in rows]) < 0.35
+
+
+def test_texts_of_an_unlearned_language_go(spark):
+    """The language left out, and an unknown script, go; held-out texts of the learned ones stay."""
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
+    learned = documents.filter("lang != 'fr'").filter(~language.held_out("doc_id"))
+    training = language.training_texts(learned)
+    assert [name for name, _ in training] == ["de", "en", "es"]
+    greek = spark.createDataFrame([(-1, "Ο γρήγορος καφέ σκύλος πηδά πάνω από τον τεμπέλη σκύλο και φεύγει", "el")], documents.schema)
+    tested = documents.filter(language.held_out("doc_id")).unionByName(greek)
+    kept = language.keep_identified(tested, training, limits=language.limits(learned, training)).toPandas()
+    tested = tested.toPandas()
+    assert (kept.lang != "el").all()
+    assert (kept.lang == "fr").sum() <= 0.05 * (tested.lang == "fr").sum()
+    assert kept.lang.isin(["de", "en", "es"]).sum() >= 0.98 * tested.lang.isin(["de", "en", "es"]).sum()
+    print("unlearned kept", (kept.lang == "fr").sum(), "of", (tested.lang == "fr").sum())
+    print("learned kept", kept.lang.isin(["de", "en", "es"]).sum(), "of", tested.lang.isin(["de", "en", "es"]).sum())
