@@ -49,6 +49,8 @@ BEGINNINGS = (6, 5, 4)
 REMEMBERED_WORDS = 250_000
 # Words with the largest deviations that are kept; bounds the model.
 MOST_WORDS = 20_000
+# A word that adds to a score does so once in as many words, so that repeating it is no evidence.
+REPEATED_WITHIN = 50
 # Cost of every word, which ends a passage without toxic words.
 COST = 0.1
 # A passage counts if chance makes as good a one in less than this number of texts of the same length.
@@ -122,13 +124,19 @@ class Model:
     offset: float = -50.0
 
     def segments(self, words: list[str]) -> list[tuple[int, int, float]]:
-        """Maximal passages; a word scores where it first occurs, so that repeating it is no evidence."""
-        places: dict[str, int] = {}
-        scores = _scores(self)
+        """Maximal passages; every word scores, except where it scored at most REPEATED_WITHIN words before."""
+        scored: dict[str, int] = {}
+        places, scores = [], _scores(self)
         for i, word in enumerate(words):
-            if scores[word] is not None:
-                places.setdefault(word, i)
-        return maximal_segments([(i, scores[word]) for word, i in places.items()], COST)
+            score = scores[word]
+            if score is None:
+                continue
+            if score > 0:
+                if i - scored.get(word, -REPEATED_WITHIN - 1) <= REPEATED_WITHIN:
+                    continue
+                scored[word] = i
+            places.append((i, score))
+        return maximal_segments(places, COST)
 
     def significant(self, words: list[str]) -> list[tuple[int, int, float]]:
         """Passages, each with its surprise: minus the log of how often chance makes as good a one."""

@@ -44,3 +44,18 @@ def test_hard_rows(spark):
     assert toxicity.score(rows, model).count() == rows.count()
     assert toxicity.score(rows, toxicity.train(rows, labels.filter("false"))).agg(F.max("score")).first()[0] < 0.5
     assert toxicity.score(brute.no_rows(spark), toxicity.train(brute.no_rows(spark), labels)).count() == 0
+
+
+def test_every_passage_is_found():
+    """Two passages with the same words, and one at the end of a long text in which its words stand scattered before."""
+    vile = [f"vile{c}" for c in "abcdefgh"]
+    model = toxicity.Model(tuple((word, 3.0) for word in vile), decay=1.2, k=0.006)
+    plain = [f"plain{i % 97}" for i in range(400)]
+    twice = model.significant([*plain, *vile, *plain, *vile, *plain])
+    assert [(start, stop) for start, stop, _ in twice] == [(400, 408), (808, 816)]
+    scattered = [word for v in vile for word in (v, *plain)]
+    late = model.significant([*scattered, *plain * 10, *vile])
+    n = len(scattered) + 4000
+    assert [(start, stop) for start, stop, _ in late] == [(n, n + 8)]
+    # the same word over and over is no evidence
+    assert model.significant([*plain, *["vilea"] * 40, *plain]) == []
