@@ -34,6 +34,9 @@ SEED = 42
 _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _MARKS = b"!?.,;:"
+_DIGITS = b"0123456789"
+# Features that good documents vary in: shares of repeated lines, repeated words and digits, and the length.
+_VARIED = 4
 
 FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, features array<double>"
 
@@ -59,22 +62,26 @@ def repeated_words(words: list) -> int:
 def statistics(text: str) -> tuple:
     """The values of ``FIELDS``.
 
-    Features are the mean length of a word, the shares of symbols, capitals and marks, and how
-    varied the words are. Length, digits and repeated lines vary much among good documents, so that
-    a forest takes the rarer of those for anomalies; the fixed rules look at them.
+    Features are the mean length of a word, the shares of symbols, capitals and marks, how
+    varied the words are, the shares of repeated lines, repeated words and digits, and the length. The last four vary
+    much among good documents, so that a forest sees only what goes beyond those (``ordinary``).
     """
     raw = text.encode()
     words = raw.split()
     n, kinds = len(words), len(set(words))
     word_chars = len(b"".join(words).decode())
     lines = [line for line in text.split("\n") if line.encode().split()]
-    counts = [len(raw) - len(raw.translate(None, some)) for some in (_SYMBOLS, _UPPER, _MARKS)]
+    counts = [len(raw) - len(raw.translate(None, some)) for some in (_SYMBOLS, _UPPER, _MARKS, _DIGITS)]
     dup_lines, repeats = len(lines) - len(set(lines)), repeated_words(words)
     chars = max(1, word_chars)
     features = [
         word_chars / max(1, n),
-        *[count / chars for count in counts],
+        *[count / chars for count in counts[:3]],
         float(np.log1p(kinds) / np.log1p(max(1, n))),
+        dup_lines / max(1, len(lines)),
+        repeats / max(1, n),
+        counts[3] / chars,
+        float(np.log1p(n)),
     ]
     return n, word_chars, counts[0], dup_lines, repeats, features
 
@@ -90,9 +97,16 @@ def base_failed():
 
 
 class Forest:
-    """Isolation trees as arrays; node i of a tree has the children ``left[i]`` and ``left[i] + 1``."""
+    """Isolation trees as arrays; node i of a tree has the children ``left[i]`` and ``left[i] + 1``.
 
-    def __init__(self, sample: np.ndarray, trees: int = TREES, rows: int = ROWS_PER_TREE, seed: int = SEED):
+    Of the last features only what exceeds the values ``most`` counts.
+    """
+
+    def __init__(
+        self, sample: np.ndarray, trees: int = TREES, rows: int = ROWS_PER_TREE, seed: int = SEED, most: Sequence[float] = ()
+    ):
+        self.most = np.array(most, float)
+        sample = self._beyond(sample)
         random = np.random.default_rng(seed)
         self.rows = min(rows, len(sample))
         limit = int(np.ceil(np.log2(max(2, self.rows))))
@@ -102,6 +116,10 @@ class Forest:
         self.feature, self.split, self.left, self.path = (np.array(a) for a in zip(*[list(zip(*t)) for t in filled]))
         self.limit = limit
 
+    def _beyond(self, features: np.ndarray) -> np.ndarray:
+        own = features.shape[1] - len(self.most)
+        return np.concatenate([features[:, :own], np.maximum(0.0, features[:, own:] - self.most)], axis=1)
+
     @staticmethod
     def _expected(n: int) -> float:
         """Mean path length of an unsuccessful search in a binary tree of n rows."""
@@ -127,6 +145,7 @@ class Forest:
 
     def scores(self, features: np.ndarray) -> np.ndarray:
         """2 ** -(mean path length / expected path length): near 1 for rows isolated at once."""
+        features = self._beyond(features)
         tree = np.arange(len(self.left))[:, None]
         at = np.zeros((len(self.left), len(features)), int)
         for _ in range(self.limit):
@@ -136,11 +155,24 @@ class Forest:
         return 2.0 ** (-self.path[tree, at].mean(axis=0) / max(1e-9, self._expected(self.rows)))
 
 
-def grow(stats: DataFrame, trees: int = TREES, rows: int = ROWS_PER_TREE) -> Forest | None:
+def _marked(labels: DataFrame, key: str, label: str) -> DataFrame:
+    return labels.filter(as_column(label).isNotNull()).groupBy(as_column(key)).agg(F.min(as_column(label)).alias("_good"))
+
+
+def ordinary(stats: DataFrame, labels: DataFrame, key: str, label: str) -> list[float]:
+    """The values of the last features that all but a share FALSE_REJECTS of the good labelled rows stay within; the longest length."""
+    good = stats.join(_marked(labels, key, label), key).filter("_good = 1")
+    at = [F.col("features")[i - _VARIED + F.size("features")] for i in range(_VARIED)]
+    most = [F.percentile_approx(c, 1 - FALSE_REJECTS, 10_000) for c in at[:-1]]
+    # without good rows no value says anything
+    return [float("inf") if v is None else v for v in good.agg(*most, F.max(at[-1])).first()]
+
+
+def grow(stats: DataFrame, trees: int = TREES, rows: int = ROWS_PER_TREE, most: Sequence[float] = ()) -> Forest | None:
     """A forest from the different statistics with the smallest hashes; None for an empty table."""
     different = stats.select("features").dropDuplicates()
     sample = chosen_by_hash(different, ["features"], trees * rows).collect()
-    return Forest(np.array([r["features"] for r in sample]), trees, rows) if sample else None
+    return Forest(np.array([r["features"] for r in sample]), trees, rows, most=most) if sample else None
 
 
 def scored(stats: DataFrame, forest: Forest | None) -> DataFrame:
@@ -156,8 +188,7 @@ def scored(stats: DataFrame, forest: Forest | None) -> DataFrame:
 
 def threshold(scores: DataFrame, labels: DataFrame, key: str, label: str, false_rejects: float = FALSE_REJECTS) -> float:
     """The lowest score that at most a share ``false_rejects`` of the good labelled rows reach."""
-    marked = labels.filter(as_column(label).isNotNull()).groupBy(as_column(key)).agg(F.min(as_column(label)).alias("_good"))
-    known = scores.join(marked, key).groupBy(F.floor(F.col("score") / SCORE_STEP).alias("step"))
+    known = scores.join(_marked(labels, key, label), key).groupBy(F.floor(F.col("score") / SCORE_STEP).alias("step"))
     counts = known.agg(F.count_if(F.col("_good") == 1).alias("good"), F.count_if(F.col("_good") == 0).alias("bad")).collect()
     good, bad = (sum(r[k] for r in counts) for k in ("good", "bad"))
     step, reached = int(1 / SCORE_STEP) + 1, 0
@@ -173,7 +204,7 @@ def threshold(scores: DataFrame, labels: DataFrame, key: str, label: str, false_
 def _fitted(df: DataFrame, labels: DataFrame, text: str, key: str, label: str) -> tuple[DataFrame, Forest | None, float]:
     """Scores of every row, the forest and the threshold."""
     stats = stored(rule_statistics(df, text, (key,)), "statistics").withColumn("base_failed", base_failed())
-    forest = grow(stats)
+    forest = grow(stats, most=ordinary(stats.filter("NOT base_failed"), labels, key, label))
     scores = stored(scored(stats, forest), "scores")
     return scores, forest, threshold(scores.filter("NOT base_failed"), labels, key, label)
 

@@ -60,3 +60,30 @@ def test_rows_kept_are_the_rows_judged_good(spark):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     judged = {r["doc_id"] for r in quality.judge(documents, labels).filter("kept").select("doc_id").collect()}
     assert {r["doc_id"] for r in quality.keep_good(documents, labels).select("doc_id").collect()} == judged
+
+
+def with_menus(documents, labels):
+    """Good documents with a menu, and with rows of numbers, behind their text; no fixed rule rejects them."""
+    draw = np.random.default_rng(4)
+    good = documents.merge(labels[labels.quality == 1], on="doc_id")
+    good = good[good.text.str.split().str.len().between(200, 400)].head(10)
+    every = sorted(set(" ".join(good.text).split()))
+    made = []
+    for i, text in enumerate(good.text):
+        entries = [f"{a} {b}" for a, b in zip(draw.choice(every, 60), draw.choice(every, 60))]
+        made.append((-1 - i, text + "\n" + "\n".join(draw.choice(entries, 300))))
+    return made
+
+
+def test_menus_go_and_labelled_bad_documents_too(spark):
+    documents = pd.read_parquet(f"{FOLDER}/documents.parquet")
+    labels = pd.read_parquet(f"{FOLDER}/labels.parquet")
+    menus = with_menus(documents, labels)
+    df = spark.createDataFrame([*zip(documents.doc_id.tolist(), documents.text.tolist()), *menus], "doc_id long, text string")
+    rows = quality.judge(df, spark.read.parquet(f"{FOLDER}/labels.parquet")).toPandas().set_index("doc_id")
+    made = rows.loc[[i for i, _ in menus]]
+    assert not made.base_failed.any() and not made.kept.any()
+    fine = labels.join(rows, on="doc_id")
+    fine = fine[~fine.base_failed]
+    assert (~fine[fine.quality == 0].kept).mean() >= 0.95
+    assert fine[fine.quality == 1].kept.mean() >= 1 - quality.FALSE_REJECTS
