@@ -222,16 +222,18 @@ def boost(x: np.ndarray, confirmed: np.ndarray, total: np.ndarray) -> tuple[floa
 
 
 def calibrated(margin: np.ndarray, kind: np.ndarray, confirmed: np.ndarray, total: np.ndarray) -> tuple[float, ...]:
-    """For each kind the lowest margin from which on rules confirm a share of PRECISION; out of reach if there is none."""
+    """For each kind the lowest margin from which on rules confirm a share of PRECISION; out of reach if there is none.
+
+    Few candidates at the top say little: they are weighed with those below them.
+    """
     limits = []
     for number in range(len(KINDS)):
         some = kind == number
         limit = 1e9
         for value in sorted(set(margin[some]), reverse=True):
             above = some & (margin >= value)
-            if confirmed[above].sum() < PRECISION * total[above].sum():
-                break
-            limit = float(value)
+            if confirmed[above].sum() >= PRECISION * total[above].sum():
+                limit = float(value)
         # just below, so that rounding in another order of sums changes nothing
         limits.append(limit - 1e-9)
     return tuple(limits)

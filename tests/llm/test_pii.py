@@ -70,6 +70,18 @@ def test_boosting_separates():
     assert (margin[x[:, 1] > 9] > 0).all() and (margin[x[:, 1] <= 9] < 0).all()
 
 
+def test_one_unconfirmed_candidate_at_the_top_says_little():
+    """At the production threshold; a kind that rules hardly confirm still has no limit within reach."""
+    import numpy as np
+
+    margin = np.array([9.0, 5.0, 4.0, -3.0, 6.0, 2.0])
+    kind = np.array([3, 3, 3, 3, 2, 2])
+    confirmed = np.array([0.0, 400.0, 600.0, 10.0, 0.0, 50.0])
+    total = np.array([1.0, 400.0, 602.0, 900.0, 1.0, 60.0])
+    limits = pii.calibrated(margin, kind, confirmed, total)
+    assert 3.9 < limits[3] <= 4.0 and limits[2] > 1e8
+
+
 def test_native(spark):
     plan = pii.find(spark.read.parquet(f"{FOLDER}/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
