@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from ledgerloom.session import scratch_folder
 
 # Rows a Python task works on at a time; the rest of an Arrow batch waits in Arrow's form.
 ROWS_AT_ONCE = 256
+# Bytes of an Arrow batch where rows are of any length.
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -26,6 +29,12 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
 
 
+def light_batches(spark: SparkSession) -> None:
+    """Batches of at most ``BATCH_BYTES``, however many rows that are; a setting of the session as well."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
@@ -113,6 +122,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def in_groups(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows with equal keys side by side in one task, for ``groups_of``."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys)
+
+
+def groups_of(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The rows of one value of the first ``keys`` columns at a time; equal values lie side by side."""
+    open_parts: list[pa.RecordBatch] = []
+    open_key = None
+    for batch in batches:
+        columns = [np.asarray(batch.column(i)) for i in range(keys)]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        starts = [0, *np.nonzero(change)[0].tolist(), batch.num_rows]
+        for start, stop in zip(starts, starts[1:]):
+            if start == stop:
+                continue
+            key = tuple(c[start] for c in columns)
+            if open_parts and key != open_key:
+                yield pa.Table.from_batches(open_parts)
+                open_parts = []
+            open_key = key
+            open_parts.append(batch.slice(start, stop - start))
+    if open_parts:
+        yield pa.Table.from_batches(open_parts)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over ``edges`` (a, b); only nodes with edges.
 

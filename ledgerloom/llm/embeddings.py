@@ -19,7 +19,7 @@ gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import reduce
 from operator import or_
 
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
-from ledgerloom.llm.common import below_share, connected_components, pieces, stored
+from ledgerloom.llm.common import below_share, connected_components, groups_of, in_groups, pieces, stored
 from ledgerloom.operators.skew import left_join_unique
 
 THRESHOLD = 0.95
@@ -62,29 +62,6 @@ def _usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """The rows of one value of the first ``keys`` columns at a time; equal values lie side by side."""
-    open_parts: list[pa.RecordBatch] = []
-    open_key = None
-    for batch in batches:
-        columns = [np.asarray(batch.column(i)) for i in range(keys)]
-        change = np.zeros(batch.num_rows, bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        starts = [0, *np.nonzero(change)[0].tolist(), batch.num_rows]
-        for start, stop in zip(starts, starts[1:]):
-            if start == stop:
-                continue
-            key = tuple(c[start] for c in columns)
-            if open_parts and key != open_key:
-                yield pa.Table.from_batches(open_parts)
-                open_parts = []
-            open_key = key
-            open_parts.append(batch.slice(start, stop - start))
-    if open_parts:
-        yield pa.Table.from_batches(open_parts)
-
-
 def _matrix(column, kind: str) -> np.ndarray:
     rows = column.to_pylist()
     return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1)
@@ -97,11 +74,6 @@ def _widths(column) -> Iterator[tuple[int, np.ndarray]]:
         yield size, np.nonzero(sizes == size)[0]
 
 
-def _in_groups(df: DataFrame, *keys: str) -> DataFrame:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys).sortWithinPartitions(*keys)
-
-
 def nodes_of(df: DataFrame, vector: str, key: str) -> DataFrame:
     """Different usable vectors: node, first (smallest key), copies, vector, unit and small (binary, single precision)."""
     named = df.select(as_column(key).alias("id"), as_column(vector).cast("array<double>").alias("vector"))
@@ -197,7 +169,7 @@ def _round(graph: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
     met = met.select("a", "b", "fresh", F.coalesce("worst", F.lit(-1.0)).cast("float").alias("worst"), "small")
 
     def join(batches):
-        for group in _groups(batches, 1):
+        for group in groups_of(batches, 1):
             ids, fresh, least = (group.column(i).to_numpy() for i in (1, 2, 3))
             vectors = _matrix(group.column(4), "<f4")
             sims = vectors @ vectors.T
@@ -206,7 +178,7 @@ def _round(graph: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
             if len(i):
                 yield _edges(ids[i], ids[j], sims[i, j])
 
-    found = _in_groups(met, "a").mapInArrow(join, _EDGES).withColumn("fresh", F.lit(1))
+    found = in_groups(met, "a").mapInArrow(join, _EDGES).withColumn("fresh", F.lit(1))
     return _best(graph.withColumn("fresh", F.lit(0)).unionByName(found), most)
 
 
@@ -261,7 +233,7 @@ def count_links(nodes: DataFrame, members: DataFrame, threshold: float, block: i
     met = met.select("component", "i", "j", "node", "own", "copies", "unit")
 
     def run(batches):
-        for group in _groups(batches, 3):
+        for group in groups_of(batches, 3):
             i, j, ids, own, copies = (group.column(k).to_numpy() for k in (1, 2, 3, 4, 5))
             vectors = _matrix(group.column(6), "<f8")
             linked = vectors @ vectors.T >= threshold
@@ -271,7 +243,7 @@ def count_links(nodes: DataFrame, members: DataFrame, threshold: float, block: i
             arrays = [pa.array(ids, pa.int64()), pa.array(linked @ copies, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["node", "links"])
 
-    counts = _in_groups(met, "component", "i", "j").mapInArrow(run, "node long, links long")
+    counts = in_groups(met, "component", "i", "j").mapInArrow(run, "node long, links long")
     return counts.groupBy("node").agg(F.sum("links").alias("links"))
 
 
@@ -289,7 +261,7 @@ def _centres(met: DataFrame) -> DataFrame:
     """(component, block, centre, radius): a unit vector and the largest angle between it and a vector of the block."""
 
     def run(batches):
-        for group in _groups(batches, 2):
+        for group in groups_of(batches, 2):
             vectors = _matrix(group.column(3), "<f8")
             centre = vectors.mean(axis=0)
             length = np.linalg.norm(centre)
@@ -299,7 +271,7 @@ def _centres(met: DataFrame) -> DataFrame:
             arrays = [pa.array(v, t) for v, t in zip((*key, [centre.tobytes()], [radius]), _CENTRE_TYPES)]
             yield pa.RecordBatch.from_arrays(arrays, names=["component", "block", "centre", "radius"])
 
-    return _in_groups(met, "component", "block").mapInArrow(run, "component long, block int, centre binary, radius double")
+    return in_groups(met, "component", "block").mapInArrow(run, "component long, block int, centre binary, radius double")
 
 
 _CENTRE_TYPES = (pa.int64(), pa.int32(), pa.binary(), pa.float64())
@@ -319,7 +291,7 @@ def _pairs(centres: DataFrame, threshold: float, chunk: int) -> DataFrame:
     widest = float(np.arccos(threshold)) + 1e-6
 
     def run(batches):
-        for group in _groups(batches, 2):
+        for group in groups_of(batches, 2):
             for _, rows in _widths(group.column(5)):
                 some = group.take(pa.array(rows))
                 own, component, block, radius = (some.column(k).to_numpy() for k in (2, 3, 4, 6))
@@ -334,7 +306,7 @@ def _pairs(centres: DataFrame, threshold: float, chunk: int) -> DataFrame:
                 columns = (component[left][a], block[left][a], component[right][b], block[right][b])
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, _PAIR_TYPES)], names=_PAIRS)
 
-    return _in_groups(dealt, "i", "j").mapInArrow(run, "component long, block int, other long, other_block int")
+    return in_groups(dealt, "i", "j").mapInArrow(run, "component long, block int, other long, other_block int")
 
 
 def across(
@@ -354,14 +326,14 @@ def across(
     ]
 
     def run(batches):
-        for group in _groups(batches, 4):
+        for group in groups_of(batches, 4):
             side = group.column(4).to_numpy()
             vectors = _matrix(group.column(5), "<f8")
             if (vectors[side == 0] @ vectors[side == 1].T >= threshold).any():
                 ends = [pa.array([group.column(k)[0].as_py()], pa.int64()) for k in (0, 2)]
                 yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
 
-    joined = connected_components(_in_groups(sides[0].unionByName(sides[1]), *_PAIRS).mapInArrow(run, "a long, b long"))
+    joined = connected_components(in_groups(sides[0].unionByName(sides[1]), *_PAIRS).mapInArrow(run, "a long, b long"))
     joined = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
     alone = full.select("node").join(members, "node", "left_anti").select("node", F.col("node").alias("component"))
     every = left_join_unique(members.unionByName(alone), [joined], "component")

@@ -6,20 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm.common import small_batches
+from ledgerloom.llm.common import light_batches, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(function):
-    def with_small_batches(spark: SparkSession, folder: str) -> DataFrame:
-        small_batches(spark)
+def _registered(function, batches: Callable[[SparkSession], None]):
+    def with_batches(spark: SparkSession, folder: str) -> DataFrame:
+        batches(spark)
         return function(spark, folder)
 
-    QUERIES[function.__name__] = with_small_batches
+    QUERIES[function.__name__] = with_batches
     return function
 
 
+def query(function):
+    return _registered(function, small_batches)
+
+
+def light_query(function):
+    """For operators whose rows may be short: batches are limited by their bytes."""
+    return _registered(function, light_batches)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
