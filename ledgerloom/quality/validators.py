@@ -208,7 +208,7 @@ def _store(lake: Lake, tagged: Tagged, table: str, layer: str, retyped: bool) ->
         lake.create_view(layer, table, source, valid, f"NOT {SIDE}")
         lake.create_view("quarantine", f"{table}_rejects", source, rejects, SIDE)
     # the schema is given because an empty side has no files to take it from
-    stored = lake.spark.read.schema(rows.schema).parquet(lake.path(CHECKED, table))
+    stored = lake.spark.read.schema(rows.schema).parquet(lake.location(CHECKED, table))
 
     def shown(condition: Column, names: list[tuple[str, str]]) -> DataFrame:
         return stored.filter(condition).select(*[as_column(old).alias(new) for old, new in names])

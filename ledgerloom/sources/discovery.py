@@ -6,9 +6,14 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerloom.functions.columns import as_column, as_condition
 from ledgerloom.operators.reshape import SOURCE_COLUMN, union_relations
+from ledgerloom.sources.versions import current
 
 # Labels of the catalog's table types.
 TABLE_TYPES = {"MANAGED": "table", "EXTERNAL": "external", "VIEW": "view", "TEMPORARY": "view"}
@@ -72,12 +77,52 @@ def union_tables_like(
     )
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
+def _file_path() -> Column:
+    """The path of a row's file, written as Hadoop writes paths: without escapes, one slash after the scheme of local files."""
+    escaped = F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")  # a plus is a plus
+    return F.regexp_replace(F.url_decode(escaped), "^file:/+", "file:/")
+
+
+def _one_scan(spark: SparkSession, paths: Sequence[str], source_column: str | None) -> DataFrame | None:
+    """All folders as one scan with the union of their columns, or None if their types differ or a name says nothing.
+
+    One job reads the footers. The label is the part of a file's path below the folder that all have in common.
+    """
+    roots = [path.rstrip("/") for path in paths]
+    parents = {_qualified(spark, root.rpartition("/")[0] or "/") for root in roots}
+    if source_column is not None and (len(parents) > 1 or len(set(roots)) < len(roots)):
+        return None
+    versions = [current(spark, root) for root in roots]
+    try:
+        df = spark.read.option("mergeSchema", True).parquet(*versions)
+    except (PySparkException, Py4JJavaError):
+        return None
+    if source_column is None:
+        return df
+    below = F.substr(_file_path(), F.lit(len(parents.pop().rstrip("/")) + 2))
+    return df.select(F.split_part(below, F.lit("/"), F.lit(1)).alias(source_column), *[as_column(c) for c in df.columns])
+
+
 def union_folders(
     spark: SparkSession,
     paths: Sequence[str],
     where: str | Column | None = None,
     source_column: str | None = SOURCE_COLUMN,
 ) -> DataFrame:
-    """The same for Parquet folders; the last part of the path names the source."""
-    named = [(path.rstrip("/").rpartition("/")[2], spark.read.parquet(path)) for path in paths]
+    """The same for Parquet folders, versioned or not; the last part of the path names the source.
+
+    Folders whose columns have the same types wherever they share a name are one scan, however many there are; a folder
+    that lacks a column has NULL there. Others are a union, one branch for each.
+    """
+    if not paths:
+        raise ValueError("no folders")
+    df = _one_scan(spark, paths, source_column)
+    if df is not None:
+        return df.filter(as_condition(where))
+    named = [(path.rstrip("/").rpartition("/")[2], spark.read.parquet(current(spark, path))) for path in paths]
     return union_relations(named, where=where, source_column=source_column)

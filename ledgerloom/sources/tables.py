@@ -1,4 +1,4 @@
-"""Tables in named layers, as Parquet folders and as catalog entries."""
+"""Tables in named layers, as versioned Parquet folders and as catalog entries."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
+from ledgerloom.sources import versions
 
 LAYERS = ("raw", "silver", "quarantine", "staging", "warehouse")
 
@@ -19,7 +20,7 @@ CHECKED, SIDE, REASON = "checked", "_rejected", "reject_reason"
 
 @dataclass(frozen=True)
 class Lake:
-    """One folder per layer, one Parquet folder per table.
+    """One folder per layer, one folder per table with its versions (``versions.py``).
 
     With ``catalog=True`` every layer is also a database and every table is
     registered there, so that ``spark.table("silver.bureau")`` works.
@@ -38,17 +39,22 @@ class Lake:
                 f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{self.root.rstrip('/')}/{layer}'"
             )
 
-    def write(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()) -> None:
-        """Replace the table (starts a job). Files are written by all tasks in parallel."""
-        # the whole table is replaced, also where the session overwrites single partitions only
-        writer = df.write.mode("overwrite").format("parquet").option("partitionOverwriteMode", "static")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
+    def write(
+        self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = (), beside: versions.Beside | None = None
+    ) -> None:
+        """Replace the table (starts a job); readers see the old one until the new one is complete.
+
+        ``beside`` gives the names and texts of small files to be kept with the version, once its rows are written.
+        """
         if self.catalog:
             self.create_layers([layer])
-            writer.option("path", self.path(layer, table)).saveAsTable(f"`{layer}`.`{table}`")
+            versions.publish(df, f"`{layer}`.`{table}`", self.path(layer, table), partition_by, beside=beside)
         else:
-            writer.save(self.path(layer, table))
+            versions.refresh(df, self.path(layer, table), partition_by, beside=beside)
+
+    def location(self, layer: str, table: str) -> str:
+        """The folder of the table's newest version."""
+        return versions.current(self.spark, self.path(layer, table))
 
     def create_view(
         self, layer: str, view: str, source: tuple[str, str], names: Sequence[tuple[str, str]], where: str
@@ -68,19 +74,15 @@ class Lake:
         Valid and rejected rows lie in one table of the layer ``checked``; their names in other
         layers are resolved to their side of it.
         """
-        if self._exists(self.path(layer, table)):
-            df = self.spark.read.parquet(self.path(layer, table))
+        if versions.exists(self.spark, self.path(layer, table)):
+            df = self.spark.read.parquet(self.location(layer, table))
         else:
             df = self._side(layer, table)
         return df if columns is None else existing_columns(df, columns)
 
-    def _exists(self, path: str) -> bool:
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(place)
-
     def _side(self, layer: str, table: str) -> DataFrame:
         rejected = layer == "quarantine"
-        stored = self.spark.read.parquet(self.path(CHECKED, table.removesuffix("_rejects") if rejected else table))
+        stored = self.spark.read.parquet(self.location(CHECKED, table.removesuffix("_rejects") if rejected else table))
         # read back without a schema, the folder names are text
         is_rejected = as_column(SIDE).cast("boolean")
         side = stored.filter(is_rejected if rejected else ~is_rejected)
@@ -134,17 +136,18 @@ def materialize(df: DataFrame, name: str, how: str = "view") -> DataFrame:
     if how == "view":
         df.createOrReplaceTempView(name)
     elif how == "table":
-        layer, _, _ = name.rpartition(".")
+        layer, _, table = name.rpartition(".")
         if layer:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
-        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        home = spark.catalog.getDatabase(layer or spark.catalog.currentDatabase()).locationUri
+        versions.publish(df, name, f"{home.rstrip('/')}/{table}")
     else:
         raise ValueError(f"how must be 'view' or 'table', got {how!r}")
     return spark.table(name)
 
 
 def land(df: DataFrame, namespace: str, table: str, format: str = "iceberg", catalog: str = "iceberg") -> str:
-    """Create or replace a lakehouse table and return its name (starts a write).
+    """Create or replace a lakehouse table and return its name (starts a write); readers see the old rows or the new ones.
 
     ``format`` is "iceberg", for a table of the named Iceberg catalog, which the session must
     have, or "parquet", for a table of the session catalog.
