@@ -412,7 +412,8 @@ FAIL_CALCULATIONS = {
 }
 
 
-def _reached(failures: int, threshold: str) -> bool:
+def reaches(failures: int | Column, threshold: str) -> bool | Column:
+    """Whether a number of failures meets a threshold such as '> 10'."""
     match = _THRESHOLD.fullmatch(threshold)
     if not match:
         raise ValueError(f"a threshold looks like '> 10', got {threshold!r}")
@@ -428,9 +429,9 @@ def outcome(
 ) -> Outcome:
     """Evaluate a check (starts a job, returns one number) against its thresholds."""
     failures = int(failing.agg(F.expr(fail_calc).alias("failures")).first()["failures"] or 0)
-    if severity == "error" and _reached(failures, error_if):
+    if severity == "error" and reaches(failures, error_if):
         return Outcome(failures, "error")
-    return Outcome(failures, "warn" if _reached(failures, warn_if) else "pass")
+    return Outcome(failures, "warn" if reaches(failures, warn_if) else "pass")
 
 
 def staging_gate(df: DataFrame, key: str) -> None:

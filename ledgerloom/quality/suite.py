@@ -1,16 +1,16 @@
-"""Expectation suites: all simple expectations of a table in one pass over it."""
+"""Expectation suites: all expectations of all tables from one scan of each."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
 from ledgerloom.quality.checks import CheckFailed
+from ledgerloom.quality.onepass import ROWS, Scan, as_flag, counted, keys_of, over_keys, results
 
 NOT_NULL = "expect_column_values_to_not_be_null"
 UNIQUE = "expect_column_values_to_be_unique"
@@ -110,53 +110,55 @@ def _result(expectation: Expectation, total: Column, unexpected: Column, success
     )
 
 
-def _outcome(df: DataFrame, expectation: Expectation) -> Column:
-    """Aggregate expression for an expectation that needs no grouping."""
-    rows = F.count(F.lit(1))
-    if expectation.kind == ROW_COUNT:
-        low, high = expectation.arguments.get("min_value"), expectation.arguments.get("max_value")
-        missing = F.lit(0) if low is None else F.greatest(F.lit(low) - rows, F.lit(0))
-        surplus = F.lit(0) if high is None else F.greatest(rows - F.lit(high), F.lit(0))
-        return _result(expectation, rows, missing + surplus, _in_range(rows, expectation.arguments))
+def _places(scan: Scan, expectation: Expectation, check: int) -> Callable[[int], Column]:
+    """Add what an expectation asks of the scan; the function returned makes its result, given the number of the scan."""
+    df, arguments = scan.df, expectation.arguments
     if expectation.kind == EXISTS:
         found = expectation.column.lower() in {name.lower() for name in df.columns}
-        return _result(expectation, F.lit(1), F.lit(0 if found else 1), F.lit(found))
+        return lambda _: _result(expectation, F.lit(1), F.lit(0 if found else 1), F.lit(found))
+    if expectation.kind == ROW_COUNT:
+        place = scan.count(F.lit(1))
+
+        def row_count(number: int) -> Column:
+            rows, low, high = counted(number, place), arguments.get("min_value"), arguments.get("max_value")
+            missing = F.lit(0) if low is None else F.greatest(F.lit(low) - rows, F.lit(0))
+            surplus = F.lit(0) if high is None else F.greatest(rows - F.lit(high), F.lit(0))
+            return _result(expectation, rows, missing + surplus, _in_range(rows, arguments))
+
+        return row_count
     value = as_column(expectation.column)
+    if expectation.kind == UNIQUE:
+        # all rows sharing their value with another row are unexpected
+        scan.keys.append(keys_of(check, df, value, value.isNotNull()))
+        rows = F.col(ROWS)
+        return lambda _: _result(expectation, over_keys(check, rows), over_keys(check, F.when(rows > 1, rows)))
     if expectation.kind == NOT_NULL:
-        return _result(expectation, rows, F.count_if(value.isNull()))
-    if expectation.kind == IN_SET:
-        wrong = ~value.isin(*expectation.arguments["value_set"])
+        seen, wrong = F.lit(1), value.isNull()
+    elif expectation.kind == IN_SET:
+        seen, wrong = as_flag(value.isNotNull()), ~value.isin(*arguments["value_set"])
     else:
-        wrong = ~_in_range(value, expectation.arguments)
-    return _result(expectation, F.count(value), F.count_if(wrong))
+        seen, wrong = as_flag(value.isNotNull()), ~_in_range(value, arguments)
+    places = scan.count(seen), scan.count(as_flag(wrong))
+    return lambda number: _result(expectation, *[counted(number, place) for place in places])
 
 
-def _uniqueness(df: DataFrame, expectation: Expectation) -> DataFrame:
-    """All rows sharing their value with another row are unexpected."""
-    value = as_column(expectation.column)
-    counts = df.filter(value.isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
-    rows = F.coalesce(F.sum("_rows"), F.lit(0))
-    shared = F.coalesce(F.sum(F.when(F.col("_rows") > 1, F.col("_rows"))), F.lit(0))
-    return counts.agg(F.array(_result(expectation, rows, shared)).alias("_results"))
+def evaluate_all(tables: Mapping[str, DataFrame], suites: Mapping[str, Sequence[Expectation]]) -> DataFrame:
+    """One row per expectation of every suite, over whole tables: one scan of each table and one shuffle for all."""
+    scans, made, check = [], [], 0
+    for name, expectations in suites.items():
+        scan, number = Scan(tables[name]), len(scans)
+        for expectation in expectations:
+            result = _places(scan, expectation, check)
+            made.append((name, number, result))
+            check += 1
+        scans.append(scan)
+    rows = [F.struct(F.lit(name).alias("suite"), result(number).alias("_r")) for name, number, result in made]
+    return results(scans, rows).select("suite", "_r.*")
 
 
 def evaluate(df: DataFrame, expectations: Sequence[Expectation], suite: str) -> DataFrame:
-    """One row per expectation, over the whole table.
-
-    A single aggregation answers everything but uniqueness. Uniqueness groups by
-    its column and therefore reads just that column in a pass of its own, which
-    is less to shuffle than carrying the other counts along.
-    """
-    plain = [e for e in expectations if e.kind != UNIQUE]
-    passes = [_uniqueness(df, e) for e in expectations if e.kind == UNIQUE]
-    if plain:
-        passes.append(df.agg(F.array(*[_outcome(df, e) for e in plain]).alias("_results")))
-    results = reduce(DataFrame.unionByName, [p.select(F.inline("_results")) for p in passes])
-    return results.select(F.lit(suite).alias("suite"), "*")
-
-
-def evaluate_all(tables: Mapping[str, DataFrame], suites: Mapping[str, Sequence[Expectation]]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [evaluate(tables[name], suites[name], name) for name in suites])
+    """One row per expectation, in one scan of the table."""
+    return evaluate_all({suite: df}, {suite: expectations})
 
 
 def suite_success(results: DataFrame) -> DataFrame:
