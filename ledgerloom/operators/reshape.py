@@ -6,7 +6,7 @@ import operator
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -46,6 +46,8 @@ DISTINCT_AGGREGATES = {
     "avg": lambda c: F.sum_distinct(c) / F.nullif(F.count_distinct(c), F.lit(0)),
 }
 
+# Values up to which a pivot evaluates each of them for every row.
+FEW_VALUES = 32
 # Digits a decimal can have.
 MOST_DIGITS = 38
 
@@ -106,6 +108,68 @@ def pivot_columns(
     return result
 
 
+def _literal_of(data_type: DataType, value) -> bool:
+    """Whether a value is one of the type, so that comparing needs no conversion."""
+    if isinstance(data_type, StringType):
+        return isinstance(value, str)
+    return isinstance(data_type, (ByteType, ShortType, IntegerType, LongType)) and isinstance(value, int) and not isinstance(value, bool)
+
+
+def _in_two_phases(df: DataFrame, column: str, values: Sequence, options: Mapping) -> bool:
+    """Whether results can be put together from those of each (group, value)."""
+    if len(values) <= FEW_VALUES or options.get("distinct") or options.get("cmp", "=") != "=" or not options.get("alias", True):
+        return False
+    agg, else_value = options.get("agg", "sum"), options.get("else_value", 0)
+    plain = else_value is None or (isinstance(else_value, (int, float)) and not isinstance(else_value, bool))
+    known = isinstance(agg, str) and agg.lower() in AGGREGATES
+    types = df.schema[column].dataType if column in df.columns else None
+    return known and plain and len(set(values)) == len(values) and all(_literal_of(types, v) for v in values)
+
+
+def _pivot_in_two_phases(df: DataFrame, group_by: Sequence[str], column: str, values: Sequence, options: Mapping) -> DataFrame:
+    """Aggregates of each (group, value) first, then one row per group, each partial result put in the place of its value.
+
+    What rows of other values add follows from their number: each of them counts as ``else_value``.
+    """
+    agg, else_value = options.get("agg", "sum").lower(), options.get("else_value", 0)
+    then_value = as_expression(options.get("then_value", 1))
+    case = F.when(_comparison(column, "=", values[0]), then_value).otherwise(F.lit(else_value))
+    # both branches have the type of the whole
+    to = df.select(case.alias("case")).schema["case"].dataType
+    result_type = df.agg(AGGREGATES[agg](case).alias("case")).schema["case"].dataType
+    groups = [as_column(name).alias(f"g{i}") for i, name in enumerate(group_by)]
+    keys = [f"g{i}" for i in range(len(group_by))]
+    rows = df.select(*groups, as_column(column).alias("value"), then_value.cast(to).alias("then"))
+    main = AGGREGATES["sum" if agg == "avg" else agg]
+    parts = rows.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"), F.count("then").alias("filled"), main("then").alias("part"))
+    total = F.sum("n").over(Window.partitionBy(*keys)).alias("total")
+    placed = parts.select(*keys, "value", "n", "filled", "part", total).groupBy(*keys, "total").pivot("value", list(values))
+    wide = placed.agg(F.first("n"), F.first("filled"), F.first("part"))
+    names = [f"{kind}{i}" for i in range(len(values)) for kind in ("n", "filled", "part")]
+    wide = wide.toDF(*keys, "total", *names)
+
+    other = F.lit(else_value).cast(to)
+    has_other = F.lit(else_value is not None)
+
+    def whole(i: int) -> Column:
+        others = F.col("total") - F.coalesce(f"n{i}", F.lit(0))
+        part, filled = F.col(f"part{i}"), F.coalesce(f"filled{i}", F.lit(0))
+        counts = has_other & (others > 0)
+        if agg == "count":
+            return filled + F.when(counts, others).otherwise(F.lit(0))
+        if agg in ("min", "max"):
+            nearest = F.least if agg == "min" else F.greatest  # both skip NULLs
+            return nearest(part, F.when(counts, other))
+        added = F.when(counts, F.coalesce(part, F.lit(0)) + other * others).otherwise(part)
+        return added if agg == "sum" else added / F.nullif(filled + F.when(counts, others).otherwise(F.lit(0)), F.lit(0))
+
+    prefix, suffix = options.get("prefix", ""), options.get("suffix", "")
+    shown = [f"{prefix}{v}{suffix}" for v in values]
+    shown = shown if options.get("quote_identifiers", True) else [slugify(name) for name in shown]
+    results = [whole(i).cast(result_type).alias(name) for i, name in enumerate(shown)]
+    return wide.select(*[F.col(key).alias(name) for key, name in zip(keys, group_by)], *results)
+
+
 def pivot(df: DataFrame, group_by: Sequence[str], column: str, values: Sequence, **options) -> DataFrame:
     """Rows per group, one column per value; ``options`` as for ``pivot_columns``.
 
@@ -114,7 +178,12 @@ def pivot(df: DataFrame, group_by: Sequence[str], column: str, values: Sequence,
     once per distinct aggregate, and this way the input is small. Where a value
     is compared for equality and the others count as NULL, the combinations are
     all there is to aggregate, and nothing is expanded.
+
+    More than ``FEW_VALUES`` values compared for equality under an aggregate that can be put together from parts are not
+    evaluated for every row: groups and values are aggregated first and then reshaped.
     """
+    if group_by and _in_two_phases(df, column, values, options):
+        return _pivot_in_two_phases(df, group_by, column, values, options)
     if options.get("distinct"):
         if options.get("cmp", "=") == "=" and "else_value" in options and options["else_value"] is None:
             options["distinct"] = False

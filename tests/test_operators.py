@@ -225,3 +225,29 @@ def test_date_spine(spark, part, start, end, first, last, n):
     assert spine.columns == [f"date_{part}"]
     values = sorted(r[0] for r in spine.collect())
     assert (values[0], values[-1], len(values)) == (first, last, n)
+
+
+@pytest.mark.parametrize("agg", ["sum", "count", "min", "max", "avg"])
+@pytest.mark.parametrize("else_value", [0, 7, None])
+def test_pivot_in_two_phases(spark, monkeypatch, agg, else_value):
+    """The same as evaluating every value for every row, NULLs and values that do not occur included."""
+    data = [("a", 1, 5.0), ("a", 1, -2.0), ("a", 2, None), ("b", None, 3.0), ("b", 3, 4.0), ("c", 1, None), (None, 2, 1.0), ("d", 9, 8.0), ("e", 1, 2.5)]
+    df = spark.createDataFrame(data, "g string, k int, v double")
+    wanted = {"agg": agg, "then_value": "v", "else_value": else_value, "prefix": "k_"}
+    plain = reshape.pivot(df, ["g"], "k", [1, 2, 3, 4], **wanted)
+    monkeypatch.setattr(reshape, "FEW_VALUES", 2)
+    quick = reshape.pivot(df, ["g"], "k", [1, 2, 3, 4], **wanted)
+    assert quick.dtypes == plain.dtypes
+    assert sorted(map(str, quick.collect())) == sorted(map(str, plain.collect()))
+    texts = df.withColumn("k", F.concat(F.lit("n "), "k"))
+    slugs = reshape.pivot(texts, ["g"], "k", ["n 1", "n 2", "n 3"], agg="sum", quote_identifiers=False)
+    assert slugs.columns == ["g", "n_1", "n_2", "n_3"]
+    assert {r["g"]: r["n_1"] for r in slugs.collect()} == {"a": 2, "b": 0, "c": 1, None: 0, "d": 0, "e": 1}
+
+
+def test_pivot_of_thousands_of_values(spark):
+    df = spark.range(20_000).selectExpr("id % 3 AS g", "CAST(id % 5000 AS INT) AS k", "id AS v")
+    wide = reshape.pivot(df, ["g"], "k", list(range(5000)), then_value="v")
+    found = {r[0]: r for r in wide.collect()}
+    assert found[1][1 + 4999] == sum(i for i in range(20_000) if i % 3 == 1 and i % 5000 == 4999)
+    assert len(found) == 3 and len(wide.columns) == 5001
