@@ -411,3 +411,11 @@ query("check_ranges_whole_table", range_check_sql(None, "<=", "<="))(_range_chec
 def check_staging_keys(spark: SparkSession, folder: str) -> DataFrame:
     keys = table(spark, folder, "lineitem").selectExpr("nullif(l_orderkey, 7) AS k")
     return key_counts(keys, "k")
+
+
+@query("check_columns_match_set", """
+    SELECT upper(c) AS relation_column, CAST(NULL AS VARCHAR) AS input_column FROM (DESCRIBE customer) AS t(c)
+    WHERE lower(c) NOT IN ('c_custkey', 'c_name', 'c_phone')
+    UNION ALL SELECT NULL, 'C_PHONE'""")
+def check_columns_match_set(spark: SparkSession, folder: str) -> DataFrame:
+    return checks.columns_match_set(table(spark, folder, "customer"), ["c_custkey", "C_NAME", "c_phone"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import columns, grouping, reshape, series, setops
+from ledgerloom.operators import columns, digests, grouping, reshape, series, setops
 from ledgerloom.queries.registry import query, table
 from ledgerloom.queries.standins import cents
 from ledgerloom.sources.tables import key_bounds
@@ -251,6 +251,59 @@ def except_both_ways(spark: SparkSession, folder: str) -> DataFrame:
     return setops.except_both_ways(orders, events)
 
 
+def _changed(orders: DataFrame) -> DataFrame:
+    """Some orders with another status, some twice, some gone."""
+    changed = orders.filter("k % 800 <> 3").withColumn("status", F.expr("CASE WHEN k % 500 = 7 THEN NULL ELSE status END"))
+    return changed.unionAll(changed.filter("k % 900 = 11"))
+
+
+_ORDERS = "SELECT o_orderkey AS k, o_custkey AS customer, o_orderstatus AS status FROM orders"
+_CHANGED = f"""
+    SELECT k, customer, CASE WHEN k % 500 = 7 THEN NULL ELSE status END AS status
+    FROM (SELECT * FROM ({_ORDERS}) UNION ALL SELECT * FROM ({_ORDERS}) WHERE k % 900 = 11) WHERE k % 800 <> 3"""
+
+
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").selectExpr("o_orderkey AS k", "o_custkey AS customer", "o_orderstatus AS status")
+
+
+@query("except_by_digests", f"""
+    SELECT 'a_minus_b' AS which_diff, * FROM ({_ORDERS} EXCEPT {_CHANGED})
+    UNION ALL SELECT 'b_minus_a', * FROM ({_CHANGED} EXCEPT {_ORDERS})""")
+def except_by_digests(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _orders(spark, folder)
+    return digests.except_by_digests(orders, _changed(orders))
+
+
+@query("except_all_by_digests", f"""
+    SELECT 'a_minus_b' AS which_diff, * FROM ({_ORDERS} EXCEPT ALL {_CHANGED})
+    UNION ALL SELECT 'b_minus_a', * FROM ({_CHANGED} EXCEPT ALL {_ORDERS})""")
+def except_all_by_digests(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _orders(spark, folder)
+    return digests.except_by_digests(orders, _changed(orders), multiset=True)
+
+
+def _sizes(aggregate: str) -> str:
+    return ", ".join(f"{aggregate.format(n)} AS size_{n}" for n in range(1, 51))
+
+
+@query("pivot_many_values", f"""
+    SELECT p_type, {_sizes("max(CASE WHEN p_size = {0} THEN " + cents("p_retailprice") + " ELSE 0 END)")} FROM part GROUP BY p_type""")
+def pivot_many_values(spark: SparkSession, folder: str) -> DataFrame:
+    """More values than are evaluated for every row."""
+    parts = table(spark, folder, "part")
+    return reshape.pivot(parts, ["p_type"], "p_size", list(range(1, 51)), agg="max", prefix="size_", then_value=cents("p_retailprice"))
+
+
+@query("pivot_many_counts", f"""
+    SELECT p_type, {_sizes("count(CASE WHEN p_size = {0} THEN nullif(p_name, '') END)")} FROM part GROUP BY p_type""")
+def pivot_many_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return reshape.pivot(
+        table(spark, folder, "part"), ["p_type"], "p_size", list(range(1, 51)),
+        agg="count", prefix="size_", then_value="nullif(p_name, '')", else_value=None,
+    )
+
+
 @query("generate_series", """
     SELECT CAST(generated_number AS BIGINT) AS generated_number, count(l_orderkey) AS num_rows
     FROM (SELECT unnest(range(1, (SELECT max(o_orderkey) FROM orders) + 1)) AS generated_number)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.grouping import column_values
 from ledgerloom.queries.registry import own_name, query, table
 from ledgerloom.session import scratch_folder
 from ledgerloom.sources import csv_files, tables
@@ -39,6 +40,22 @@ def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
     return lake.read("raw", "orders")
 
 
+@query(
+    "csv_observed_types",
+    """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS code,
+              CAST(o_orderkey AS BIGINT) * 10000000000 AS wide, o_totalprice, o_orderpriority FROM orders""",
+)
+def csv_observed_types(spark: SparkSession, folder: str) -> DataFrame:
+    """A CSV file landed as text in one pass, read back in the types its values have."""
+    lake = Lake(spark, scratch_folder(spark, "csv"))
+    orders = table(spark, folder, "orders").selectExpr(
+        "o_orderkey", "lpad(CAST(o_custkey AS STRING), 9, '0') AS code", "o_orderkey * 10000000000 AS wide", "o_totalprice", "o_orderpriority"
+    )
+    orders.write.option("header", True).csv(f"{lake.root}/files/orders.csv")
+    csv_files.ingest_as_text(lake, f"{lake.root}/files", {"orders.csv": "orders"})
+    return csv_files.read_typed(lake, "raw", "orders")
+
+
 @query(
     "landed_tables",
     """
@@ -90,6 +107,17 @@ def union_of_folders(spark: SparkSession, folder: str) -> DataFrame:
     return union_folders(spark, [lake.path("accounts", name) for name in ("customer", "supplier")], source_column=None)
 
 
+@query("union_many_folders", "SELECT o_orderpriority AS _dbt_source_relation, o_orderkey, o_custkey FROM orders WHERE o_custkey > 10")
+def union_many_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """One versioned folder for each priority, read as one scan that labels rows by their file."""
+    lake = Lake(spark, scratch_folder(spark, "priorities"))
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    names = column_values(orders, "o_orderpriority")
+    for name in names:
+        lake.write(orders.filter(F.col("o_orderpriority") == name).drop("o_orderpriority"), "by_priority", name)
+    return union_folders(spark, [lake.path("by_priority", name) for name in names], where="o_custkey > 10")
+
+
 @query("layer_tables", "SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
 def layer_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Tables of two layers, written and read through the catalog."""
@@ -118,3 +146,25 @@ def materialized_view(spark: SparkSession, folder: str) -> DataFrame:
     """A model kept as a view and grouped through it."""
     view = tables.materialize(table(spark, folder, "lineitem").select("l_suppkey"), "lineitem_suppliers")
     return view.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("num_rows"))
+
+
+REFRESHED = "SELECT c_custkey AS id, c_acctbal AS balance, c_mktsegment AS segment FROM customer"
+
+
+@query("refreshed_table", REFRESHED)
+def refreshed_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A table refreshed twice with more columns the second time, read by path."""
+    lake = Lake(spark, scratch_folder(spark, "refreshed"))
+    customer, supplier = _accounts(spark, folder)
+    lake.write(supplier, "raw", "account")
+    lake.write(customer, "raw", "account")
+    return lake.read("raw", "account")
+
+
+@query("landed_twice", REFRESHED)
+def landed_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """A catalog table that moves to the files of its second landing."""
+    landed = own_name(spark, "landed")
+    customer, supplier = _accounts(spark, folder)
+    tables.land(supplier, landed, "account", "parquet")
+    return spark.table(tables.land(customer, landed, "account", "parquet"))

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.plans import warehouse
 from ledgerloom.plans.features import CHILDREN, enrich
 from ledgerloom.plans.run import product_counts, run
+from ledgerloom.quality.declared import declarations
+from ledgerloom.quality.declared import evaluate as evaluate_declared
 from ledgerloom.quality.suite import (
     BETWEEN,
     EXISTS,
@@ -331,3 +333,84 @@ def all_products(spark: SparkSession, folder: str) -> DataFrame:
         raw[name] = raw[name].selectExpr("*", *[f"CAST(NULL AS STRING) AS {column}" for column in missing])
     lake = Lake(spark, scratch_folder(spark, "products"))
     return product_counts(run(lake, raw, SUITES, strict=False))
+
+
+# The tests of the warehouse as a model file declares them, with a few that fail on the stand-ins.
+DECLARED = {
+    "models": [
+        {
+            "name": "dim_customer",
+            "tests": [{"dbt_utils.unique_combination_of_columns": {"combination_of_columns": ["code_gender", "amt_credit"], "warn_if": "> 3", "severity": "warn"}}],
+            "columns": [
+                {"name": "customer_key", "tests": ["not_null", "unique"]},
+                {"name": "target", "tests": [{"not_null": {"config": {"error_if": "> 1000000", "warn_if": "> 0"}}}, {"accepted_values": {"values": [0, 1]}}]},
+                {"name": "amt_credit", "tests": [{"dbt_utils.accepted_range": {"min_value": 0, "where": "target = 1"}}]},
+            ],
+        },
+        {
+            "name": "dim_bureau",
+            "columns": [
+                {"name": "bureau_id", "tests": ["not_null", "unique"]},
+                {"name": "customer_id", "tests": [{"relationships": {"to": "ref('dim_customer')", "field": "customer_key"}}]},
+                {"name": "credit_active", "tests": [{"dbt_utils.not_constant": {"group_by_columns": ["customer_id"], "error_if": "> 5"}}]},
+            ],
+        },
+        {
+            "name": "fact_loans",
+            "tests": [{"dbt_utils.expression_is_true": {"expression": "total_bureau_credit >= avg_credit_amount"}}],
+            "columns": [
+                {"name": "customer_key", "tests": ["not_null", {"relationships": {"to": "ref('dim_customer')", "field": "customer_key"}}]},
+                {"name": "avg_credit_amount", "tests": ["not_null"]},
+            ],
+        },
+    ]
+}
+
+
+def _failures(model: str, test: str, column: str | None, count: str, error: str = "<> 0", warn: str = "<> 0") -> str:
+    name = "CAST(NULL AS VARCHAR)" if column is None else f"'{column}'"
+    status = f"CASE WHEN failures {error} THEN 'error' WHEN failures {warn} THEN 'warn' ELSE 'pass' END"
+    return f"SELECT '{model}' AS model, '{test}' AS test, {name} AS column_name, failures, {status} AS status FROM ({count})"
+
+
+def _where(model: str, condition: str) -> str:
+    return f"SELECT count(*) AS failures FROM {model} WHERE {condition}"
+
+
+def _twice(model: str, columns: str, where: str = "true") -> str:
+    return f"SELECT count(*) AS failures FROM (SELECT {columns} FROM {model} WHERE {where} GROUP BY {columns} HAVING count(*) > 1)"
+
+
+_UNKNOWN = "NOT EXISTS (SELECT 1 FROM dim_customer d WHERE d.customer_key = {0}) AND {0} IS NOT NULL"
+DECLARED_TESTS = (
+    clean_sql("application_train", "bureau")
+    + f", dim_customer AS ({DIM_CUSTOMER}), fact_loans AS ({FACT_LOANS}), "
+    + "dim_bureau AS (SELECT SK_ID_BUREAU AS bureau_id, SK_ID_CURR AS customer_id, CREDIT_ACTIVE AS credit_active FROM bureau)"
+    + " UNION ALL ".join(
+        [
+            _failures("dim_customer", "dbt_utils.unique_combination_of_columns", None, _twice("dim_customer", "code_gender, amt_credit"), "IS NULL", "> 3"),
+            _failures("dim_customer", "not_null", "customer_key", _where("dim_customer", "customer_key IS NULL")),
+            _failures("dim_customer", "unique", "customer_key", _twice("dim_customer", "customer_key", "customer_key IS NOT NULL")),
+            _failures("dim_customer", "not_null", "target", _where("dim_customer", "target IS NULL"), "> 1000000", "> 0"),
+            _failures("dim_customer", "accepted_values", "target", "SELECT count(DISTINCT target) AS failures FROM dim_customer WHERE target NOT IN (0, 1)"),
+            _failures("dim_customer", "dbt_utils.accepted_range", "amt_credit", _where("dim_customer", "target = 1 AND NOT amt_credit >= 0")),
+            _failures("dim_bureau", "not_null", "bureau_id", _where("dim_bureau", "bureau_id IS NULL")),
+            _failures("dim_bureau", "unique", "bureau_id", _twice("dim_bureau", "bureau_id", "bureau_id IS NOT NULL")),
+            _failures("dim_bureau", "relationships", "customer_id", _where("dim_bureau", _UNKNOWN.format("customer_id"))),
+            _failures(
+                "dim_bureau", "dbt_utils.not_constant", "credit_active",
+                "SELECT count(*) AS failures FROM (SELECT customer_id FROM dim_bureau GROUP BY 1 HAVING count(DISTINCT credit_active) = 1)", "> 5",
+            ),
+            _failures("fact_loans", "dbt_utils.expression_is_true", None, _where("fact_loans", "NOT total_bureau_credit >= avg_credit_amount")),
+            _failures("fact_loans", "not_null", "customer_key", _where("fact_loans", "customer_key IS NULL")),
+            _failures("fact_loans", "relationships", "customer_key", _where("fact_loans", _UNKNOWN.format("customer_key"))),
+            _failures("fact_loans", "not_null", "avg_credit_amount", _where("fact_loans", "avg_credit_amount IS NULL")),
+        ]
+    )
+)
+
+
+@query("declared_tests", DECLARED_TESTS)
+def declared_tests(spark: SparkSession, folder: str) -> DataFrame:
+    """All declared tests of three models, planned together."""
+    return evaluate_declared(_warehouse(spark, folder), declarations(DECLARED))

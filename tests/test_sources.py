@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.session import scratch_folder
 from ledgerloom.sources import csv_files, discovery, jdbc, tables
@@ -212,3 +213,56 @@ def test_scratch_folder_follows_the_cluster_setting(spark, tmp_path):
     with pytest.raises(RuntimeError):
         scratch_folder(NoSetting(), "x")
 
+
+
+def test_landing_as_text_observes_types(spark, tmp_path):
+    lines = [" id ,code,wide,price,mixed,day,empty,round"]
+    lines += [f"{i},{i:04d},{i * 10**11},{i}.50,{i if i % 2 else f'{i}.25'},2020-01-{i + 1:02d},,{i}" for i in range(1, 9)]
+    lines += ["9,0009,9,1.5,3,x,,12345678901234567.5", "too,few", "1,2,3,4,5,6,7,8,9,many", "-3,-1,-9,-1.5,-7,2020-02-01,,-1"]
+    (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    (landed,) = csv_files.ingest_as_text(lake, str(tmp_path), {"t.csv": "t"})
+    assert (landed.table, landed.rows, landed.columns, landed.broken) == ("raw.t", 12, 8, 2)
+    assert landed.types == {"id": "int", "code": "string", "wide": "bigint", "price": "double", "mixed": "double", "day": "string", "empty": "string", "round": "string"}
+    assert lake.read("raw", "t").filter("_broken_line IS NOT NULL").count() == 2
+    typed = csv_files.read_typed(lake, "raw", "t")
+    assert dict(typed.dtypes) == landed.types
+    assert sorted(r["code"] for r in typed.collect())[:2] == ["-1", "0001"] and typed.count() == 10
+    assert typed.agg(F.sum("wide")).first()[0] == sum(i * 10**11 for i in range(1, 9))
+
+
+def test_kinds_of_text(spark):
+    texts = ["0", "-0", "007", "+1", " 1", "12", "2147483648", "-2147483648", "9223372036854775808", "1.50", "01.5", ".5", "1e5", "1234567890123.456", "", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r["k"] for r in df.select(csv_files._kind(F.col("t")).alias("k")).collect()]
+    assert found == [0, 3, 3, 3, 3, 0, 1, 0, 3, 2, 3, 3, 3, 3, 3, 3, None]
+
+
+def test_landing_as_text_is_one_pass(spark, tmp_path):
+    """The plan is built from the header; no values are read before the write."""
+    (tmp_path / "t.csv").write_text("a,b\n" + "1,2\n" * 1000)
+    df = csv_files.read_csv_text(spark, str(tmp_path / "t.csv"))
+    assert df.dtypes == [("a", "string"), ("b", "string"), ("_broken_line", "string")]
+
+
+def test_union_of_many_folders_is_one_scan(spark, tmp_path):
+    lake, parent = Lake(spark, str(tmp_path)), tmp_path / "plain"
+    for i in range(40):
+        spark.range(i, i + 2).write.parquet(str(parent / f"day {i}+%41"))
+    paths = [str(parent / f"day {i}+%41") for i in range(40)]
+    union = discovery.union_folders(spark, paths)
+    plan = union._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    assert rows(union) == sorted(((f"day {i}+%41", j) for i in range(40) for j in (i, i + 1)), key=str)
+    assert len(discovery.union_folders(spark, paths[:2])._jdf.queryExecution().optimizedPlan().toString()) * 1.2 > len(
+        union._jdf.queryExecution().optimizedPlan().toString()
+    )
+    # versioned folders, one of them refreshed, one with a further column
+    for n in (9, 1):
+        lake.write(spark.range(n), "v", "a")
+    lake.write(spark.range(2).withColumn("x", F.lit("y")), "v", "b")
+    both = discovery.union_folders(spark, [lake.path("v", name) for name in "ab"])
+    assert rows(both) == sorted([("a", 0, None), ("b", 0, "y"), ("b", 1, "y")], key=str)
+    # unlike types need a branch each
+    lake.write(spark.range(1).select(F.col("id").cast("string")), "v", "c")
+    assert rows(discovery.union_folders(spark, [lake.path("v", name) for name in "ac"])) == [("a", "0"), ("c", "0")]
