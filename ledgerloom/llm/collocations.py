@@ -20,14 +20,17 @@ columns are not read. All arithmetic is exact.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
-from ledgerloom.llm.common import pieces, stored
+from ledgerloom.llm.common import stored
+from ledgerloom.llm.numbering import Numbers, Waiting, binary, hashes_of, lengths_of, split
 from ledgerloom.llm.sieve import Sieve, hash_of, sieve_of
 from ledgerloom.operators.skew import left_join_unique
 
@@ -35,106 +38,114 @@ NO_LANGUAGE = "und"
 LONGEST = 3
 LEAST_COUNT = 10
 RANKS = 2000
+# Portions of a language that are ranked before it is.
+PORTIONS = 16
 # A phrase goes if a longer one has at least this percentage of its count.
 COVERED = 50
 # One in so many places begins a chunk, and the most words between two cuts.
-TRIGGER = 16
+TRIGGER = 32
 MOST_WORDS = 512
 # Words that a chunk repeats from the next one.
 OVERLAP = LONGEST - 1
-# Chunks and words a task holds before it hands them on, and chunks it counts at a time.
+# Chunks and words a task holds before it hands them on, and bytes of a language it works on at a time.
 HELD_CHUNKS = 100_000
-HELD_WORDS = 300_000
-CHUNKS_AT_ONCE = 20_000
+HELD_WORDS = 500_000
+AT_ONCE = 8 << 20
+# Bytes of a word that its hash looks at, beside its length: a sieve lets words through that agree in these.
+HASHED_BYTES = 64
 
-_BREAK = b"\n"  # a piece's end among the words
-# A-Z in lower case; the ends of pieces become a byte that no UTF-8 text has.
+_BREAK = b"\xff"  # a piece's end among the words, a byte that no UTF-8 text has
+# A-Z in lower case, the ends of pieces as breaks.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _BYTES = bytes(255 if i in _ENDS else i + 32 if 65 <= i <= 90 else i for i in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words_of(text: str) -> list[bytes]:
-    """The words of a text in order, with a break after each piece."""
-    found = text.encode().translate(_BYTES).replace(b"\xff", b" \xff ").split()
-    return [_BREAK if w == b"\xff" else w for w in found]
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts (binary) in order, and the number of the text each is from.
 
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = hash_of(word)
-        return found
+    ``_BREAK`` follows each piece, and ``OVERLAP`` more of it every text.
+    """
+    after = (b" " + _BREAK) * OVERLAP
+    return split(binary([raw.translate(_BYTES).replace(_BREAK, b" " + _BREAK + b" ") + after for raw in texts.to_pylist()]))
 
 
-def cuts(hashes: np.ndarray, trigger: int = TRIGGER, most: int = MOST_WORDS) -> list[int]:
-    """Where chunks begin: at the first word, at triggers, and ``most`` words after a cut without one."""
+def cuts(hashes: np.ndarray, text: np.ndarray, trigger: int = TRIGGER, most: int = MOST_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Where chunks begin and end, the words after them not included: at the first word of a text, at triggers, and ``most`` words
+    after a cut without one. ``hashes`` and ``text`` are of all words, the breaks behind a text included; texts without words have no chunk."""
+    if not len(hashes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.append(True, text[1:] != text[:-1])
+    last = np.flatnonzero(np.append(first[1:], True)) + 1 - OVERLAP  # behind the last word of each text
     near = (hashes[:-1] * _MIX ^ hashes[1:]) * _MIX >> np.uint64(32)
-    found, at = [], 0
-    for place in [0, *(np.nonzero(near % np.uint64(trigger) == 0)[0]).tolist(), len(hashes)]:
-        found += range(at + most, place, most)
-        if place < len(hashes) and (place or not found):
-            found.append(place)
-        at = place
-    return found
+    begins = first | np.append(near % np.uint64(trigger) == 0, False)
+    for back in range(OVERLAP):
+        begins[last + back] = False
+    start = np.flatnonzero(begins)
+    ends = np.union1d(start, last)
+    stop = ends[np.searchsorted(ends, start, "right")]
+    parts = -(-(stop - start) // most)
+    place = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    start, stop = np.repeat(start, parts) + place * most, np.repeat(stop, parts)
+    return start, np.minimum(stop, start + most)
 
 
 def parse(df: DataFrame, text: str = "text", lang: str = "lang", trigger: int = TRIGGER) -> DataFrame:
     """The dictionary: (lang, chunk, copies). Words of a chunk are joined by blanks; its last ``OVERLAP`` words only follow it."""
 
+    def run(batches):
+        vocabulary, chunks, held, waiting = _Vocabulary(0, None), {}, 0, Waiting(AT_ONCE, 1)
+        for one, (texts,) in chain(chain.from_iterable(map(waiting.add, batches)), waiting.rest()):
+            found, document = words_of(texts)
+            numbers = vocabulary.numbered(found)
+            start, stop = cuts(vocabulary.hashes[numbers], document, trigger)
+            # all words joined by blanks; a chunk is a stretch of that
+            whole = pc.binary_join(pa.ListArray.from_arrays([0, len(found)], found), b" ")[0].as_py()
+            at = np.append(0, np.cumsum(lengths_of(found) + 1))
+            counted = chunks.setdefault(one, {})
+            before = len(counted)
+            for i, j in zip(at[start].tolist(), (at[stop + OVERLAP] - 1).tolist()):
+                chunk = whole[i:j]
+                counted[chunk] = counted.get(chunk, 0) + 1
+            held += len(counted) - before
+            if held > HELD_CHUNKS:
+                yield from handed_on(chunks)
+                held = 0
+            if len(vocabulary) > HELD_WORDS:
+                vocabulary = _Vocabulary(0, None)
+        yield from handed_on(chunks)
+
     def handed_on(chunks: dict[str, dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
         for one, counted in chunks.items():
-            arrays = [pa.array([one] * len(counted), pa.string()), pa.array(list(counted), pa.binary()), pa.array(list(counted.values()), pa.int64())]
+            arrays = [pa.array([one] * len(counted), pa.string()), binary(list(counted)), pa.array(list(counted.values()), pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["lang", "chunk", "copies"])
         chunks.clear()
 
-    def run(batches):
-        hashes = _Hashes()
-        chunks: dict[str, dict[bytes, int]] = {}
-        held = 0
-        for part in pieces(batches):
-            for one, body in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                words = words_of(body)
-                if not words:
-                    continue
-                starts = cuts(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), trigger)
-                stops = [*starts[1:], len(words)]
-                words += [_BREAK] * OVERLAP
-                counted = chunks.setdefault(one, {})
-                before = len(counted)
-                for start, stop in zip(starts, stops):
-                    chunk = b" ".join(words[start : stop + OVERLAP])
-                    counted[chunk] = counted.get(chunk, 0) + 1
-                held += len(counted) - before
-                if held > HELD_CHUNKS:
-                    yield from handed_on(chunks)
-                    held = 0
-                if len(hashes) > HELD_WORDS:
-                    hashes.clear()
-        yield from handed_on(chunks)
-
     chosen = df.select(
         F.coalesce(as_column(lang).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
-        F.coalesce(as_column(text).cast("string"), F.lit("")).alias("text"),
+        F.coalesce(as_column(text).cast("string"), F.lit("")).cast("binary").alias("text"),
     )
     parsed = chosen.mapInArrow(run, "lang string, chunk binary, copies long")
     return stored(parsed.groupBy("lang", "chunk").agg(F.sum("copies").alias("copies")), "dictionary")
 
 
-class _Vocabulary(dict):
+class _Vocabulary(Numbers):
     """Numbers of words, 0 for the break, and what the counting asks about each word."""
 
     def __init__(self, seed: int, frequent: Sieve | None):
-        super().__init__({_BREAK: 0})
-        self.words, self.hashes, self.known = [_BREAK], [0], [False]
+        super().__init__()
+        self.hashes, self.known = np.zeros(0, np.uint64), np.zeros(0, bool)
         self.seed, self.frequent = seed, frequent
+        self.numbered(binary([_BREAK]))
 
-    def __missing__(self, word: bytes) -> int:
-        hashed = hash_of(word, self.seed)
-        self.words.append(word)
-        self.hashes.append(hashed)
-        self.known.append(self.frequent is None or self.frequent.passes_one(hashed))
-        self[word] = number = len(self.words) - 1
-        return number
+    def numbered(self, words: pa.Array) -> np.ndarray:
+        numbers = self.of(words)
+        new = self.values[len(self.known) :]
+        if len(new):
+            hashes = hashes_of(new, self.seed, HASHED_BYTES)
+            known = np.ones(len(new), bool) if self.frequent is None else self.frequent.passes(hashes)
+            self.hashes, self.known = np.concatenate([self.hashes, hashes]), np.concatenate([self.known, known])
+        return numbers
 
 
 def _seed(lang: str) -> int:
@@ -146,40 +157,36 @@ def _pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed ^ mixed >> np.uint64(31)
 
 
-def _counted(vocabulary: _Vocabulary, chunks: list[bytes], copies: np.ndarray, n: int, pairs: Sieve | None) -> tuple[list[bytes], np.ndarray]:
+def _counted(vocabulary: _Vocabulary, chunks: pa.Array, copies: np.ndarray, n: int, pairs: Sieve | None) -> tuple[pa.Array, np.ndarray]:
     """The phrases of ``n`` words in some chunks of a language and their weighted counts."""
-    split = [c.split(b" ") for c in chunks]
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    ids = np.fromiter((vocabulary[w] for words in split for w in words), np.int64, int(sizes.sum()))
-    ends = np.cumsum(sizes)
-    weights = np.repeat(copies, sizes)
+    found, chunk = split(chunks)
+    ids = vocabulary.numbered(found)
+    weights = copies[chunk]
+    ends = np.flatnonzero(np.append(chunk[1:] != chunk[:-1], True)) + 1
     for back in range(1, OVERLAP + 1):
         weights[ends - back] = 0
-    known = np.array(vocabulary.known)[ids]
-    at = np.nonzero((weights > 0) & (ids > 0))[0]
+    known, is_word = vocabulary.known[ids], ids > 0
+    at = np.flatnonzero((weights > 0) & is_word)
     for step in range(n if n > 1 else 0):
-        at = at[known[at + step] & (ids[at + step] > 0)]
+        at = at[known[at + step] & is_word[at + step]]
     if n == LONGEST and pairs is not None:
-        hashed = np.array(vocabulary.hashes, np.uint64)[ids]
+        hashed = vocabulary.hashes[ids]
         for step in range(n - 1):
             at = at[pairs.passes(_pair_hash(hashed[at + step], hashed[at + step + 1]))]
     # equal phrases of up to three words: two numbers in one, the pair's number with the third
-    code, firsts = ids[at], None
+    code, heads = ids[at], None
     for step in range(1, n):
         if step > 1:
-            firsts, code = np.unique(code, return_inverse=True)
+            heads, code = np.unique(code, return_inverse=True)
         code = code << 32 | ids[at + step]
     different, where = np.unique(code, return_inverse=True)
     counts = np.bincount(where, weights[at], len(different)).astype(np.int64)
-    words = vocabulary.words
-    low = (1 << 32) - 1
-    if n == 1:
-        return [words[i] for i in different.tolist()], counts
-    if n == 2:
-        return [words[c >> 32] + b" " + words[c & low] for c in different.tolist()], counts
-    heads = firsts.tolist()
-    both = ((heads[c >> 32], c & low) for c in different.tolist())
-    return [words[h >> 32] + b" " + words[h & low] + b" " + words[w] for h, w in both], counts
+    last = different & ((1 << 32) - 1)
+    numbers = [last] if n == 1 else [different >> 32, last]
+    if n == LONGEST:
+        numbers = [heads[numbers[0]] >> 32, heads[numbers[0]] & ((1 << 32) - 1), last]
+    words = [vocabulary.values.take(pa.array(some)) for some in numbers]
+    return (words[0] if n == 1 else pc.binary_join_element_wise(*words, b" ")), counts
 
 
 def phrases(dictionary: DataFrame, n: int, least: int, words: Sieve | None = None, pairs: Sieve | None = None) -> DataFrame:
@@ -188,48 +195,40 @@ def phrases(dictionary: DataFrame, n: int, least: int, words: Sieve | None = Non
     ``words`` and ``pairs`` let all words and pairs through that occur ``least`` times.
     """
 
-    def found(rows: dict[str, tuple[list, list]], vocabularies: dict[str, _Vocabulary]) -> Iterator[pa.RecordBatch]:
-        for lang, (chunks, copies) in rows.items():
+    def run(batches):
+        vocabularies: dict[str, _Vocabulary] = {}
+        waiting = Waiting(AT_ONCE, 2)
+        for lang, (chunks, copies) in chain(chain.from_iterable(map(waiting.add, batches)), waiting.rest()):
             known = vocabularies.get(lang)
             if known is None or len(known) > HELD_WORDS:
                 known = vocabularies[lang] = _Vocabulary(_seed(lang), words)
-            names, counts = _counted(known, chunks, np.array(copies, np.int64), n, pairs)
+            names, counts = _counted(known, chunks, np.asarray(copies).astype(np.int64), n, pairs)
             if n == 1:
-                names, counts = [*names, b""], np.append(counts, counts.sum())
-            arrays = [pa.array([lang] * len(names), pa.string()), pa.array(names, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())]
+                names, counts = pa.concat_arrays([names, binary([b""])]), np.append(counts, counts.sum())
+            arrays = [pa.array([lang] * len(names), pa.string()), names.cast(pa.string()), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "f"])
-        rows.clear()
-
-    def run(batches):
-        rows: dict[str, tuple[list, list]] = {}
-        vocabularies: dict[str, _Vocabulary] = {}
-        held = 0
-        for batch in batches:
-            for lang, chunk, copies in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                chunks = rows.get(lang) or rows.setdefault(lang, ([], []))
-                chunks[0].append(chunk)
-                chunks[1].append(copies)
-                held += 1
-            if held >= CHUNKS_AT_ONCE:
-                yield from found(rows, vocabularies)
-                held = 0
-        yield from found(rows, vocabularies)
 
     counted = dictionary.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     return stored(counted.filter((F.col("f") >= least) | (F.col("phrase") == "")), f"phrases-{n}")
 
 
+def _by_word(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the phrases of (lang, phrase) rows, and the number of the row each is from."""
+    words, row = split(batch.column(1).cast(pa.binary()))
+    found, first = np.zeros(len(words), np.uint64), batch.column(0).dictionary_encode()
+    lang = np.asarray(first.indices)[row]
+    for number, name in enumerate(first.dictionary.to_pylist()):
+        found[lang == number] = hashes_of(words.filter(pa.array(lang == number)), _seed(name), HASHED_BYTES)
+    return found, row
+
+
 def _word_hashes(batch: pa.RecordBatch) -> np.ndarray:
-    rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-    return np.array([hash_of(phrase.encode(), _seed(lang)) for lang, phrase in rows], np.uint64)
+    return _by_word(batch)[0]
 
 
 def _phrase_hashes(batch: pa.RecordBatch) -> np.ndarray:
-    sides: tuple[list, list] = ([], [])
-    for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        for side, word in zip(sides, phrase.encode().split(b" ")):
-            side.append(hash_of(word, _seed(lang)))
-    return _pair_hash(*(np.array(side, np.uint64) for side in sides))
+    found, _ = _by_word(batch)
+    return _pair_hash(found[::2], found[1::2])
 
 
 def _key(phrase: Column) -> Column:
@@ -296,8 +295,12 @@ def mine(
     chosen = [F.when(second, F.col(f"{c}2")).otherwise(F.col(f"{c}1")).alias(name) for c, name in (("l", "l"), ("r", "r"), ("s", "score"))]
     scored = scored.select("lang", "phrase", "a", *chosen)
 
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= ranks)
+    # in two steps, so that the task of a language sees no more than the best of each portion, however many tasks there are
+    by = [F.desc("score"), F.desc("a"), "phrase"]
+    portion = F.pmod(F.xxhash64("phrase"), F.lit(PORTIONS)).alias("portion")
+    first = F.row_number().over(Window.partitionBy("lang", "portion").orderBy(*by))
+    best = scored.select("*", portion).withColumn("rank", first).filter(F.col("rank") <= ranks).drop("portion", "rank")
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by))).filter(F.col("rank") <= ranks)
     best = best.withColumn("rank", F.col("rank").cast("long"))
     sizes = one.filter("phrase = ''").select("lang", F.col("f").alias("n"))
     return best.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

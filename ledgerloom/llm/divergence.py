@@ -21,31 +21,36 @@ kept terms has the shares of terms that do not occur; an empty table gives an em
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
-from ledgerloom.llm.common import groups_of, in_groups, pieces, stored
+from ledgerloom.llm.common import groups_of, in_groups, stored
+from ledgerloom.llm.numbering import Numbers, Sums, Waiting, binary, distinct_pairs, hashes_of, lengths_of, split
 from ledgerloom.llm.sieve import Sieve, hash_of, sieve_of
 from ledgerloom.operators.skew import left_join_unique
 
 # Distinct documents of a language that a kept term occurs in.
 LEAST_DOCUMENTS = 30
 # Bytes of the first prefixes; every level doubles them.
-FIRST_LENGTH = 4
+FIRST_LENGTH = 8
 # With no more open prefixes, their terms are counted without further levels.
-FEW_OPEN = 100
+FEW_OPEN = 5_000
 # Shares are 1 + floor(SCALE * (count + SMOOTHING) / (N + SMOOTHING * V)).
 SCALE = 1_000_000_000
 SMOOTHING = 5
 TERM_RANKS = 50
-# Keys a task holds before it hands them on, and terms it remembers.
-HELD_KEYS = 200_000
+# Different terms a task remembers before it hands on what it has counted.
+HELD_TERMS = 500_000
+# Bytes of texts of a language that are worked on at a time.
+AT_ONCE = 4 << 20
+# Portions of a source that are ranked before it is.
+PORTIONS = 16
 # Sources of a block, and kept terms of a chunk.
 BLOCK = 256
 CHUNK = 4096
@@ -55,145 +60,188 @@ _BYTES = bytes(i if i > 127 or 97 <= i <= 122 else i + 32 if 65 <= i <= 90 else
 _END = b"\x00"  # no byte of a term
 
 
-def terms(text: str) -> list[bytes]:
-    """The terms of a text in order, as UTF-8."""
-    return text.encode().translate(_BYTES).split()
+def terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The terms of all texts (binary) in order, and the number of the text each is from."""
+    if not len(texts) or texts.buffers()[2] is None:
+        return binary(), np.zeros(0, np.int64)
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    raw = pa.py_buffer(texts.buffers()[2].to_pybytes()[offsets[0] : offsets[-1]].translate(_BYTES))
+    places = pa.py_buffer((offsets - offsets[0]).astype(np.int32).tobytes())
+    return split(pa.Array.from_buffers(pa.binary(), len(texts), [None, places, raw]))
 
 
-class _Keys(dict):
-    """What a term is counted under at a level: itself with an end mark, its prefix, or None if it is out.
-
-    ``passed`` are the prefix lengths of earlier levels. A term is out if an earlier level discarded its prefix, or has counted it whole.
-    """
+def _seed(lang: str) -> int:
+    return hash_of(lang.encode()) >> 1
 
-    def __init__(self, seed: int, length: int, passed: Sequence[int], sieve: Sieve | None):
-        self.seed, self.length, self.passed, self.sieve = seed, length, passed, sieve
 
-    def __missing__(self, term: bytes) -> bytes | None:
-        last = self.passed[-1] if self.passed else 0
-        if len(term) <= last or (last and not self.sieve.passes_one(hash_of(term[:last], self.seed))):
-            key = None
-        else:
-            key = term + _END if len(term) <= self.length else term[: self.length]
-        self[term] = key
-        return key
+def _inputs(df: DataFrame, text: str, lang: str, source: str) -> DataFrame:
+    columns = zip((lang, source, text), ("lang", "source", "text"))
+    return df.select(*[F.coalesce(as_column(c).cast("string"), F.lit("")).alias(name) for c, name in columns])
 
 
-class _Kept(_Keys):
-    """A term itself, or None if no level kept it whole and its last prefix is not open."""
+def _by_lang(docs: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``run`` takes an iterator of language, sources and texts (binary arrays) of some documents of one language."""
 
-    def __missing__(self, term: bytes) -> bytes | None:
-        key = term + _END if len(term) <= self.passed[-1] else term[: self.passed[-1]]
-        self[term] = found = term if self.sieve.passes_one(hash_of(key, self.seed)) else None
-        return found
+    def some(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array, pa.Array]]:
+        waiting = Waiting(AT_ONCE, 2)
+        for batch in batches:
+            for lang, columns in waiting.add(batch):
+                yield lang, *columns
+        for lang, columns in waiting.rest():
+            yield lang, *columns
 
+    chosen = docs.select("lang", F.col("source").cast("binary").alias("source"), F.col("text").cast("binary").alias("text"))
+    return chosen.mapInArrow(lambda batches: run(some(batches)), schema)
 
-def _seed(lang: str) -> int:
-    return hash_of(lang.encode()) >> 1
 
+class _Terms(Numbers):
+    """Terms of a language, and for each the number of the key it is counted under, -1 for none.
 
-def _inputs(df: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    columns = zip((lang, source, text), ("lang", "source", "text"))
-    return df.select(*[F.coalesce(as_column(c).cast("string"), F.lit("")).alias(name) for c, name in columns])
+    ``key_of`` says which of some terms have a key, and gives the keys of these.
+    """
 
+    def __init__(self, key_of: Callable[[pa.Array], tuple[np.ndarray, pa.Array]]):
+        super().__init__()
+        self.key_of, self.keys, self.key = key_of, Numbers(), np.zeros(0, np.int64)
 
-def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, str, str]]:
-    for part in pieces(batches):
-        yield from zip(*(part.column(i).to_pylist() for i in range(3)))
+    def keyed(self, found: pa.Array) -> np.ndarray:
+        """The number of the key of every term."""
+        numbers = self.of(found)
+        new = self.values[len(self.key) :]
+        if len(new):
+            has_key, keys = self.key_of(new)
+            added = np.full(len(new), -1, np.int64)
+            added[has_key] = self.keys.of(keys)
+            self.key = np.concatenate([self.key, added])
+        return self.key[numbers]
 
 
-def _level(docs: DataFrame, length: int, passed: Sequence[int], sieve: Sieve | None, least: int) -> DataFrame:
-    """(lang, key, documents) of the keys of one level that enough documents hold."""
+def _keys(found: pa.Array, length: int) -> pa.Array:
+    """The first ``length`` bytes of terms, with an end mark if that is all."""
+    ends = binary([b"", _END]).take(pa.array((lengths_of(found) <= length).astype(np.int32)))
+    return pc.binary_join_element_wise(pc.binary_slice(found, 0, length), ends, binary([b""])[0])
 
-    def handed_on(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-        for lang, counted in counts.items():
-            arrays = [pa.array([lang] * len(counted), pa.string()), pa.array(list(counted), pa.binary()), pa.array(list(counted.values()), pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "key", "documents"])
-        counts.clear()
 
-    def run(batches):
-        keys: dict[str, _Keys] = {}
-        counts: dict[str, Counter] = {}
-        held = 0
-        for lang, _, text in _rows(batches):
-            known = keys.get(lang) or keys.setdefault(lang, _Keys(_seed(lang), length, passed, sieve))
-            found = set(map(known.__getitem__, set(terms(text))))
-            found.discard(None)
-            if found:
-                counted = counts.setdefault(lang, Counter())
-                before = len(counted)
-                counted.update(found)
-                held += len(counted) - before
-            if held > HELD_KEYS:
-                yield from handed_on(counts)
-                held = 0
-            if len(known) > HELD_KEYS:
-                known.clear()
-        yield from handed_on(counts)
-
-    counted = docs.mapInArrow(run, "lang string, key binary, documents long")
+def _hashes(batch: pa.RecordBatch) -> np.ndarray:
+    """Hashes of (lang, key): those of a term that begins with the key, or is it."""
+    found, first = np.zeros(batch.num_rows, np.uint64), batch.column(0).dictionary_encode()
+    keys, sizes = batch.column(1), lengths_of(batch.column(1))
+    ends = np.asarray(pc.equal(pc.binary_slice(keys, -1), binary([_END])[0])).astype(bool)
+    for number, lang in enumerate(first.dictionary.to_pylist()):
+        some = np.asarray(first.indices) == number
+        for whole in (False, True):
+            mine = some & (ends == whole)
+            bare = pc.binary_slice(keys.filter(pa.array(mine)), 0, int(sizes[mine].max(initial=0)))
+            if whole:
+                bare = pc.binary_replace_slice(bare, -1, np.iinfo(np.int32).max, b"")
+            found[mine] = hashes_of(bare, _seed(lang), None, np.full(int(mine.sum()), not whole))
+    return found
+
+
+def _level(docs: DataFrame, length: int, last: int, sieve: Sieve | None, least: int) -> DataFrame:
+    """(lang, key, documents) of the keys of one level that enough documents hold; ``last`` is the length of the level before."""
+
+    def key_of(lang: str) -> Callable[[pa.Array], tuple[np.ndarray, pa.Array]]:
+        seed = _seed(lang)
+
+        def keys(found: pa.Array) -> tuple[np.ndarray, pa.Array]:
+            # terms that ended at an earlier level have been counted there
+            is_open = np.ones(len(found), bool) if sieve is None else (lengths_of(found) > last) & sieve.passes(hashes_of(found, seed, last))
+            return is_open, _keys(found.filter(pa.array(is_open)), length)
+
+        return keys
+
+    def run(rows):
+        states: dict[str, list] = {}
+        for lang, _, texts in rows:
+            state = states.get(lang) or states.setdefault(lang, [_Terms(key_of(lang)), np.zeros(0, np.int64)])
+            found, document = terms(texts)
+            key = state[0].keyed(found)
+            _, held = distinct_pairs(document[key >= 0], key[key >= 0])
+            more = np.bincount(held, minlength=len(state[0].keys))
+            more[: len(state[1])] += state[1]
+            state[1] = more
+            if sum(len(known) for known, _ in states.values()) > HELD_TERMS:
+                yield from handed_on(states)
+        yield from handed_on(states)
+
+    def handed_on(states) -> Iterator[pa.RecordBatch]:
+        for lang, (known, counts) in states.items():
+            langs = pa.array([lang] * len(known.keys), pa.string())
+            yield pa.RecordBatch.from_arrays([langs, known.keys.values, pa.array(counts, pa.int64())], names=["lang", "key", "documents"])
+        states.clear()
+
+    counted = _by_lang(docs, run, "lang string, key binary, documents long")
     counted = counted.groupBy("lang", "key").agg(F.sum("documents").alias("documents"))
     return stored(counted.filter(F.col("documents") >= least), "prefixes")
 
 
-def _hashes(batch: pa.RecordBatch) -> np.ndarray:
-    rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-    return np.array([hash_of(key, _seed(lang)) for lang, key in rows], np.uint64)
-
-
-def refined(docs: DataFrame, least: int = LEAST_DOCUMENTS, first_length: int = FIRST_LENGTH, few_open: int = FEW_OPEN):
-    """The lengths of all levels and the sieve of the complete terms and of the prefixes that are still open."""
-    passed: list[int] = []
-    complete, sieve, length = None, None, first_length
+def refined(
+    docs: DataFrame, least: int = LEAST_DOCUMENTS, first_length: int = FIRST_LENGTH, few_open: int = FEW_OPEN
+) -> tuple[DataFrame, DataFrame, int]:
+    """(lang, key) of the kept terms that are complete, of the prefixes that are still open, and the length of these."""
+    sieve, length, last, complete = None, first_length, 0, None
     while True:
-        level = _level(docs, length, passed, sieve, least)
-        passed.append(length)
+        level = _level(docs, length, last, sieve, least).select("lang", "key")
         ends = F.substring("key", -1, 1) == F.lit(_END)
         found, opened = level.filter(ends), level.filter(~ends)
         complete = found if complete is None else complete.unionByName(found)
         if opened.count() <= few_open:
-            return passed, sieve_of(complete.unionByName(opened).select("lang", "key"), _hashes)
-        sieve, length = sieve_of(opened.select("lang", "key"), _hashes), 2 * length
+            return complete, opened, length
+        sieve, length, last = sieve_of(opened, _hashes), 2 * length, length
 
 
-def kept_counts(docs: DataFrame, least: int = LEAST_DOCUMENTS, first_length: int = FIRST_LENGTH, few_open: int = FEW_OPEN) -> DataFrame:
+def kept_counts(
+    docs: DataFrame, least: int = LEAST_DOCUMENTS, first_length: int = FIRST_LENGTH, few_open: int = FEW_OPEN
+) -> DataFrame:
     """(lang, source, term, n): the occurrences of kept terms; ``docs`` has lang, source and text without NULLs."""
-    passed, sieve = refined(docs, least, first_length, few_open)
-
-    def handed_on(counts: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
-        for (lang, source), (occurrences, documents) in counts.items():
-            found = list(occurrences)
-            arrays = [pa.array([lang] * len(found), pa.string()), pa.array([source] * len(found), pa.string()), pa.array(found, pa.binary()).cast(pa.string())]
-            arrays += [pa.array([c[t] for t in found], pa.int64()) for c in (occurrences, documents)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "n", "documents"])
-        counts.clear()
-
-    def run(batches):
-        keys: dict[str, _Kept] = {}
-        counts: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-        held = 0
-        for lang, source, text in _rows(batches):
-            known = keys.get(lang) or keys.setdefault(lang, _Kept(_seed(lang), 0, passed, sieve))
-            occurring = Counter(terms(text))
-            found = {t: n for t, n in occurring.items() if known[t] is not None}
-            if found:
-                occurrences, documents = counts.setdefault((lang, source), (Counter(), Counter()))
-                before = len(documents)
-                occurrences.update(found)
-                documents.update(found.keys())
-                held += len(documents) - before
-            if held > HELD_KEYS:
-                yield from handed_on(counts)
-                held = 0
-            if len(known) > HELD_KEYS:
-                known.clear()
-        yield from handed_on(counts)
-
-    counted = docs.mapInArrow(run, "lang string, source string, term string, n long, documents long")
+    complete, opened, last = refined(docs, least, first_length, few_open)
+    sieve = sieve_of(complete.unionByName(opened), _hashes)
+
+    def key_of(lang: str) -> Callable[[pa.Array], tuple[np.ndarray, pa.Array]]:
+        seed = _seed(lang)
+
+        def keys(found: pa.Array) -> tuple[np.ndarray, pa.Array]:
+            passes = sieve.passes(hashes_of(found, seed, last))
+            return passes, found.filter(pa.array(passes))
+
+        return keys
+
+    def run(rows):
+        states: dict[str, tuple[_Terms, Numbers, Sums, Sums]] = {}
+        for lang, sources, texts in rows:
+            known, named, occurrences, documents = states.get(lang) or states.setdefault(lang, (_Terms(key_of(lang)), Numbers(), Sums(), Sums()))
+            found, document = terms(texts)
+            key = known.keyed(found)
+            source = named.of(sources)
+            some = key >= 0
+            occurrences.add(source[document[some]], key[some])
+            # complete terms are known to be kept; of the others the documents decide
+            some[some] = (lengths_of(known.keys.values) > last)[key[some]]
+            held_by, held = distinct_pairs(document[some], key[some])
+            documents.add(source[held_by], held)
+            if sum(len(k) + o.held + d.held for k, _, o, d in states.values()) > 2 * HELD_TERMS:
+                yield from handed_on(states)
+        yield from handed_on(states)
+
+    def handed_on(states) -> Iterator[pa.RecordBatch]:
+        for lang, (known, named, *sums) in states.items():
+            names, words = (v.values.cast(pa.string()) for v in (named, known.keys))
+            for place, one in enumerate(sums):
+                source, key, counts = one.together()
+                none = np.zeros(len(counts), np.int64)
+                arrays = [pa.array([lang] * len(counts), pa.string()), names.take(pa.array(source)), words.take(pa.array(key))]
+                arrays += [pa.array(counts if i == place else none, pa.int64()) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "n", "documents"])
+        states.clear()
+
+    counted = _by_lang(docs, run, "lang string, source string, term string, n long, documents long")
     counted = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
     counted = stored(counted, "terms")
-    kept = counted.groupBy("lang", "term").agg(F.sum("documents").alias("documents")).filter(F.col("documents") >= least)
-    return stored(counted.join(kept.select("lang", "term"), ["lang", "term"]).select("lang", "source", "term", "n"), "kept")
+    whole = complete.select("lang", F.expr("CAST(substr(key, 1, length(key) - 1) AS STRING)").alias("term"))
+    longer = counted.filter(F.octet_length("term") > last).groupBy("lang", "term").agg(F.sum("documents").alias("documents"))
+    kept = whole.unionByName(longer.filter(F.col("documents") >= least).select("lang", "term"))
+    return stored(counted.join(kept, ["lang", "term"]).select("lang", "source", "term", "n"), "kept")
 
 
 def share(count: str, total: str, kept: str) -> Column:
@@ -303,6 +351,10 @@ def audit(
     above = above.filter(F.col("p") > F.col("q"))
     above = above.select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"), F.lit("term").alias("part"))
 
+    # terms in two steps: a source may use most terms of a language
+    portion = F.pmod(F.xxhash64("item"), F.lit(PORTIONS)).alias("portion")
+    first = F.row_number().over(Window.partitionBy("lang", "source", "portion").orderBy(F.desc("value"), "item"))
+    above = above.select("*", portion).withColumn("rank", first).filter(F.col("rank") <= term_ranks).drop("portion", "rank")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = [part.withColumn("rank", F.row_number().over(order)) for part in (pairs, above)]
     ranked[1] = ranked[1].filter(F.col("rank") <= term_ranks)

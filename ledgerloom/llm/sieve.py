@@ -14,7 +14,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bits per member, and the most bits a sieve has (8 MB).
+# Bits that a member sets, bits of a sieve per member (one in 200 others passes), and the most bits a sieve has (8 MB).
+PROBES = 3
 BITS_PER_MEMBER = 16
 MOST_BITS = 1 << 26
 LEAST_BITS = 1 << 16
@@ -24,19 +25,23 @@ def hash_of(value: bytes, seed: int = 0) -> int:
     return xxhash.xxh64_intdigest(value, seed)
 
 
+def _places(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The bits of each hash."""
+    step = hashes >> np.uint64(32) | np.uint64(1)
+    return [(hashes + np.uint64(i) * step) & np.uint64(bits - 1) for i in range(PROBES)]
+
+
 class Sieve:
-    """Bits at the lowest bits of 64-bit hashes."""
+    """A hash passes if all of its bits are set."""
 
     def __init__(self, words: np.ndarray):
-        self.words, self.mask = words, np.uint64(64 * len(words) - 1)
+        self.words = words
 
     def passes(self, hashes: np.ndarray) -> np.ndarray:
-        place = hashes & self.mask
-        return self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1) == 1
-
-    def passes_one(self, hashed: int) -> bool:
-        place = hashed & int(self.mask)
-        return bool(int(self.words[place >> 6]) >> (place & 63) & 1)
+        found = np.ones(len(hashes), bool)
+        for place in _places(hashes, 64 * len(self.words)):
+            found &= self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1) == 1
+        return found
 
 
 def sieve_of(members: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], most_bits: int = MOST_BITS) -> Sieve:
@@ -50,7 +55,7 @@ def sieve_of(members: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray],
 
     def run(batches):
         for batch in batches:
-            place = hashes(batch) & np.uint64(bits - 1)
+            place = np.concatenate(_places(hashes(batch), bits))
             word, bit = (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63))
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit.view(np.int64))], names=["word", "bit"])
 

@@ -52,7 +52,7 @@ def test_query(spark, duck):
 def test_against_definition(spark, monkeypatch, trigger, most):
     """Every parse gives the same counts, however long its chunks are."""
     monkeypatch.setattr(collocations, "MOST_WORDS", most)
-    monkeypatch.setattr(collocations, "CHUNKS_AT_ONCE", 40)
+    monkeypatch.setattr(collocations, "AT_ONCE", 2000)
     draw = np.random.default_rng(trigger)
     words = "New York Times new york of the, the a. b É\té \x1fodd c! d;e".split(" ")
     rows = [(["en", "de", None, "a\nb"][i % 4], [" ".join(draw.choice(words, i % 40)), None][i % 29 == 0]) for i in range(300)]
@@ -67,15 +67,19 @@ def test_copies_are_one_entry(spark):
     passage = " ".join(f"w{i}" for i in draw.integers(0, 10**6, 2000))
     rows = [("en", f"{i} {i * i} {passage} {i + 7}") for i in range(50)]
     found = collocations.parse(spark.createDataFrame(rows, "lang string, text string")).collect()
-    assert sum(r["copies"] for r in found if r["copies"] == 50) > 100 * 50
+    assert sum(r["copies"] for r in found if r["copies"] == 50) > 40 * 50
     assert len([r for r in found if r["copies"] < 50]) < 4 * 50
 
 
 def test_cuts():
-    hashes = np.zeros(10, np.uint64)  # all places are triggers, or none
-    assert collocations.cuts(hashes, 1) == list(range(9)) and collocations.cuts(hashes[:1], 1) == [0]
-    odd = np.arange(1, 11, dtype=np.uint64)
-    assert collocations.cuts(odd, 1 << 40, 4) == [0, 4, 8] and collocations.cuts(odd, 1 << 40, 5) == [0, 5]
+    def cut(hashes, text, *options):
+        return [c.tolist() for c in collocations.cuts(np.array(hashes, np.uint64), np.array(text), *options)]
+
+    # two breaks end each text; all places are triggers, or none
+    assert cut([0] * 7, [0, 0, 0, 0, 0, 1, 1], 1) == [[0, 1, 2], [1, 2, 3]]
+    assert cut(range(1, 13), [0] * 12, 1 << 40, 4) == [[0, 4, 8], [4, 8, 10]]
+    assert cut(range(1, 13), [0] * 5 + [2] * 7, 1 << 40, 100) == [[0, 5], [3, 10]]
+    assert cut([], []) == [[], []]
 
 
 def test_scores_of_large_counts(spark):

@@ -63,7 +63,8 @@ def test_against_definition(spark, monkeypatch, first_length, few_open, block, c
 
 
 def test_tables_handed_on_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(divergence, "HELD_KEYS", 3)
+    monkeypatch.setattr(divergence, "HELD_TERMS", 3)
+    monkeypatch.setattr(divergence, "AT_ONCE", 100)
     rows = [("en", f"s{i % 3}", f"one two three four w{i % 4} w{i % 7}") for i in range(60)]
     found = divergence.audit(spark.createDataFrame(rows, "lang string, source string, text string"), least=5, few_open=0)
     assert sorted(map(tuple, found.collect())) == plain(rows, 5)
