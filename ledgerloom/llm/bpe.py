@@ -26,7 +26,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from ledgerloom.llm.common import add_to_rows, map_rows
-from ledgerloom.llm.vocabulary import WordCache
+from ledgerloom.llm.vocabulary import TEXTS_AT_ONCE, WordCache
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 # Bytes stand in the pieces as characters from here on; no white space or control among them.
@@ -126,7 +126,7 @@ def encode(
     pattern: str = public_tokenizers.PATTERN,
 ) -> DataFrame:
     """``keep`` and ``ids`` (array of int), the ranks of the tokens of every whole text."""
-    return add_to_rows(df, text, keep, "ids array<int>", lambda texts: [codec(path, pattern).encode(texts)])
+    return add_to_rows(df, text, keep, "ids array<int>", lambda texts: [codec(path, pattern).encode(texts)], TEXTS_AT_ONCE)
 
 
 def decode(df: DataFrame, ids: str = "ids", keep: Sequence[str] = ("doc_id",), path: str = RANKS) -> DataFrame:

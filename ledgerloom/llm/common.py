@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from ledgerloom.functions.columns import as_column
-from ledgerloom.operators.skew import left_join_unique
+from ledgerloom.operators.skew import HOT_KEY_ROWS, left_join_unique
 from ledgerloom.session import scratch_folder
 
 # Rows a Python task works on at a time; the rest of an Arrow batch waits in Arrow's form.
@@ -52,6 +52,7 @@ def map_rows(
     keep: Sequence[str],
     fields: str,
     compute: Callable[[pa.RecordBatch], Sequence[Sequence]],
+    rows: int = ROWS_AT_ONCE,
 ) -> DataFrame:
     """Columns ``keep`` and those that ``compute`` derives from the ``inputs`` of some rows.
 
@@ -67,7 +68,7 @@ def map_rows(
     types, names, first = [to_arrow_type(f.dataType) for f in added], schema.names, len(kept)
 
     def run(batches):
-        for part in pieces(batches):
+        for part in pieces(batches, rows):
             arrays = [pa.array(v, t) for v, t in zip(compute(part), types)]
             yield pa.RecordBatch.from_arrays([*part.columns[:first], *arrays], names=names)
 
@@ -80,9 +81,10 @@ def add_to_rows(
     keep: Sequence[str],
     fields: str,
     compute: Callable[[list[str]], Sequence[Sequence]],
+    rows: int = ROWS_AT_ONCE,
 ) -> DataFrame:
     """``map_rows`` over the texts alone: ``compute`` takes a list of them."""
-    return map_rows(df, [text], keep, fields, lambda part: compute(texts_of(part.column("_0"))))
+    return map_rows(df, [text], keep, fields, lambda part: compute(texts_of(part.column("_0"))), rows)
 
 
 def keep_rows(df: DataFrame, text: str, decide: Callable[[list[str]], Sequence[bool]]) -> DataFrame:
@@ -151,23 +153,30 @@ def groups_of(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table
         yield pa.Table.from_batches(open_parts)
 
 
+def _with_least(rows: DataFrame) -> DataFrame:
+    """``rows`` (a, b) with ``m``, the smallest b of each a.
+
+    The smallest are found within each task first and stored; rows of a node that has very many are dealt out to meet them.
+    """
+    least = stored(rows.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "least")
+    if least.filter(F.col("n") > HOT_KEY_ROWS).isEmpty():
+        return rows.join(least.select("a", "m"), "a")
+    return left_join_unique(rows, [least.select("a", "m")], "a")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over ``edges`` (a, b); only nodes with edges.
 
     Alternates large-star and small-star steps, which need a number of rounds
-    logarithmic in the number of nodes. Each round is a table in the shared scratch folder. A node with
-    very many neighbours is reduced to its minimum within each task first, and its rows are dealt
-    out to meet that minimum again.
+    logarithmic in the number of nodes. Every step is a table in the shared scratch folder, so that plans stay small.
     """
     a, b = F.col("a"), F.col("b")
     now = stored(edges.filter(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "edges")
     mark = None
     while True:
         both = now.unionByName(now.select(b.alias("a"), a.alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        large = left_join_unique(both, [least], "a").filter(b > a).select(b.alias("a"), F.least(a, F.col("m")).alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = left_join_unique(large, [least], "a")
+        large = _with_least(both).filter(b > a).select(b.alias("a"), F.least(a, F.col("m")).alias("b")).distinct()
+        small = _with_least(stored(large, "edges"))
         small = small.select(a, F.col("m").alias("b")).unionByName(small.filter(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b")))
         now = stored(small.distinct(), "edges")
         seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()

@@ -32,7 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerloom.functions.columns import as_column
 from ledgerloom.llm.common import pieces, texts_of
-from ledgerloom.llm.vocabulary import BYTE_BPE, encoded
+from ledgerloom.llm.vocabulary import BYTE_BPE, REMEMBERED_WORDS, TEXTS_AT_ONCE, encoded
 
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
@@ -123,11 +123,12 @@ def pack(
     tiers: Sequence[int] = TIERS,
     step_tokens: int = STEP_TOKENS,
     with_ids: bool = False,
+    words: int = REMEMBERED_WORDS,
 ) -> DataFrame:
     """One row per piece: where it lies in its document, in which sequence and where there.
 
     ``tier`` is the length of the sequence, ``step_id`` its step group. ``with_ids`` adds
-    ``ids``, the piece's ids as little-endian unsigned 32-bit integers.
+    ``ids``, the piece's ids as little-endian unsigned 32-bit integers. ``words`` bounds the memory of words.
     """
     tiers = tuple(tiers)
     if any(t & (t - 1) or t < 1 for t in tiers):
@@ -174,8 +175,8 @@ def pack(
                 del ids[done], keys[done]
             return out
 
-        for part in pieces(batches):
-            for one, raw in zip(part.column(0).to_pylist(), encoded(texts_of(part.column(1)), path)):
+        for part in pieces(batches, TEXTS_AT_ONCE):
+            for one, raw in zip(part.column(0).to_pylist(), encoded(texts_of(part.column(1)), path, words)):
                 keys[document], ids[document] = one, raw + end
                 waiting.append((document, len(raw) // 4 + 1))
                 tokens += len(raw) // 4 + 1

@@ -24,7 +24,7 @@ import struct
 import uuid
 import zlib
 from bisect import bisect_left
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +37,18 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from ledgerloom.functions.columns import as_column
 from ledgerloom.llm.common import pieces, stored, texts_of
-from ledgerloom.llm.vocabulary import BYTE_BPE, encoded
+from ledgerloom.llm.vocabulary import BYTE_BPE, TEXTS_AT_ONCE, encoded
 
 END_ID = 2
 # Bits per key and level of the hash: more bits, fewer levels.
 BITS_PER_KEY = 2
+# Ids of a shard: the task begins another one there. Its keys and lengths are held in memory until then.
+SHARD_IDS = 1 << 27
+# Bytes of a payload that are read together.
+READ_BYTES = 8 << 20
 _MAGIC = b"MPHIDX01"
 
-MANIFEST = "payload string, index string, documents long, ids long"
+MANIFEST = "payload string, index string, documents long, ids long, roll int"
 
 
 def _hashes(keys: Sequence) -> tuple[np.ndarray, np.ndarray]:
@@ -145,9 +149,26 @@ class Shard:
         return [range(i, i + k) for i, k in zip(start.tolist(), n.tolist())]
 
     def ids(self, record: int) -> np.ndarray:
-        start, stop = self.offsets[record : record + 2].tolist()
-        raw = self.file.read_at((stop - start) * self.id_bytes, start * self.id_bytes)
-        return np.frombuffer(raw, f"<u{self.id_bytes}").astype("<u4")
+        return next(self.several([record]))
+
+    def several(self, records: Sequence[int]) -> Iterator[np.ndarray]:
+        """The ids of some records; those that lie side by side are read in one piece, up to ``READ_BYTES``."""
+        at = 0
+        while at < len(records):
+            first, stop = records[at], at + 1
+            begin = int(self.offsets[first])
+            while (
+                stop < len(records)
+                and records[stop] == first + stop - at
+                and (self.offsets[records[stop] + 1] - begin) * self.id_bytes <= READ_BYTES
+            ):
+                stop += 1
+            bounds = self.offsets[first : first + stop - at + 1] - begin
+            raw = self.file.read_at(int(bounds[-1]) * self.id_bytes, begin * self.id_bytes)
+            found = np.frombuffer(raw, f"<u{self.id_bytes}").astype("<u4")
+            for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                yield found[i:j]
+            at = stop
 
 
 class Store:
@@ -179,11 +200,12 @@ def write(
     end_id: int = END_ID,
     id_bytes: int = 2,
     shards: int | None = None,
+    shard_ids: int = SHARD_IDS,
 ) -> DataFrame:
     """Encode, write shards below ``folder`` in ascending order of ``key``, return the manifest.
 
-    ``folder`` is a place that all executors reach through pyarrow's file systems. One shard
-    per shuffle partition unless ``shards`` says otherwise. ``id_bytes`` is 2 for
+    ``folder`` is a place that all executors reach through pyarrow's file systems. There are as many ranges of keys as shuffle
+    partitions unless ``shards`` says otherwise, and a shard for every ``shard_ids`` ids of a range, or a little more. ``id_bytes`` is 2 for
     vocabularies up to 65,536 ids and 4 beyond. The manifest has a row per shard: ``shard``,
     ``first_key``, ``last_key``, the file names, numbers of ``documents`` and ``ids`` and
     ``start``, the ids of all shards before it.
@@ -199,37 +221,45 @@ def write(
     def run(batches):
         system, root = pyarrow.fs.FileSystem.from_uri(folder)
         system.create_dir(root, recursive=True)
-        name = f"shard-{uuid.uuid4().hex}"
-        keys, lengths, file = [], [], None
-        for part in pieces(batches):
-            if file is None:
-                file = system.open_output_stream(f"{root}/{name}.ids")
-            keys.append(part.column(0))
-            for raw in encoded(texts_of(part.column(1)), path):
+        rolls = 0
+
+        def closed(name: str, file, keys: list, lengths: list) -> pa.RecordBatch:
+            file.close()
+            listed = pa.array(keys, arrow.field(0).type)
+            offsets = np.concatenate([[0], np.cumsum(lengths)])
+            with system.open_output_stream(f"{root}/{name}.idx") as out:
+                out.write(index_bytes(listed, offsets, id_bytes))
+            row = [keys[0], keys[-1], f"{folder}/{name}.ids", f"{folder}/{name}.idx", len(keys), int(offsets[-1]), rolls]
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow)], schema=arrow)
+
+        name, file, keys, lengths, written = "", None, [], [], 0
+        for part in pieces(batches, TEXTS_AT_ONCE):
+            for one, raw in zip(part.column(0).to_pylist(), encoded(texts_of(part.column(1)), path)):
+                if file is None:
+                    name, keys, lengths, written = f"shard-{uuid.uuid4().hex}", [], [], 0
+                    file = system.open_output_stream(f"{root}/{name}.ids")
                 ids = np.append(np.frombuffer(raw, "<u4"), end_id)
                 if ids.max() >= most:
                     raise ValueError(f"id {ids.max()} does not fit in {id_bytes} bytes")
                 file.write(ids.astype(f"<u{id_bytes}").tobytes())
+                keys.append(one)
                 lengths.append(len(ids))
-        if file is None:
-            return
-        file.close()
-        listed = pa.concat_arrays(keys)
-        offsets = np.concatenate([[0], np.cumsum(lengths)])
-        with system.open_output_stream(f"{root}/{name}.idx") as out:
-            out.write(index_bytes(listed, offsets, id_bytes))
-        ends = [listed[0].as_py(), listed[-1].as_py()]
-        row = [*ends, f"{folder}/{name}.ids", f"{folder}/{name}.idx", len(listed), int(offsets[-1])]
-        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow)], schema=arrow)
+                written += len(ids)
+                if written >= shard_ids:
+                    yield closed(name, file, keys, lengths)
+                    file, rolls = None, rolls + 1
+        if file is not None:
+            yield closed(name, file, keys, lengths)
 
     chosen = df.select(as_column(key).alias("_key"), as_column(text).cast("string").alias("_text"))
     # rows of one key may fill several shards; rows alike in all are told apart by their place
     order = ["_key", "_hash", "_row"]
     chosen = chosen.select("*", F.xxhash64("_text").alias("_hash"), F.monotonically_increasing_id().alias("_row"))
     in_order = chosen.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    written = in_order.mapInArrow(run, schema).withColumn("shard", F.spark_partition_id())
-    manifest = stored(written, "manifest")
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
+    written = in_order.mapInArrow(run, schema).withColumn("part", F.spark_partition_id())
+    in_turn = Window.orderBy("part", "roll")  # a row per shard
+    manifest = stored(written, "manifest").withColumn("shard", F.row_number().over(in_turn) - 1).drop("part", "roll")
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0).cast("long")))
 
 
@@ -253,7 +283,7 @@ def read(manifest: DataFrame, key: str = "doc_id") -> DataFrame:
                 columns = [
                     [k for k, _ in rows],
                     [start + int(shard.offsets[r]) for _, r in rows],
-                    [shard.ids(r).tobytes() for _, r in rows],
+                    [ids.tobytes() for ids in shard.several([r for _, r in rows])],
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 

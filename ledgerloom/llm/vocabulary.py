@@ -10,32 +10,53 @@ space, or at an end, are encoded whole.
 from __future__ import annotations
 
 import os
-from collections import deque
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-# Words remembered by one Python process; bounds its memory, not its results.
-REMEMBERED_WORDS = 250_000
+# Words of a generation; a Python process remembers two. Bounds its memory, not its results.
+REMEMBERED_WORDS = 400_000
+# Texts looked up together, if an Arrow batch has so many: a word that several of them have is looked up once.
+TEXTS_AT_ONCE = 4096
 
 
-class WordCache(dict):
-    """The ids of words, each with a space in front, as little-endian 32-bit integers.
+class Remembered(dict):
+    """Ids of words. Once ``most`` are known, they become the older generation, from which words that occur again return, and
+    the one before is forgotten: frequent words stay."""
 
-    ``encode`` gives the ids of a text, ``lengths`` the bytes each id stands for. Words
-    beyond ``most`` are encoded whenever they occur, and so are words that begin or end with
-    white space (or are empty): the split next to those depends on their neighbours.
+    def __init__(self) -> None:
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes | None:
+        known = self.older.get(word)
+        if known is not None:
+            self[word] = known
+        return known
+
+    def age(self, most: int) -> None:
+        if len(self) > most:
+            self.older = dict(self)
+            self.clear()
+
+
+class WordCache:
+    """The ids of texts, each word (with the space in front of it) encoded once, as little-endian 32-bit integers.
+
+    ``encode`` gives the ids of a text, ``lengths`` the bytes each id stands for. Words that begin or end with
+    white space (or are empty) are not remembered, and their texts are encoded whole: the split next to those depends on their neighbours.
     """
 
     def __init__(self, encode: Callable[[str], np.ndarray], lengths: np.ndarray, most: int = REMEMBERED_WORDS):
         self.encode, self.lengths, self.most = encode, lengths, most
-        self.new: dict[str, bytes] = {}
+        self.inner, self.first = Remembered(), Remembered()
 
-    def __missing__(self, word: str) -> bytes:
-        return self.new.setdefault(word, b"")
+    def __len__(self) -> int:
+        return len(self.inner) + len(self.first)
 
     def _encode_words(self, words: list[str], space: str) -> dict[str, bytes]:
         """All words in one call: joined by white space they are still split where they meet."""
@@ -49,23 +70,45 @@ class WordCache(dict):
         start = [0] + (last[:-1] if space else [n + 1 for n in last[:-1]])
         return dict(zip(words, [raw[4 * i : 4 * j] for i, j in zip(start, last)]))
 
-    def values_of(self, texts: list[str]) -> list[bytes]:
+    def _known(self, words: list[str], space: str) -> list[bytes | None]:
+        """The ids of different words; None where the split depends on their neighbours."""
+        remembered = self.inner if space else self.first
+        found = list(map(remembered.__getitem__, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        safe = [i for i in missing if (w := words[i]) and not w[0].isspace() and not w[-1].isspace()]
+        new = self._encode_words([words[i] for i in safe], space)
+        remembered.update(new)
+        for i in safe:
+            found[i] = new[words[i]]
+        remembered.age(self.most)
+        return found
+
+    def values_of(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of every text."""
-        split, get, self.new = [t.split(" ") for t in texts], self.__getitem__, {}
-        for words in split:
-            deque(map(get, words), 0)
-        unsafe = {w for w in self.new if not w or w[0].isspace() or w[-1].isspace()}
-        whole = {i for i, words in enumerate(split) if not unsafe.isdisjoint(words)} if unsafe else ()
-        self.new = self._encode_words([w for w in self.new if w not in unsafe], " ")
-        starts = {words[0] for i, words in enumerate(split) if i not in whole}
-        first = self._encode_words(list(starts), "")
-        out = [
-            self.encode(text).astype("<u4").tobytes() if i in whole else first[words[0]] + b"".join(map(get, words[1:]))
-            for i, (text, words) in enumerate(zip(texts, split))
+        if not len(texts):
+            return []
+        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        sizes = np.asarray(lists.value_lengths()).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        encoded = lists.flatten().dictionary_encode()
+        words, place = encoded.dictionary.to_pylist(), np.asarray(encoded.indices).astype(np.int64)
+        # the first word of a text has no space in front
+        leading, own = np.unique(place[starts], return_inverse=True)
+        ids = self._known(words, " ") + self._known([words[i] for i in leading.tolist()], "")
+        place[starts] = len(words) + own
+        unsafe = np.array([i is None for i in ids], bool)
+        whole = np.logical_or.reduceat(unsafe[place], starts)
+        flat = np.frombuffer(b"".join(i or b"" for i in ids), "<u4")
+        counts = np.fromiter((len(i or b"") // 4 for i in ids), np.int64, len(ids))
+        begins = np.cumsum(counts) - counts
+        n = counts[place]
+        before = np.cumsum(n) - n
+        gathered = flat[np.repeat(begins[place] - before, n) + np.arange(int(n.sum()))]
+        ends = np.append(before[starts][1:], len(gathered)).tolist()
+        return [
+            self.encode(text).astype("<u4").tobytes() if by_itself else gathered[i:j].tobytes()
+            for text, by_itself, i, j in zip(texts, whole.tolist(), before[starts].tolist(), ends)
         ]
-        if len(self) < self.most:
-            self.update(self.new)
-        return out
 
 
 @lru_cache(4)
@@ -86,6 +129,8 @@ def _byte_bpe(path: str) -> WordCache:
     return WordCache(encode, lengths)
 
 
-def encoded(texts: list[str], path: str = BYTE_BPE) -> list[bytes]:
-    """The ids of every text as little-endian unsigned 32-bit integers."""
-    return _byte_bpe(path).values_of(texts)
+def encoded(texts: list[str], path: str = BYTE_BPE, words: int = REMEMBERED_WORDS) -> list[bytes]:
+    """The ids of every text as little-endian unsigned 32-bit integers; ``words`` of a generation are remembered."""
+    cache = _byte_bpe(path)
+    cache.most = words
+    return cache.values_of(texts)

@@ -60,3 +60,24 @@ def test_ids_that_do_not_fit(spark, tmp_path):
 
     with pytest.raises(PySparkException, match="does not fit"):
         token_files.write(brute.hard_rows(spark), str(tmp_path), shards=1, id_bytes=1).count()
+
+
+def test_ranges_roll_over_to_further_shards(spark, tmp_path):
+    df = spark.range(300).selectExpr("id % 290 AS doc_id", "concat('text ', id, ' of ', id % 7) AS text")
+    whole = token_files.write(df, str(tmp_path / "one"), shards=2)
+    rolled = token_files.write(df, str(tmp_path / "many"), shards=2, shard_ids=100)
+    assert whole.count() == 2 and rolled.count() > 10
+    rows = [sorted((r["doc_id"], r["start"], bytes(r["ids"])) for r in token_files.read(m).collect()) for m in (whole, rolled)]
+    assert rows[0] == rows[1] and len(rows[0]) == 300
+    assert [len(token_files.Store(rolled).get(k)) for k in (0, 9, 10, 289, 300)] == [2, 2, 1, 1, 0]
+
+
+def test_side_by_side_records_are_read_together(spark, tmp_path, monkeypatch):
+    df = spark.range(500).selectExpr("id AS doc_id", "repeat(concat('w', id, ' '), int(id % 5)) AS text")
+    row = token_files.write(df, str(tmp_path), shards=1).first()
+    shard = token_files.Shard(row["payload"], row["index"])
+    plain = [shard.ids(i).tolist() for i in range(500)]
+    for most in (1, 40, 1 << 20):
+        monkeypatch.setattr(token_files, "READ_BYTES", most)
+        some = [*range(0, 400), 450, 451, 7, 8, 9]
+        assert [ids.tolist() for ids in shard.several(some)] == [plain[i] for i in some]
