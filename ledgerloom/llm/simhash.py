@@ -2,12 +2,12 @@
 
 A fingerprint is cut into so few segments that, within the distance allowed, one
 segment differs by at most one bit. Every segment is indexed as it is and with
-each of its bits replaced by a wildcard; two fingerprints meet in an equality join either
-at the whole segment, or at the wildcard on the one bit in which the segment differs. All
-pairs that meet are verified on all bits inside the join.
+each of its bits replaced by a wildcard; two fingerprints meet under one key either
+at the whole segment, or at the wildcard on the one bit in which the segment differs. The variants are shuffled by key
+once, and all pairs that meet are verified on all bits there.
 
 Equal fingerprints are one row before they are indexed, so copies cost nothing. A key that
-many different fingerprints share is not joined: its rows get further keys from their
+many different fingerprints share is not searched: its rows get further keys from their
 remaining bits by the same rule, until the bits left bound the rows of a key. No link is lost.
 
 Texts that are NULL or without words have fingerprint zero, linked like any other; shorter
@@ -21,11 +21,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 from itertools import accumulate
-from operator import and_
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
@@ -97,35 +97,109 @@ def _variants(key: Column, rest: Column, side: Column, bits: int, segments: int,
     return F.array(*found)
 
 
-def _joined(rows: DataFrame, levels: int, distance: int) -> DataFrame:
-    a, b = (rows.select("key", F.col("fp").alias(n), F.col("side").alias(f"{n}_side")) for n in ("a", "b"))
-    meets = [F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance, F.col("a") < F.col("b")]
-    for level in range(levels):
-        left, right = (F.shiftright(f"{n}_side", 2 * level).bitwiseAND(F.lit(3)) for n in ("a", "b"))
-        meets.append((left == _WHOLE) | (left != right))
-    return a.join(b.withColumnRenamed("key", "b_key"), reduce(and_, meets, F.col("key") == F.col("b_key"))).select("a", "b")
+_FOUND = "a long, b long, key long, rest long, side int"
+
+
+def _met(key: np.ndarray, fp: np.ndarray, side: np.ndarray, size: np.ndarray, levels: int, distance: int) -> pa.RecordBatch:
+    """The links among rows that share a key; equal keys lie side by side, ``size`` counts them."""
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, int)
+    place = np.arange(len(key)) - np.repeat(first, size[first])
+    links: list[tuple[np.ndarray, np.ndarray]] = []
+    at = np.flatnonzero(size > 1)
+    step = 1
+    while len(at):
+        at = at[place[at] + step < size[at]]
+        a, b = fp[at], fp[at + step]
+        meets = (np.bitwise_count((a ^ b).view(np.uint64)) <= distance) & (a != b)
+        for level in range(levels):
+            left, right = (side[i] >> 2 * level & 3 for i in (at, at + step))
+            meets &= (left == _WHOLE) | (right == _WHOLE) | (left != right)
+        links.append((np.minimum(a, b)[meets], np.maximum(a, b)[meets]))
+        step += 1
+    ends = [np.concatenate([pair[i] for pair in links]) if links else np.zeros(0, np.int64) for i in (0, 1)]
+    empty = pa.nulls(len(ends[0]), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ends[0], pa.int64()), pa.array(ends[1], pa.int64()), empty, empty, pa.nulls(len(ends[0]), pa.int32())], names=_NAMES
+    )
+
+
+def _crowded(key: np.ndarray, fp: np.ndarray, rest: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
+    arrays = [pa.array(fp, pa.int64()), pa.nulls(len(fp), pa.int64()), pa.array(key, pa.int64()), pa.array(rest, pa.int64())]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(side, pa.int32())], names=_NAMES)
+
+
+_NAMES = ["a", "b", "key", "rest", "side"]
+
+
+def _level(rows: DataFrame, bits: int, segments: int, level: int, distance: int, rows_per_key: int | None) -> DataFrame:
+    """One level of keys: the links (a, b) within keys, and as (a, key, rest, side) the rows of keys with more than ``rows_per_key``.
+
+    Variants are made in all tasks, shuffled once and compared where they meet. A task holds the rows of one key at most, up to
+    ``rows_per_key``; more of them are passed on one by one.
+    """
+
+    def run(batches):
+        held = [np.zeros(0, t) for t in ("i8", "i8", "i8", "i4")]
+        passed = None  # the key whose rows are passed on
+        for batch in batches:
+            new = [np.asarray(batch.column(i)) for i in range(4)]
+            if passed is not None and len(new[0]):
+                same = int(np.searchsorted(new[0] != passed, True))
+                if same:
+                    yield _crowded(*[c[:same] for c in new])
+                    new = [c[same:] for c in new]
+            if not len(new[0]):
+                continue
+            passed = None
+            rows_now = [np.concatenate(pair) for pair in zip(held, new)]
+            key = rows_now[0]
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            done, held = [c[: starts[-1]] for c in rows_now], [c[starts[-1] :] for c in rows_now]
+            yield from judged(done)
+            if rows_per_key and len(held[0]) > rows_per_key:
+                yield _crowded(*held)
+                passed, held = held[0][0], [c[:0] for c in held]
+        yield from judged(held)
+
+    def judged(columns):
+        key = columns[0]
+        if not len(key):
+            return
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        sizes = np.diff(np.append(starts, len(key)))
+        size = np.repeat(sizes, sizes)
+        if rows_per_key:
+            many = size > rows_per_key
+            if many.any():
+                yield _crowded(*[c[many] for c in columns])
+                columns, size = [c[~many] for c in columns], size[~many]
+        key, fp, _, side = columns
+        yield _met(key, fp, side, size, level + 1, distance)
+
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = _variants(F.col("key"), F.col("rest"), F.col("side"), bits, segments, level)
+    # a row becomes many, so the rows are dealt out to all tasks first
+    variants = rows.repartition(n, "fp").select("fp", F.inline(keys)).select("key", "fp", "rest", "side")
+    return stored(variants.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, _FOUND), "level")
 
 
 def links(distinct: DataFrame, distance: int = MAX_DISTANCE, rows_per_key: int = ROWS_PER_KEY) -> DataFrame:
     """Pairs (a, b) of the different fingerprints in column ``fp`` that differ in at most ``distance`` bits.
 
-    A pair may be listed several times. One counting job per level of keys.
+    A pair may be listed several times. One stored table per level of keys.
     """
     segments = distance // 2 + 1
     rows = distinct.select("fp", F.lit(0).cast("long").alias("key"), F.col("fp").alias("rest"), F.lit(0).alias("side"))
     bits, level, found = BITS, 0, []
     while True:
-        keys = _variants(F.col("key"), F.col("rest"), F.col("side"), bits, segments, level)
-        rows = rows.select("fp", F.inline(keys))
-        bits, level = bits - bits // segments, level + 1
-        if segments == 1 or bits <= FEWEST_BITS:
-            return reduce(DataFrame.unionByName, [*found, _joined(rows, level, distance)])
-        counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        crowded = stored(counts.filter(F.col("n") > rows_per_key).select("key"), "crowded")
-        if crowded.isEmpty():
-            return reduce(DataFrame.unionByName, [*found, _joined(rows, level, distance)])
-        found.append(_joined(rows.join(crowded, "key", "left_anti"), level, distance))
-        rows = rows.join(crowded, "key", "left_semi")
+        fewer = bits - bits // segments
+        last = segments == 1 or fewer <= FEWEST_BITS
+        now = _level(rows, bits, segments, level, distance, None if last else rows_per_key)
+        found.append(now.filter("b IS NOT NULL").select("a", "b"))
+        rows = now.filter("b IS NULL").select(F.col("a").alias("fp"), "key", "rest", "side")
+        if last or rows.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        bits, level = fewer, level + 1
 
 
 def groups(prints: DataFrame, key: str = "doc_id", distance: int = MAX_DISTANCE, rows_per_key: int = ROWS_PER_KEY) -> DataFrame:
@@ -166,13 +240,10 @@ def one_of_each_group(
     named = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     key, text = (named.columns[df.columns.index(c)] for c in (key, text))
     rows = fingerprints(named, text, named.columns, shingle)
-    prints = stored(rows.select(key, "fingerprint"), "prints")
+    # numbered and stored: texts are read once, and a row is known by its number from here on
+    rows = stored(rows.select("*", F.xxhash64(text).alias("_hash"), F.monotonically_increasing_id().alias("_row")), "prints")
+    prints = rows.select(key, "fingerprint", "_hash", "_row")
     best = left_join_unique(prints, [groups(prints, key, distance)], "fingerprint").groupBy("group")
-    best = best.agg(F.min(F.struct(F.col(key).isNull(), key, "fingerprint")).alias("best"))
-    best = best.select(F.col(f"best.{key}").alias("best_key"), F.col("best.fingerprint").alias("best_print"))
-    same = Window.partitionBy("fingerprint", key).orderBy(F.xxhash64(text))
-    first = rows.withColumn("_row", F.row_number().over(same)).filter("_row = 1")
-    kept = first.join(
-        best, (F.col("fingerprint") == F.col("best_print")) & F.col(key).eqNullSafe(F.col("best_key")), "left_semi"
-    )
+    best = best.agg(F.min(F.struct(F.col(key).isNull(), key, "fingerprint", "_hash", "_row")).alias("best"))
+    kept = rows.join(best.select("best._row"), "_row", "left_semi")
     return kept.select(*named.columns).toDF(*df.columns)
