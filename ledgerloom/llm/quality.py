@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
-from ledgerloom.llm.common import add_to_rows, chosen_by_hash, keep_rows, map_rows, stored
+from ledgerloom.llm.common import add_to_rows, chosen_by_hash, map_rows, stored
 
 TREES = 100
 # Different rows of statistics each tree is grown on. TREES * ROWS_PER_TREE bounds what reaches the driver.
@@ -39,6 +39,7 @@ _DIGITS = b"0123456789"
 _VARIED = 4
 
 FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, features array<double>"
+_STATISTICS = [field.split()[0] for field in FIELDS.split(", ")]
 
 
 def repeated_words(words: list) -> int:
@@ -201,34 +202,35 @@ def threshold(scores: DataFrame, labels: DataFrame, key: str, label: str, false_
     return step * SCORE_STEP
 
 
-def _fitted(df: DataFrame, labels: DataFrame, text: str, key: str, label: str) -> tuple[DataFrame, Forest | None, float]:
-    """Scores of every row, the forest and the threshold."""
-    stats = stored(rule_statistics(df, text, (key,)), "statistics").withColumn("base_failed", base_failed())
-    forest = grow(stats, most=ordinary(stats.filter("NOT base_failed"), labels, key, label))
+def _judged(stats: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
+    """Rows with statistics, ``base_failed``, ``score`` and ``kept``; a forest is grown and its threshold set on them."""
+    stats = stats.withColumn("base_failed", base_failed())
+    known = stats.select(key, "features", "base_failed")
+    forest = grow(known, most=ordinary(known.filter("NOT base_failed"), labels, key, label))
     scores = stored(scored(stats, forest), "scores")
-    return scores, forest, threshold(scores.filter("NOT base_failed"), labels, key, label)
+    limit = threshold(scores.select(key, "score", "base_failed").filter("NOT base_failed"), labels, key, label)
+    return scores.withColumn("kept", ~F.col("base_failed") & (F.floor(F.col("score") / SCORE_STEP) * SCORE_STEP < limit))
 
 
 def judge(
     df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality"
 ) -> DataFrame:
     """Statistics of every row, ``base_failed``, ``score`` and ``kept``."""
-    scores, _, limit = _fitted(df, labels, text, key, label)
-    return scores.withColumn("kept", ~F.col("base_failed") & (F.floor(F.col("score") / SCORE_STEP) * SCORE_STEP < limit))
+    return _judged(stored(rule_statistics(df, text, (key,)), "statistics"), labels, key, label)
 
 
 def keep_good(
     df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality"
 ) -> DataFrame:
-    """The rows of ``df`` that ``judge`` keeps, judged row by row, so that keys need not be unique."""
-    _, forest, limit = _fitted(df, labels, text, key, label)
-
-    def decide(texts: list[str]) -> list[bool]:
-        found = [statistics(t) for t in texts]
-        scores = forest.scores(np.array([f[-1] for f in found])) if forest and found else []
-        return [
-            f[0] >= 50 and 100 * f[4] <= 50 * f[0] and np.floor(s / SCORE_STEP) * SCORE_STEP < limit
-            for f, s in zip(found, scores)
-        ]
-
-    return keep_rows(df, text, decide)
+    """The rows of ``df`` that ``judge`` keeps, judged row by row, so that keys need not be unique.
+
+    Texts are read once; rows are stored under a number with their statistics, and found again by the numbers of those kept.
+    """
+    named = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    names = named.columns
+    rows = rule_statistics(named, names[df.columns.index(text)], names)
+    rows = stored(rows.select("*", F.monotonically_increasing_id().alias("_row")), "statistics")
+    # the judgement needs no texts
+    stats = rows.select(F.col(names[df.columns.index(key)]).alias(key), "_row", *_STATISTICS)
+    kept = _judged(stats, labels, key, label).filter("kept").select("_row")
+    return rows.join(kept, "_row", "left_semi").select(*names).toDF(*df.columns)
