@@ -1,18 +1,20 @@
 """Personal data: fixed rules, and boosted trees that judge wider candidates.
 
 Four rules find e-mail addresses, IP addresses, card and phone numbers. Beside them, wider
-generators propose spans of the same kinds that may overlap. Trees boosted on format and context decide
-about those: they learn from all candidates of the corpus which ones a rule confirms, without
-seeing what the rule looks at (a plus, a check digit, the range of a number), so that they also find
-data written another way. The threshold of each kind is calibrated on the other half of the documents.
+generators propose spans of the same kinds, and of secrets such as keys and tokens, that may overlap. Trees boosted on format and
+context decide about those that no rule covers. They learn other ways of writing from what the rules confirm: confirmed spans are
+written anew without what the rule looks at (an e-mail address with its signs in words, a number without its plus or country code, with other
+separators), in their own context, and count as positives; unconfirmed candidates that nothing announces count as negatives. A secret
+has no rule; values assigned to a name such as token or key are its positives, and the trees see the name, not the assignment. The
+threshold of each kind is calibrated on the other half of the documents.
 
 Everything that touches texts or spans is a Spark SQL expression. Candidates are counted by
 their features, which are small numbers; only these counts, bounded by the number of combinations, reach
 the driver, where the trees are grown. The trees come back as an expression.
 
 Positions count code points, ends are exclusive. NULL texts count as empty and have no spans; spans that start
-at the same place are in the order of the kinds; repeated rows are judged alike; without candidates that
-a rule confirms a kind has no further spans; an empty table gives an empty result; other columns are not read.
+at the same place are in the order of the kinds; repeated rows are judged alike; without positives a kind has no further
+spans; a long text of many matches takes time in proportion, but for a square root; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,9 +29,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
 from ledgerloom.llm.common import stored
-from ledgerloom.llm.spans import matches, placed
+from ledgerloom.llm.spans import apart, leading, matches, placed, replaced
 
 KINDS = ("email", "ip", "card", "phone")
+# What spans are called; a secret is never found by a rule alone.
+ALL_KINDS = (*KINDS, "secret")
 # The fixed rules. Lookbehinds and possessive quantifiers keep the search linear and change no match.
 RULES = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -44,6 +48,22 @@ GENERATORS = {
     "ip": r"(?<![0-9A-Za-z:.])(?:[0-9]{1,3}+(?:\x20?\.\x20?[0-9]{1,3}+){3}+|[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{1,4}+){7}+)(?![0-9A-Za-z:])",
     "card": r"(?<![0-9A-Za-z])[0-9]{4}+(?:[\x20./_-]?[0-9]{2,6}+){2,5}+(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z])(?:\+|00)?+[0-9]{0,3}+[\x20.-]?+\(?+[0-9]{2,4}+\)?+[\x20./-]?+[0-9]{3,4}+[\x20./-]?+[0-9]{3,4}+(?![0-9A-Za-z])",
+    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{16,}+(?![A-Za-z0-9+/_-])",
+}
+# Texts that match neither hold no match of the pattern; looking for these is cheap.
+_MAY_HOLD = {
+    "email": (r"@", r"@|(?i:[(\[{]at[)\]}])"),
+    "ip": (r"[0-9]\.[0-9]", r"[0-9]\x20?\.|[0-9A-Fa-f]:[0-9A-Fa-f]"),
+    "card": (r"[0-9][\x20-]?[0-9]", r"[0-9]{4}"),
+    "phone": (r"\+[0-9]", r"[0-9]{3}"),
+    "secret": ("", r"[0-9]"),
+}
+# How confirmed spans are written anew: patterns and what replaces them, one after the other.
+_MASKS = {
+    "email": [[(r"@", "(at)"), (r"\.(?=[^@()]*$)", "(dot)")], [(r"@", " [at] "), (r"\.(?=[^\]]*$)", " [dot] ")], [(r"@", " (at) ")]],
+    "ip": [[(r"\.", " . ")], [(r"\.", ". ")]],
+    "card": [[(r"[^0-9]", ""), (r"([0-9]{4})(?=[0-9])", "$1.")], [(r"[^0-9]", ""), (r"([0-9]{4})(?=[0-9])", "$1/")]],
+    "phone": [[(r"^\+", "")], [(r"^\+[0-9]{1,3}[\x20.-]?(?=[(0-9])", "")], [(r"^\+", "00")]],
 }
 # Words that announce a kind, before the candidate.
 _ANNOUNCED = {
@@ -51,15 +71,22 @@ _ANNOUNCED = {
     "ip": r"\bip|host|server|addr|node",
     "card": r"card|visa|master|amex|credit|pay",
     "phone": r"phone|tel|call|mobile|fax|cell|dial",
+    "secret": r"token|secret|passw|key|auth|bearer|credential",
 }
+# An address with its sign in brackets is no example of what is none.
+_IN_WORDS = r"(?i)[(\[{]at[)\]}]"
+# What assigns a secret to a name; the trees do not see it.
+_ASSIGNED = r"(?:token|secret|passw(?:or)?d|key|auth|bearer|credentials?)[\"']?\s*[:=]\s*[\"']?$"
 # What stands before numbers that are nobody's.
 _NUMERIC = r"(?:[$€£#=%\"/:]|version|vers\.|no\.|isbn|page|id)\s*$"
-_FEATURES = ("kind", "digits", "separators", "brackets", "announced", "before", "after", "kinds_of_digits", "first", "numeric")
+_FEATURES = (
+    "kind", "digits", "separators", "brackets", "announced", "before", "after", "kinds_of_digits", "first", "numeric", "letters", "turns",
+)
 
 TREES = 24
 DEPTH = 3
 LEARNING_RATE = 0.3
-# Share of the candidates above a threshold that a rule must confirm.
+# Share of positives among the candidates above a threshold.
 PRECISION = 0.99
 
 
@@ -101,23 +128,26 @@ def _class(char: Column) -> Column:
     return F.when(blank, 0).when(F.rlike(char, F.lit(r"\p{L}")), 1).when(F.rlike(char, F.lit("[0-9]")), 2).otherwise(3)
 
 
-def _features(kind: str, found: Column) -> list[Column]:
-    """Format and context as small numbers, in the order of ``_FEATURES``; no plus, no check digit, no ranges."""
-    value, before = found["value"], found["before"]
+def _features(kind: str, value: Column, before: Column, after: Column) -> list[Column]:
+    """Format and context as small numbers, in the order of ``_FEATURES``; no plus, no check digit, no ranges, no assignment."""
     digits = F.length(_digits(value))
     variety = F.size(F.array_distinct(F.split(_digits(value), "")))
     first = F.length(F.regexp_extract(value, "^[^0-9]*([0-9]+)", 1))
+    separators = F.least(F.length(F.regexp_replace(value, r"[^\x20./_-]", "")), F.lit(6))
+    is_secret = kind == "secret"  # of any length, so in coarse steps
     columns = [
-        F.lit(KINDS.index(kind)),
-        F.least(digits, F.lit(20)),
-        F.least(F.length(F.regexp_replace(value, r"[^\x20./_-]", "")), F.lit(6)),
+        F.lit(ALL_KINDS.index(kind)),
+        F.floor(F.least(digits, F.lit(40)) / 5) if is_secret else F.least(digits, F.lit(20)),
+        F.lit(0) if kind in ("email", "ip") else separators,
         F.rlike(value, F.lit(r"[(\[{]")).cast("int"),
         F.rlike(before, F.lit(_ANNOUNCED[kind])).cast("int"),
         _class(F.right(before, F.lit(1))),
-        _class(found["after"]),
+        _class(after),
         F.least(variety, F.lit(10)),
-        F.least(first, F.lit(20)),
+        F.lit(0) if is_secret else F.least(first, F.lit(20)),
         F.rlike(before, F.lit(_NUMERIC)).cast("int"),
+        F.floor(F.least(F.length(F.regexp_replace(value, "[^A-Za-z]", "")), F.lit(40)) / 5) if is_secret else F.lit(0),
+        F.floor(F.least(F.size(F.split(value, "(?<=[0-9])(?=[A-Za-z])")), F.lit(20)) / 3) if is_secret else F.lit(0),
     ]
     return [c.cast("int").alias(name) for c, name in zip(columns, _FEATURES)]
 
@@ -129,31 +159,55 @@ def _base_spans(kind: str, found: Column) -> Column:
 
 
 def _candidate_spans(kind: str, found: Column) -> Column:
-    return F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), *_features(kind, s)))
+    """Spans with features, and ``label``: 1 and 0 teach, -1 does not."""
+
+    def candidate(s: Column) -> Column:
+        features = _features(kind, s["value"], s["before"], s["after"])
+        announced = F.rlike(s["before"], F.lit(_ANNOUNCED[kind]))
+        if kind == "secret":
+            label = F.rlike(s["before"], F.lit(_ASSIGNED)).cast("int")
+        else:
+            unknown = announced | F.rlike(s["value"], F.lit(_IN_WORDS)) if kind == "email" else announced
+            label = F.when(unknown, -1).otherwise(0)
+        place = [s["start"].alias("start"), F.lit(ALL_KINDS.index(kind)).alias("kind"), s["stop"].alias("stop")]
+        return F.struct(*place, label.alias("label"), *features[1:])
+
+    return F.transform(found, candidate)
+
+
+def _masked(kind: str, found: Column) -> Column:
+    """The features of confirmed spans written anew."""
+
+    def variants(s: Column) -> Column:
+        rows = []
+        for steps in _MASKS[kind]:
+            value = reduce(lambda text, step: F.regexp_replace(text, *step), steps, s["value"])
+            rows.append(F.struct(*_features(kind, value, s["before"], s["after"])))
+        return F.array(*rows)
+
+    right = F.filter(found, lambda s: _confirmed(kind, s["value"]))
+    return F.flatten(F.transform(right, variants))
 
 
 def _searched(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    """``keep`` as k_0, k_1, ..., ``base`` (spans of the rules) and ``candidates`` (spans with features)."""
+    """``keep`` as k_0, k_1, ..., ``base`` (spans of the rules), ``candidates`` apart from these, and ``masked`` (features)."""
     kept = [as_column(c).alias(f"k_{i}") for i, c in enumerate(keep)]
     body = F.coalesce(as_column(text).cast("string"), F.lit(""))
     found = df.select(*kept, body.alias("_text"))
-    names = [(f"{kind}_{i}", kind, patterns[kind]) for i, patterns in enumerate((RULES, GENERATORS)) for kind in KINDS]
+    names = [(f"{kind}_{i}", kind, i, patterns[kind]) for i, patterns in enumerate((RULES, GENERATORS)) for kind in patterns]
     columns = {}
-    for name, _, pattern in names:
-        columns[f"{name}_v"], columns[f"{name}_g"] = matches(F.col("_text"), pattern)
+    for name, kind, i, pattern in names:
+        may = F.rlike(F.col("_text"), F.lit(_MAY_HOLD[kind][i]))
+        columns[f"{name}_v"], columns[f"{name}_g"] = matches(F.col("_text"), pattern, may)
     found = found.withColumns(columns)
-    found = found.withColumns({name: placed(F.col(f"{name}_v"), F.col(f"{name}_g")) for name, _, _ in names})
+    found = found.withColumns({name: placed(F.col(f"{name}_v"), F.col(f"{name}_g")) for name, *_ in names})
 
-    base, candidates = [], []
-    for kind in KINDS:
-        base.append(_base_spans(kind, F.col(f"{kind}_0")))
-        candidates.append(_candidate_spans(kind, F.col(f"{kind}_1")))
+    base = F.array_sort(F.concat(*[_base_spans(kind, F.col(f"{kind}_0")) for kind in KINDS]))
+    wide = F.concat(*[_candidate_spans(kind, F.col(f"{kind}_1")) for kind in ALL_KINDS])
+    masked = F.concat(*[_masked(kind, F.col(f"{kind}_0")) for kind in KINDS])
     names = [c for c in found.columns if c.startswith("k_")]
-    return found.select(*names, F.array_sort(F.concat(*base)).alias("base"), F.concat(*candidates).alias("candidates"))
-
-
-def _overlaps(a: Column, b: Column) -> Column:
-    return (a["start"] < b["stop"]) & (b["start"] < a["stop"])
+    found = found.select(*names, base.alias("base"), wide.alias("wide"), masked.alias("masked"))
+    return found.select(*names, "base", apart(F.col("wide"), F.col("base")).alias("candidates"), "masked")
 
 
 @dataclass(frozen=True)
@@ -162,7 +216,7 @@ class Model:
 
     start: float = 0.0
     trees: tuple = ()
-    thresholds: tuple[float, ...] = (2.0,) * len(KINDS)
+    thresholds: tuple[float, ...] = (1e9,) * len(ALL_KINDS)
 
     def margin(self, candidate: Column) -> Column:
         def walk(node) -> Column:
@@ -222,12 +276,12 @@ def boost(x: np.ndarray, confirmed: np.ndarray, total: np.ndarray) -> tuple[floa
 
 
 def calibrated(margin: np.ndarray, kind: np.ndarray, confirmed: np.ndarray, total: np.ndarray) -> tuple[float, ...]:
-    """For each kind the lowest margin from which on rules confirm a share of PRECISION; out of reach if there is none.
+    """For each kind the lowest margin from which on a share of PRECISION is positive; out of reach if there is none.
 
     Few candidates at the top say little: they are weighed with those below them.
     """
     limits = []
-    for number in range(len(KINDS)):
+    for number in range(len(ALL_KINDS)):
         some = kind == number
         limit = 1e9
         for value in sorted(set(margin[some]), reverse=True):
@@ -240,11 +294,12 @@ def calibrated(margin: np.ndarray, kind: np.ndarray, confirmed: np.ndarray, tota
 
 
 def train(searched: DataFrame, half: Column) -> Model:
-    """Trees from the candidates of one half of the documents, thresholds from the other."""
-    one = searched.select(half.alias("half"), "base", F.explode("candidates").alias("c"))
-    same = F.exists("base", lambda s: (s["kind"] == F.col("c.kind")) & _overlaps(s, F.col("c")))
-    counts = one.groupBy("half", *[F.col(f"c.{name}") for name in _FEATURES])
-    rows = counts.agg(F.count(F.lit(1)).alias("total"), F.count_if(same).alias("confirmed")).collect()
+    """Trees from the examples of one half of the documents, thresholds from the other."""
+    masked = searched.select(half.alias("half"), F.explode("masked").alias("c")).select("half", "c.*", F.lit(1).alias("label"))
+    seen = searched.select(half.alias("half"), F.explode("candidates").alias("c")).select("half", "c.*").filter("label >= 0")
+    examples = masked.unionByName(seen.select(*masked.columns))
+    counts = examples.groupBy("half", *_FEATURES)
+    rows = counts.agg(F.count(F.lit(1)).alias("total"), F.sum("label").alias("confirmed")).collect()
     parts = [[r for r in rows if r["half"] == i] for i in (0, 1)]
     if not all(parts):
         return Model()
@@ -262,15 +317,13 @@ def train(searched: DataFrame, half: Column) -> Model:
 
 
 def _chosen(model: Model) -> Column:
-    """All spans: those of the rules, and selected candidates that overlap neither them nor an earlier one."""
-
-    def take(kept: Column, candidate: Column) -> Column:
-        span = F.struct(candidate["start"].alias("start"), candidate["kind"].alias("kind"), candidate["stop"].alias("stop"))
-        free = ~F.exists(kept, lambda s: _overlaps(s, candidate))
-        return F.when(free, F.concat(kept, F.array(span))).otherwise(kept)
-
-    selected = F.array_sort(F.filter(F.col("candidates"), model.selects))
-    return F.array_sort(F.aggregate(selected, F.col("base"), take))
+    """All spans: those of the rules, and selected candidates unless one that begins before overlaps them."""
+    selected = F.transform(
+        F.filter(F.col("candidates"), model.selects),
+        lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["stop"].alias("stop")),
+    )
+    added = F.array_sort(F.concat(F.col("base"), leading(F.array_sort(selected))))
+    return F.when(F.size("candidates") > 0, added).otherwise(F.col("base"))
 
 
 def _half(key: Column) -> Column:
@@ -286,7 +339,7 @@ def find(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
 
 def listed(spans: Column) -> Column:
     """kind:start:stop, comma-joined."""
-    names = F.array(*[F.lit(k) for k in KINDS])
+    names = F.array(*[F.lit(k) for k in ALL_KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["stop"])), ",")
 
 
@@ -295,27 +348,15 @@ def count(spans: Column, kind: str) -> Column:
 
 
 def redact(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``df`` with every span replaced by its kind in brackets; overlapping spans are replaced once."""
+    """``df`` with every span replaced by its kind in brackets; overlapping spans are replaced once.
+
+    Texts are searched once and stored with what was found; NULL texts stay NULL.
+    """
     names = [f"k_{i}" for i in range(len(df.columns))]
     at = df.columns.index(text)
-    model = train(stored(_searched(df, text, (key,)), "candidates"), _half(F.col("k_0")))
-    # NULL texts stay NULL
-    body, spans = F.col(names[at]), F.col("spans")
-    tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-
-    def cut(state: Column, s: Column) -> Column:
-        covered = s["start"] < state["stop"]
-        added = F.concat(F.substr(body, state["stop"] + 1, s["start"] - state["stop"]), F.get(tags, s["kind"]))
-        return F.struct(
-            F.greatest(state["stop"], s["stop"]).alias("stop"),
-            F.when(covered, state["out"]).otherwise(F.concat(state["out"], added)).alias("out"),
-        )
-
-    def ended(state: Column) -> Column:
-        return F.concat(state["out"], F.substr(body, state["stop"] + 1, F.length(body)))
-
-    empty = F.struct(F.lit(0).alias("stop"), F.lit("").alias("out"))
-    replaced = F.when(F.size(spans) > 0, F.aggregate(spans, empty, cut, ended)).otherwise(body)
-    found = _searched(df, text, df.columns).withColumn("spans", _chosen(model))
-    columns = [replaced.alias(n) if i == at else F.col(n) for i, n in enumerate(names)]
-    return found.select(*columns).toDF(*df.columns)
+    searched = stored(_searched(df, text, df.columns), "candidates")
+    model = train(searched, _half(F.col(names[df.columns.index(key)])))
+    tags = F.array(*[F.lit(f"[{k.upper()}]") for k in ALL_KINDS])
+    body = replaced(F.col(names[at]), F.col("spans"), lambda kind: F.get(tags, kind))
+    found = searched.withColumn("spans", _chosen(model))
+    return found.select(*[body.alias(n) if i == at else F.col(n) for i, n in enumerate(names)]).toDF(*df.columns)

@@ -21,7 +21,7 @@ def op1_quality_isolation_forest(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("features")
 
 
-@query
+@light_query
 def op2_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     """Encode every text, decode the ids, and digest both."""
     ids = bpe.encode(table(spark, folder, "documents"))
@@ -65,6 +65,7 @@ def op4_pii_boosted_candidates(spark: SparkSession, folder: str) -> DataFrame:
         *[pii.count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
         pii.listed(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 
@@ -75,7 +76,7 @@ def op5_cross_parsing_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(documents, training, keep=("doc_id", "held_out"))
 
 
-@query
+@light_query
 def op6_hierarchical_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -88,12 +89,31 @@ def op8_max_segment_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, model, keep=("doc_id", "held_out"))
 
 
+ORACLES["op9_embedding_nn_descent"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reached AS (
+    SELECT vec_id AS node, vec_id AS least FROM embeddings
+    UNION SELECT l.b, r.least FROM reached r JOIN links l ON l.a = r.node
+), named AS (
+    SELECT node, min(least) AS component_id FROM reached GROUP BY node
+)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, n.component_id, e.vec_id = n.component_id AS kept
+FROM embeddings e JOIN named n ON n.node = e.vec_id
+"""
+
+
 @query
 def op9_embedding_nn_descent(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
-@query
+@light_query
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Write all ids to shards in order of doc_id, then read every document back by its key."""
     documents = table(spark, folder, "documents")

@@ -60,6 +60,32 @@ def test_trees_find_numbers_written_without_a_plus(spark, monkeypatch):
     assert [rows[i]["spans"] for i in range(600, 603)] == ["phone:12:26"] * 3
 
 
+def test_forms_that_no_rule_knows(spark):
+    """At the production threshold: what was learned from confirmed spans finds other ways of writing, and leaves numbers alone."""
+    draw = random.Random(3)
+    kinds = {
+        "email": lambda i: f"user{i % 90}.{i}@mail{i % 7}.example.com",
+        "ip": lambda i: f"{i % 250 + 1}.{i % 199}.{i % 91}.{i % 251}",
+        "phone": lambda i: f"+1 ({200 + i % 700}) 555-{1000 + i % 9000}",
+    }
+    made = [f"some words {draw.choice('abcdef')} then {kinds[k](i * 37)} and more words" for i in range(400) for k in kinds]
+    made += [f'{draw.choice(["token", "api_key", "secret"])} = "{draw.getrandbits(160):040x}" in a file' for _ in range(300)]
+    clean = [f"it costs ${1000 + i}.{10 + i % 80} in version {300 + i}.{i}.3 of {1_000_000 + i * 7919} pages, {i % 28 + 1}/{i % 12 + 1}/2020" for i in range(400)]
+    other = [
+        ("write to jo.doe (at) host (dot) example (dot) com please", "email"), ("write to jo.doe@host.example.com please", "email"),
+        ("or jo.doe [at] host.example.com instead", "email"), ("go to 10 . 20 . 30 . 40 and look", "ip"), ("and 77. 20. 30. 40 and look", "ip"),
+        ("people say (955) 555-1234 is new", "phone"), ("people say 001 (955) 555-1234 is new", "phone"), (f'the secret: "{7**57:040x}"', "secret"),
+    ]
+    texts = made + clean + [t for t, _ in other]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r["spans"] for r in pii.find(df).select("doc_id", pii.listed(F.col("spans")).alias("spans")).collect()}
+    assert not any(rows[len(made) + i] for i in range(len(clean)))
+    for i, (text, kind) in enumerate(other):
+        found = rows[len(made) + len(clean) + i]
+        assert found.count(":") == 2 and found.startswith(kind), (text, found)
+    assert all(rows[i].startswith("secret:") for i in range(1200, 1500))
+
+
 def test_boosting_separates():
     import numpy as np
 
