@@ -31,6 +31,9 @@ from ledgerloom.llm.common import map_rows, texts_of
 LEAF = 16
 # Pre-tokens whose counts one Python process remembers.
 REMEMBERED = 500_000
+# Characters behind an edit that are looked at first, and characters behind a match that its end may depend on.
+WINDOW = 256
+LOOKAHEAD = 8
 
 EDITS = "array<struct<start:int,stop:int,replacement:string>>"
 
@@ -141,28 +144,73 @@ def tidy(edits: Sequence[dict] | None, size: int) -> list[tuple[int, int, str]]:
     return found
 
 
-def edit(text: str, tree: Tree, start: int, stop: int, replacement: str, counts: Counts) -> tuple[str, int]:
-    """The text after one edit, whose tree is changed in place, and the number of characters encoded again."""
+def _front(pieces: Sequence[str], size: int) -> tuple[str, bool]:
+    """At least the first ``size`` characters of a text kept as pieces, the last one in front, and whether that is all of it."""
+    found, n = [], 0
+    for piece in reversed(pieces):
+        if n >= size:
+            return "".join(found)[:size], False
+        found.append(piece)
+        n += len(piece)
+    return "".join(found)[:size], n <= size
+
+
+def _recut(before: str, tree: Tree, start: int, stop: int, replacement: str, pieces: Sequence[str], counts: Counts) -> int:
+    """Change the tree for one edit of a text whose first ``start`` characters are those of ``before``.
+
+    ``pieces`` is the text behind ``stop``. Only a window around the edit is put together; it grows until the cuts
+    behind the edit fall on an old boundary. The number of characters encoded again is returned.
+    """
     leaf, low = tree.find(max(0, start - 1))
     if low > 0:
         leaf, low = tree.find(low - 1)
     if leaf == tree.leaves:
         leaf = tree.leaves - 1
-    after = text[:start] + replacement + text[stop:]
-    grown, edited = len(after) - len(text), start + len(replacement)
-    pre_tokens, at, last = [], low, tree.leaves
-    for match in counts.codec.pattern.finditer(after, low):
-        pre_tokens.append(match.group())
-        at = match.end()
-        if at >= edited and at - grown >= stop:
-            beyond, boundary = tree.find(at - grown)
-            if boundary == at - grown and beyond > leaf:
-                last = beyond
+    grown, edited, size = len(replacement) - (stop - start), start + len(replacement), WINDOW
+    head = before[low:start] + replacement
+    while True:
+        ahead, is_all = _front(pieces, size)
+        window = head + ahead
+        # where a match ends depends on some characters behind it
+        trusted = len(window) if is_all else len(window) - LOOKAHEAD
+        pre_tokens, at, last = [], low, None
+        for match in counts.codec.pattern.finditer(window):
+            if match.end() > trusted:
                 break
+            pre_tokens.append(match.group())
+            at = low + match.end()
+            if at >= edited and at - grown >= stop:
+                beyond, boundary = tree.find(at - grown)
+                if boundary == at - grown and beyond > leaf:
+                    last = beyond
+                    break
+        if last is not None or is_all:
+            break
+        size *= 4
     counts.learn(pre_tokens)
     sizes = np.array([len(p) for p in pre_tokens], np.int64)
-    tree.replace(leaf, last, sizes, counts.of(pre_tokens))
-    return after, at - low
+    tree.replace(leaf, tree.leaves if last is None else last, sizes, counts.of(pre_tokens))
+    return at - low
+
+
+def edit_all(text: str, tree: Tree, changes: Sequence[tuple[int, int, str]], counts: Counts) -> tuple[str, int]:
+    """The text after edits in order and without overlaps, whose tree is changed in place, and the number of characters encoded again.
+
+    Edits are made from the back, so that places are those of the text before; the text is put together once.
+    """
+    pieces, free, again = [], len(text), 0
+    for start, stop, replacement in reversed(changes):
+        pieces.append(text[stop:free])
+        again += _recut(text, tree, start, stop, replacement, pieces, counts)
+        pieces.append(replacement)
+        free = start
+    pieces.append(text[:free])
+    return "".join(reversed(pieces)), again
+
+
+def edit(text: str, tree: Tree, start: int, stop: int, replacement: str, counts: Counts) -> tuple[str, int]:
+    """The same for one edit."""
+    return edit_all(text, tree, [(start, stop, replacement)], counts)
 
 
 def build(
@@ -198,11 +246,8 @@ def apply_edits(
         counts = counts_of(path, pattern)
         out = []
         for text, raw, changes in zip(*(part.column(f"_{i}").to_pylist() for i in range(3))):
-            tree, again = Tree.load(raw), 0
-            changes = tidy(changes, len(text))
-            for start, stop, replacement in reversed(changes):
-                text, more = edit(text, tree, start, stop, replacement, counts)
-                again += more
+            tree, changes = Tree.load(raw), tidy(changes, len(text))
+            text, again = edit_all(text, tree, changes, counts)
             out.append((text, tree.dump(), tree.tokens, len(changes), again))
         return list(zip(*out)) or [[]] * 5
 
