@@ -1,7 +1,11 @@
 import brute
+import duckdb
 import numpy as np
+import pandas as pd
+from compare import duck_result, spark_result
 
 from ledgerloom.llm import embeddings
+from ledgerloom.llm.queries import ORACLES, QUERIES
 
 
 def rows_of(spark, df, **options):
@@ -102,3 +106,24 @@ def test_audit_sees_small_groups_beside_a_large_one(spark):
         recall, lacking = embeddings.audit(nodes, found, 0.95)
         assert recall < embeddings.RECALL
         assert {r["a"] for r in lacking.collect()} == {number[i] for i in range(hot, len(rows))}
+
+
+def test_query_with_planted_links(spark, tmp_path):
+    """The given vectors and planted groups, chains and faulty rows, against SQL over all pairs."""
+    draw = np.random.default_rng(9)
+    given = pd.read_parquet("/root/testdata/sf0.01/embeddings.parquet")
+    vectors = np.stack(given.embedding).astype(float)
+    planted = [v + 0.02 * draw.normal(size=v.shape) for v, n in zip(vectors, [1, 2, 3, 15, 40]) for _ in range(n)]
+    chain = [vectors[50] * np.cos(a) + vectors[60] * np.sin(a) for a in np.arange(1, 6) * 0.25]
+    odd = [None, [0.0] * 64, [float("nan")] * 64, [None] * 64]
+    extra = [v.tolist() for v in [*planted, *chain, vectors[7], vectors[7] * 3]] + odd
+    more = pd.DataFrame({"vec_id": range(10_000, 10_000 + len(extra)), "embedding": extra, "label": 0})
+    folder = str(tmp_path)
+    pd.concat([given, more]).astype({"label": "int32"}).to_parquet(f"{folder}/embeddings.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{folder}/embeddings.parquet')")
+    name = "op9_embedding_nn_descent"
+    schema, rows = spark_result(QUERIES[name](spark, folder))
+    expected_schema, wanted = duck_result(connection, ORACLES[name])
+    assert schema == expected_schema and rows == wanted
+    assert sum(r[2] for r in rows) > 1000 and sum(not r[1] for r in rows) > 60
