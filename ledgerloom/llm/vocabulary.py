@@ -12,6 +12,8 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Sequence
 from functools import lru_cache
+from itertools import compress
+from operator import is_
 
 import numpy as np
 import public_tokenizers
@@ -23,6 +25,11 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 REMEMBERED_WORDS = 400_000
 # Texts looked up together, if an Arrow batch has so many: a word that several of them have is looked up once.
 TEXTS_AT_ONCE = 4096
+# Pre-tokenizers split each of these from an ASCII letter in front of it.
+MARKS = ".,;:!?"
+_MARK = np.zeros(256, np.int64)
+_MARK[list(MARKS.encode())] = np.arange(len(MARKS)) + 1
+_LETTER = np.array([chr(i).isalpha() and i < 128 for i in range(256)])
 
 
 class Remembered(dict):
@@ -32,11 +39,19 @@ class Remembered(dict):
     def __init__(self) -> None:
         self.older: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes | None:
-        known = self.older.get(word)
-        if known is not None:
-            self[word] = known
-        return known
+    def known(self, words: list[str]) -> tuple[list[bytes | None], list[int]]:
+        """The ids of ``words``, None for those not remembered, and the places of these."""
+        found = list(map(self.get, words))
+        if not self.older:
+            return found, [i for i, ids in enumerate(found) if ids is None]
+        places = [i for i, ids in enumerate(found) if ids is None]
+        missing = []
+        for i, ids in zip(places, map(self.older.get, [words[i] for i in places])):
+            if ids is None:
+                missing.append(i)
+            else:
+                found[i] = self[words[i]] = ids
+        return found, missing
 
     def age(self, most: int) -> None:
         if len(self) > most:
@@ -44,6 +59,19 @@ class Remembered(dict):
             self.clear()
 
 
+def _without_mark(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words without a single mark behind an ASCII letter, and the place of the mark in MARKS from 1, 0 for none."""
+    if not len(words):
+        return words, np.zeros(0, np.int64)
+    sizes = np.asarray(pc.binary_length(words)).astype(np.int64)
+    raw = np.frombuffer(words.buffers()[2] or b"\0", np.uint8)
+    stops = np.frombuffer(words.buffers()[1], np.int32)[words.offset + 1 : words.offset + len(words) + 1]
+    long = sizes > 1
+    mark = np.where(long & _LETTER[raw[np.where(long, stops - 2, 0)]], _MARK[raw[np.where(long, stops - 1, 0)]], 0)
+    cut = pa.array(mark > 0)
+    return pc.if_else(cut, pc.utf8_slice_codeunits(words, 0, -1), words), mark
+
+
 class WordCache:
     """The ids of texts, each word (with the space in front of it) encoded once, as little-endian 32-bit integers.
 
@@ -58,31 +86,41 @@ class WordCache:
     def __len__(self) -> int:
         return len(self.inner) + len(self.first)
 
-    def _encode_words(self, words: list[str], space: str) -> dict[str, bytes]:
+    def _encode_words(self, words: list[str], space: str) -> list[bytes]:
         """All words in one call: joined by white space they are still split where they meet."""
         if not words:
-            return {}
+            return []
         # the white space belongs to the word behind it, or is a token of its own
         ids = self.encode(" " + " ".join(words) if space else "\n".join(words))
         raw, stops = ids.astype("<u4").tobytes(), np.cumsum(self.lengths[ids])
-        sizes = np.fromiter((len(w.encode()) for w in words), np.int64, len(words)) + 1
+        sizes = np.asarray(pc.binary_length(pa.array(words, pa.string()))).astype(np.int64) + 1
         last = (np.searchsorted(stops, np.cumsum(sizes) - (not space)) + 1).tolist()
         start = [0] + (last[:-1] if space else [n + 1 for n in last[:-1]])
-        return dict(zip(words, [raw[4 * i : 4 * j] for i, j in zip(start, last)]))
+        return [raw[4 * i : 4 * j] for i, j in zip(start, last)]
 
     def _known(self, words: list[str], space: str) -> list[bytes | None]:
         """The ids of different words; None where the split depends on their neighbours."""
         remembered = self.inner if space else self.first
-        found = list(map(remembered.__getitem__, words))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        safe = [i for i in missing if (w := words[i]) and not w[0].isspace() and not w[-1].isspace()]
-        new = self._encode_words([words[i] for i in safe], space)
-        remembered.update(new)
-        for i in safe:
-            found[i] = new[words[i]]
+        found, missing = remembered.known(words)
+        new = [words[i] for i in missing]
+        # stripping gives back the very text if there is nothing to strip
+        safe = [bool(w) and same for w, same in zip(new, map(is_, map(str.strip, new), new))]
+        places, new = list(compress(missing, safe)), list(compress(new, safe))
+        ids = self._encode_words(new, space)
+        remembered.update(zip(new, ids))
+        for i, own in zip(places, ids):
+            found[i] = own
         remembered.age(self.most)
         return found
 
+    def _ids_of(self, words: pa.Array, space: str) -> pa.Array:
+        """The ids of different words as binary values; a mark behind a letter is looked up by itself."""
+        bare, mark = _without_mark(words)
+        bare = bare.dictionary_encode()
+        ids = pa.array(self._known(bare.dictionary.to_pylist(), space), pa.large_binary()).take(bare.indices)
+        marks = pa.array([b"", *(self.encode(m).astype("<u4").tobytes() for m in MARKS)], pa.large_binary())
+        return pc.binary_join_element_wise(ids, marks.take(pa.array(mark)), pa.scalar(b"", pa.large_binary()))
+
     def values_of(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of every text."""
         if not len(texts):
@@ -91,16 +129,16 @@ class WordCache:
         sizes = np.asarray(lists.value_lengths()).astype(np.int64)
         starts = np.cumsum(sizes) - sizes
         encoded = lists.flatten().dictionary_encode()
-        words, place = encoded.dictionary.to_pylist(), np.asarray(encoded.indices).astype(np.int64)
+        place = np.asarray(encoded.indices).astype(np.int64)
         # the first word of a text has no space in front
         leading, own = np.unique(place[starts], return_inverse=True)
-        ids = self._known(words, " ") + self._known([words[i] for i in leading.tolist()], "")
-        place[starts] = len(words) + own
-        unsafe = np.array([i is None for i in ids], bool)
+        place[starts] = len(encoded.dictionary) + own
+        held = pa.concat_arrays([self._ids_of(encoded.dictionary, " "), self._ids_of(encoded.dictionary.take(pa.array(leading)), "")])
+        unsafe = np.asarray(held.is_null())
         whole = np.logical_or.reduceat(unsafe[place], starts)
-        flat = np.frombuffer(b"".join(i or b"" for i in ids), "<u4")
-        counts = np.fromiter((len(i or b"") // 4 for i in ids), np.int64, len(ids))
-        begins = np.cumsum(counts) - counts
+        bounds = np.frombuffer(held.buffers()[1], np.int64, len(held) + 1) // 4
+        flat = np.frombuffer(held.buffers()[2] or b"", "<u4")
+        begins, counts = bounds[:-1], np.diff(bounds)
         n = counts[place]
         before = np.cumsum(n) - n
         gathered = flat[np.repeat(begins[place] - before, n) + np.arange(int(n.sum()))]
