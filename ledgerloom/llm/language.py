@@ -1,6 +1,7 @@
 """Language identification by cross-parsing: how few phrases of a language's own texts make up a text.
 
-For every language a suffix automaton of labelled text knows all its substrings. A text is cut
+For every language a suffix automaton knows all substrings of passages made of the words that are commonest in
+all labelled texts. A text is cut
 greedily into the longest phrases that occur there; a letter that does not occur is a phrase. The
 number of phrases, times the bits that point to a phrase's place, per letter, is the
 cross-entropy of the text to the language; the lowest wins.
@@ -17,26 +18,34 @@ not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
 from ledgerloom.llm.common import add_to_rows, keep_rows
 
-# Letters each language's automaton is built from, and the labelled texts they are taken from.
+# Letters and spaces of the passages that each language's automaton is built from.
 TRAINING_CHARACTERS = 16_000
-TRAINING_TEXTS = 64
+# The commonest words that passages are made of, fewer than 4,096, and the bits where a passage keeps the ranks of those that follow the first.
+MOST_WORDS = 4_095
+_PLACES = (24, 12, 0)
+# Longer runs of letters count in pieces.
+WORD_LETTERS = 12
+# Counts of words that a task holds before it hands them on.
+HELD_WORDS = 200_000
 # Letters parsed from a fresh start.
 SEGMENT = 512
 UNKNOWN = "und"
 # A text is in none of the languages if it costs more bits a letter than this share of the winner's own texts, and its lead
 # over the second language, as a share of its cross-entropy, is smaller than theirs. Few texts set no limit.
 CLEAN_SHARE = 0.99
-CALIBRATION_TEXTS = 64
 FEWEST_TEXTS = 20
 
 FIELDS = "lang_pred string, score double"
@@ -180,65 +189,131 @@ def held_out(key: str) -> Column:
 
 
 def training_texts(df: DataFrame, text: str = "text", language: str = "lang") -> tuple[tuple[str, str], ...]:
-    """A bounded sample of labelled texts per language, chosen by hash: (language, text)."""
-    return tuple(sorted(_learned(_labelled(df, text, language, TRAINING_TEXTS))[0].items()))
-
-
-def _learned(rows: Sequence[tuple[str, str]]) -> tuple[dict[str, str], list[tuple[str, str]]]:
-    """The letters each language is learned from, and the texts that are not among them."""
-    found: dict[str, str] = {}
-    places: dict[str, int] = {}
-    rest = []
-    for name, body in rows:
-        have = found.get(name, "")
-        places[name] = places.get(name, 0) + 1
-        # no text makes up more than an eighth of a language's letters
-        room = min(TRAINING_CHARACTERS - len(have), TRAINING_CHARACTERS // 8)
-        if room > 0 and places[name] <= TRAINING_TEXTS:
-            found[name] = f"{have} {body[:room]}"
-        else:
-            rest.append((name, body))
-    return found, rest
+    """What each language is learned from: (language, passages), TRAINING_CHARACTERS at most.
+
+    Words are counted in all labelled texts, copies once. The commonest of each language get a passage each, a few words that
+    follow each other in some text, rare ones preferred so that few passages have many words; the commonest words go first.
+    """
+    named = _labelled(df, text, language)
+    words = {name: dict(zip(listed, range(1, len(listed) + 1))) for name, listed in _commonest(named).items()}
+    found = []
+    for name, codes in sorted(_passages(named, words).items()):
+        listed, taken, size, covered = list(words[name]), [], 0, set()
+        for first, code in sorted(codes):
+            ranks = [first, *(rank for shift in _PLACES if (rank := code >> shift & MOST_WORDS))]
+            passage = [listed[rank - 1] for rank in ranks]
+            length = sum(map(len, passage)) + len(passage)
+            if passage[0] not in covered and size + length <= TRAINING_CHARACTERS:
+                taken.append(" ".join(passage))
+                covered.update(passage)
+                size += length
+        found.append((name, " ".join(taken)))
+    return tuple(found)
+
+
+def _labelled(df: DataFrame, text: str, language: str) -> DataFrame:
+    named = df.select(as_column(text).cast("string").alias("text"), as_column(language).cast("string").alias("lang"))
+    return named.filter("text IS NOT NULL AND lang IS NOT NULL").withColumn("hash", F.xxhash64("text"))
+
+
+def _words(text: str) -> list[str]:
+    """The runs of letters of a text, long ones in pieces of WORD_LETTERS."""
+    points = _letters(text)
+    words = np.where(points > 0, points, 32).astype("<u4").tobytes().decode("utf-32-le", "replace").split()
+    if max(map(len, words), default=0) <= WORD_LETTERS:
+        return words
+    return [w[i : i + WORD_LETTERS] for w in words for i in range(0, len(w), WORD_LETTERS)]
+
+
+def _commonest(named: DataFrame) -> dict[str, list[str]]:
+    """The MOST_WORDS commonest words of each language over all its different texts, ties in order of the words."""
+
+    def count(batches):
+        seen, counts = set(), {}
+
+        def flushed():
+            rows = [(name, word, n) for name, found in counts.items() for word, n in found.items()]
+            counts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["lang", "word", "n"])
+
+        types = [pa.string(), pa.string(), pa.int64()]
+        for batch in batches:
+            for body, name, hashed in zip(*(c.to_pylist() for c in batch.columns)):
+                if (name, hashed) not in seen:
+                    seen.add((name, hashed))
+                    counts.setdefault(name, Counter()).update(_words(body))
+            if sum(map(len, counts.values())) > HELD_WORDS:
+                yield flushed()
+        if any(counts.values()):
+            yield flushed()
+
+    # copies meet in one task
+    apart = named.repartition(int(named.sparkSession.conf.get("spark.sql.shuffle.partitions")), "lang", "hash")
+    counted = apart.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    order = [F.desc("n"), "word"]
+    portions = Window.partitionBy("lang", F.pmod(F.xxhash64("word"), F.lit(16))).orderBy(*order)
+    few = counted.withColumn("place", F.row_number().over(portions)).filter(F.col("place") <= MOST_WORDS)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    best = few.withColumn("place", place).filter(F.col("place") <= MOST_WORDS)
+    found: dict[str, list[str]] = {}
+    for row in best.orderBy("lang", "place").collect():
+        found.setdefault(row["lang"], []).append(row["word"])
+    return found
+
+
+def _passages(named: DataFrame, words: dict[str, dict[str, int]]) -> dict[str, list[tuple[int, int]]]:
+    """For each language and the rank of a word the best passage that begins with it.
+
+    A passage is a number: how many words follow, the sum of their ranks, and their ranks; the highest is the best.
+    It ends in front of a word that is not among ``words``.
+    """
+
+    def best_of(batches):
+        best = {name: np.full(MOST_WORDS + 1, -1) for name in words}
+        for batch in batches:
+            for name in set(batch.column(1).to_pylist()) & set(words):
+                texts = batch.filter(pc.equal(batch.column(1), name)).column(0).to_pylist()
+                get, ranks = words[name].get, []
+                for body in texts:
+                    ranks += [get(w, 0) for w in _words(body)]
+                    ranks += [0] * len(_PLACES)
+                at = np.array(ranks, np.int64)
+                n = len(at) - len(_PLACES)
+                running, follow, total, code = np.ones(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+                for ahead, shift in enumerate(_PLACES, 1):
+                    rank = at[ahead : ahead + n]
+                    running &= rank > 0
+                    rank = rank * running
+                    follow, total, code = follow + running, total + rank, code | rank << shift
+                np.maximum.at(best[name], at[:n], follow << 50 | total << 36 | code)
+        for name, codes in best.items():
+            rank = np.nonzero(codes[1:] >= 0)[0] + 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(rank), pa.string()), pa.array(rank), pa.array(codes[rank])], names=["lang", "rank", "code"]
+            )
+
+    rows = named.select("text", "lang").mapInArrow(best_of, "lang string, rank long, code long")
+    found: dict[str, list[tuple[int, int]]] = {}
+    for row in rows.groupBy("lang", "rank").agg(F.max("code").alias("code")).collect():
+        found.setdefault(row["lang"], []).append((row["rank"], row["code"]))
+    return found
 
 
 def limits(
     df: DataFrame, training: tuple[tuple[str, str], ...], text: str = "text", language: str = "lang"
 ) -> dict[str, tuple[float, float]]:
-    """The most bits per letter and the least lead of each language's labelled texts that the automata were not built from.
+    """The most bits per letter and the least lead of all but a share 1 - CLEAN_SHARE of each language's labelled texts.
 
-    The driver parses at most TRAINING_TEXTS + CALIBRATION_TEXTS of each language. Languages with fewer than FEWEST_TEXTS have no limits.
+    All of them are parsed, and copies count once. Languages with fewer than FEWEST_TEXTS have no limits.
     """
-    _, rows = _learned(_labelled(df, text, language, TRAINING_TEXTS + CALIBRATION_TEXTS))
-    names, leads, bits = _parser(training).judged([body for _, body in rows])
-    own: dict[str, list[tuple[float, float]]] = {}
-    for (name, _), winner, lead, cost in zip(rows, names, leads, bits):
-        if name == winner:
-            own.setdefault(name, []).append((cost, lead))
-    return {
-        name: (
-            float(np.quantile([c for c, _ in found], CLEAN_SHARE, method="higher")),
-            float(np.quantile([lead for _, lead in found], 1 - CLEAN_SHARE, method="lower")),
-        )
-        for name, found in own.items()
-        if len(found) >= FEWEST_TEXTS
-    }
-
-
-def _labelled(df: DataFrame, text: str, language: str, most: int) -> list[tuple[str, str]]:
-    """(language, text) of the first ``most`` labelled texts of each language by hash.
-
-    Copies count once. Only hashes are compared over all rows; the texts behind the chosen
-    ones come to the driver, at most TRAINING_CHARACTERS of each.
-    """
-    named = df.select(as_column(text).cast("string").alias("text"), as_column(language).cast("string").alias("lang"))
-    named = named.filter("text IS NOT NULL AND lang IS NOT NULL").withColumn("hash", F.xxhash64("text"))
-    first = Window.partitionBy("lang").orderBy("hash")
-    chosen = named.select("lang", "hash").distinct().withColumn("place", F.row_number().over(first))
-    chosen = chosen.filter(F.col("place") <= most).drop("place")
-    # ``most`` rows of 40 bytes for every language
-    texts = named.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "hash")
-    rows = texts.agg(F.min(F.left("text", F.lit(TRAINING_CHARACTERS))).alias("text")).orderBy("lang", "hash").collect()
-    return [(r["lang"], r["text"]) for r in rows]
+    fields = "winner string, lead double, bits double"
+    judged = add_to_rows(_labelled(df, text, language), "text", ["lang", "hash"], fields, lambda texts: _parser(training).judged(texts))
+    own = judged.filter("lang = winner").dropDuplicates(["lang", "hash"]).groupBy("lang").agg(
+        F.percentile_approx("bits", CLEAN_SHARE, 10_000).alias("bits"),
+        F.percentile_approx("lead", 1 - CLEAN_SHARE, 10_000).alias("lead"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    return {r["lang"]: (r["bits"], r["lead"]) for r in own.collect() if r["n"] >= FEWEST_TEXTS}
 
 
 def identify(

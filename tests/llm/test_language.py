@@ -100,3 +100,33 @@ def test_texts_of_an_unlearned_language_go(spark):
     assert kept.lang.isin(["de", "en", "es"]).sum() >= 0.98 * tested.lang.isin(["de", "en", "es"]).sum()
     print("unlearned kept", (kept.lang == "fr").sum(), "of", (tested.lang == "fr").sum())
     print("learned kept", kept.lang.isin(["de", "en", "es"]).sum(), "of", tested.lang.isin(["de", "en", "es"]).sum())
+
+
+def test_words_of_all_texts_are_learned(spark):
+    """No few texts, and not only their beginnings: a word at the end of every tenth long text is learned."""
+    draw = random.Random(3)
+    letters = "abcdefghij"
+    rows = [
+        (" ".join("".join(draw.choice(letters) for _ in range(9)) for _ in range(300)) + (" zyzzyva" if i % 10 == 0 else ""), "en")
+        for i in range(200)
+    ]
+    ((_, learned),) = language.training_texts(spark.createDataFrame(rows, "text string, lang string"))
+    assert "zyzzyva" in learned.split() and len(learned) <= language.TRAINING_CHARACTERS
+
+
+def test_limits_are_those_of_all_texts(spark):
+    draw = random.Random(5)
+    texts = ["".join(draw.choice("abcd   ") for _ in range(draw.randint(20, 200))) for _ in range(1000)]
+    df = spark.createDataFrame([(t, "en") for t in texts + texts[:300]], "text string, lang string")
+    training = language.training_texts(df)
+    found = language.limits(df, training)["en"]
+    _, leads, bits = language._parser(training).judged(texts)
+    assert found == (sorted(bits)[989], sorted(leads)[9])
+
+
+def test_words_and_copies_are_counted(spark):
+    texts = ["one two three", "two three", "three", "three", "three", "donaudampfschifffahrt " * 4]
+    df = spark.createDataFrame([(t, "en") for t in texts] + [("x", None), (None, "en")], "text string, lang string")
+    assert language._commonest(language._labelled(df, "text", "lang")) == {
+        "en": ["donaudampfsc", "hifffahrt", "three", "two", "one"]
+    }
