@@ -22,11 +22,12 @@ BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let Spark hand over texts in batches of few rows: by default one holds 10,000 texts, several times over.
+    """Let Spark read and hand over texts in batches of few rows: by default one holds 4,096 or 10,000 texts, several times over.
 
-    A setting of the session, so that queries and pipelines set it, not operators.
+    Settings of the session, so that queries and pipelines set them, not operators.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", ROWS_AT_ONCE)
 
 
 def light_batches(spark: SparkSession) -> None:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import as_column
@@ -202,21 +202,20 @@ def threshold(scores: DataFrame, labels: DataFrame, key: str, label: str, false_
     return step * SCORE_STEP
 
 
-def _judged(stats: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
-    """Rows with statistics, ``base_failed``, ``score`` and ``kept``; a forest is grown and its threshold set on them."""
-    stats = stats.withColumn("base_failed", base_failed())
-    known = stats.select(key, "features", "base_failed")
-    forest = grow(known, most=ordinary(known.filter("NOT base_failed"), labels, key, label))
-    scores = stored(scored(stats, forest), "scores")
-    limit = threshold(scores.select(key, "score", "base_failed").filter("NOT base_failed"), labels, key, label)
-    return scores.withColumn("kept", ~F.col("base_failed") & (F.floor(F.col("score") / SCORE_STEP) * SCORE_STEP < limit))
+def _below(limit: float) -> Column:
+    return F.floor(F.col("score") / SCORE_STEP) * SCORE_STEP < limit
 
 
 def judge(
     df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality"
 ) -> DataFrame:
-    """Statistics of every row, ``base_failed``, ``score`` and ``kept``."""
-    return _judged(stored(rule_statistics(df, text, (key,)), "statistics"), labels, key, label)
+    """Statistics of every row, ``base_failed``, ``score`` and ``kept``; a forest is grown and its threshold set on them."""
+    stats = stored(rule_statistics(df, text, (key,)), "statistics").withColumn("base_failed", base_failed())
+    known = stats.select(key, "features", "base_failed")
+    forest = grow(known, most=ordinary(known.filter("NOT base_failed"), labels, key, label))
+    scores = stored(scored(stats, forest), "scores")
+    limit = threshold(scores.select(key, "score", "base_failed").filter("NOT base_failed"), labels, key, label)
+    return scores.withColumn("kept", ~F.col("base_failed") & _below(limit))
 
 
 def keep_good(
@@ -224,13 +223,17 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``df`` that ``judge`` keeps, judged row by row, so that keys need not be unique.
 
-    Texts are read once; rows are stored under a number with their statistics, and found again by the numbers of those kept.
+    Rows are stored with their statistics; those that the rules keep are scored and dropped as they are read, without a shuffle of texts.
     """
     named = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     names = named.columns
-    rows = rule_statistics(named, names[df.columns.index(text)], names)
-    rows = stored(rows.select("*", F.monotonically_increasing_id().alias("_row")), "statistics")
-    # the judgement needs no texts
-    stats = rows.select(F.col(names[df.columns.index(key)]).alias(key), "_row", *_STATISTICS)
-    kept = _judged(stats, labels, key, label).filter("kept").select("_row")
-    return rows.join(kept, "_row", "left_semi").select(*names).toDF(*df.columns)
+    rows = stored(rule_statistics(named, names[df.columns.index(text)], names), "statistics")
+    # what is learned needs no texts, and the threshold only the labelled rows
+    stats = rows.select(F.col(names[df.columns.index(key)]).alias(key), *_STATISTICS).withColumn("base_failed", base_failed())
+    known = stats.select(key, "features", "base_failed")
+    fine = known.filter("NOT base_failed")
+    forest = grow(known, most=ordinary(fine, labels, key, label))
+    labelled = fine.join(_marked(labels, key, label).select(key), key, "left_semi")
+    limit = threshold(scored(labelled, forest), labels, key, label)
+    judged = scored(rows.filter(~base_failed()).select(*names, "features"), forest)
+    return judged.filter(_below(limit)).select(*names).toDF(*df.columns)

@@ -3,6 +3,7 @@ import numpy as np
 import pandas as pd
 
 from ledgerloom.llm import quality
+from ledgerloom.llm.common import small_batches
 from ledgerloom.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
@@ -87,3 +88,15 @@ def test_menus_go_and_labelled_bad_documents_too(spark):
     fine = fine[~fine.base_failed]
     assert (~fine[fine.quality == 0].kept).mean() >= 0.95
     assert fine[fine.quality == 1].kept.mean() >= 1 - quality.FALSE_REJECTS
+
+
+def test_texts_are_not_shuffled_to_drop_rows(spark):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    kept = quality.keep_good(documents, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_texts_are_read_in_small_batches(spark):
+    small_batches(spark)
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 256
