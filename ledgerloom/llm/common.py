@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -42,6 +43,23 @@ def pieces(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Itera
             yield batch.slice(start, rows)
 
 
+def giving_back(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run``, with the memory that a task has freed handed back to the system at its end.
+
+    Python processes outlive their tasks and wait beside those of later stages; allocators keep what was freed, here as much
+    again as is in use.
+    """
+
+    def held_no_longer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        # only glibc has it
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return held_no_longer
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """The texts of a column, NULL as the empty text."""
     return [t or "" for t in column.to_pylist()]

@@ -31,7 +31,7 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerloom.functions.columns import as_column
-from ledgerloom.llm.common import pieces, texts_of
+from ledgerloom.llm.common import giving_back, pieces, texts_of
 from ledgerloom.llm.vocabulary import BYTE_BPE, REMEMBERED_WORDS, TEXTS_AT_ONCE, encoded
 
 TIERS = (2048, 1024, 512, 256)
@@ -186,4 +186,4 @@ def pack(
         yield emptied(last=True)
 
     chosen = df.select(as_column(key).alias("_key"), as_column(text).cast("string").alias("_text"))
-    return chosen.mapInArrow(run, schema).toDF(key, *added.names)
+    return chosen.mapInArrow(giving_back(run), schema).toDF(key, *added.names)

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 
 from ledgerloom.llm import packing
+from ledgerloom.llm.common import giving_back
 from ledgerloom.llm.queries import QUERIES
 from ledgerloom.llm.vocabulary import encoded
 
@@ -64,3 +65,27 @@ def test_hard_rows(spark):
     assert rows.doc_id.isna().sum() == 2
     assert (rows.ids.map(len) == 4 * rows.length).all()
     assert packing.pack(brute.no_rows(spark)).count() == 0
+
+
+def _held_mb() -> int:
+    return next(int(line.split()[1]) for line in open("/proc/self/status") if line.startswith("RssAnon")) >> 10
+
+
+def test_freed_memory_is_given_back():
+    """128 MB in blocks that the allocator keeps when they are freed, because a later one stays."""
+    stays = []
+
+    def run(batches):
+        blocks = [np.ones(8_000) for _ in range(2_000)]
+        stays.append(np.ones(8_000))
+        yield len(blocks)
+
+    before = _held_mb()
+    assert list(giving_back(run)([])) == [2_000]
+    assert _held_mb() - before < 60
+
+
+def test_packing_gives_memory_back(spark, monkeypatch):
+    wrapped = []
+    monkeypatch.setattr(packing, "giving_back", lambda run: wrapped.append(run) or run)
+    assert packing.pack(spark.createDataFrame([(1, "some words")], "doc_id long, text string")).count() and len(wrapped) == 1

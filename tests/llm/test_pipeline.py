@@ -8,6 +8,7 @@ import brute
 import corpus_pipeline
 
 from ledgerloom.llm import simhash
+from ledgerloom.llm.common import ROWS_AT_ONCE
 
 ROOT = Path(__file__).resolve().parents[2]
 FOLDER = "/root/testdata/sf0.001"
@@ -56,3 +57,19 @@ def test_all_queries_are_registered():
 
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+
+
+def test_personal_data_is_read_in_small_batches(spark):
+    """Also when no stage before has set them."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for n in names:
+            spark.conf.set(n, 4096)
+        docs = spark.createDataFrame([(1, "write to a@b.org")], "doc_id long, text string")
+        out = corpus_pipeline.replace_personal_data(spark, docs, FOLDER).collect()
+        assert [r["text"] for r in out] == ["write to [EMAIL]"]
+        assert [int(spark.conf.get(n)) for n in names] == [ROWS_AT_ONCE] * 2
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
