@@ -17,7 +17,7 @@ import base64
 import struct
 from collections.abc import Sequence
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
@@ -92,21 +92,23 @@ class Codec:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(self.tokens))
         self.words = WordCache(self._encode, np.array([len(t) for t in self.tokens]))
 
+    def _apart(self, pre_tokens: Sequence[str]) -> list[list[int]]:
+        """The ids of each pre-token. All are mapped at once, and one call encodes them: a call costs as much as many pre-tokens."""
+        raw = [p.encode() for p in pre_tokens]
+        mapped, ends = _mapped(b"".join(raw)), list(accumulate(map(len, raw)))
+        flat = [mapped[i:j] for i, j in zip([0, *ends], ends)]
+        return self.model.encode(flat, num_threads=1) if flat else []
+
     def _encode(self, text: str) -> np.ndarray:
         """The pre-tokens of a text, encoded separately."""
-        pre_tokens = self.pattern.findall(text)
-        mapped = _mapped(text.encode())
-        ends = np.cumsum([len(p.encode()) for p in pre_tokens]).tolist()
-        flat = [mapped[i:j] for i, j in zip([0, *ends], ends)]
-        ids = self.model.encode(flat, num_threads=1) if flat else []
-        return np.fromiter(chain.from_iterable(ids), np.int64)
+        return np.fromiter(chain.from_iterable(self._apart(self.pattern.findall(text))), np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(ids, "<i4") for ids in self.words.values_of(texts)]
 
     def sizes(self, pre_tokens: Sequence[str]) -> list[int]:
         """Tokens of each pre-token."""
-        return [len(ids) for ids in self.model.encode([_mapped(p.encode()) for p in pre_tokens], num_threads=1)] if pre_tokens else []
+        return list(map(len, self._apart(pre_tokens)))
 
     def decode(self, ids: Sequence[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))

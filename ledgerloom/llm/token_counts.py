@@ -34,6 +34,8 @@ REMEMBERED = 500_000
 # Characters behind an edit that are looked at first, and characters behind a match that its end may depend on.
 WINDOW = 256
 LOOKAHEAD = 8
+# New pre-tokens that wait to be counted together, a window more at most.
+COUNTED_AT_ONCE = 100_000
 
 EDITS = "array<struct<start:int,stop:int,replacement:string>>"
 
@@ -118,18 +120,15 @@ class Tree:
                 node += 1
         return node - self.leaves, start
 
-    def replace(self, first: int, stop: int, characters: np.ndarray, tokens: np.ndarray) -> None:
-        """New pre-tokens for the leaves from ``first`` to before ``stop``, and new sums above them."""
-        n = stop - first
-        dealt = np.zeros((2, n), np.int64)
-        place = np.arange(len(characters)) * n // max(1, len(characters))
-        np.add.at(dealt, (slice(None), place), np.stack([characters, tokens]))
+    def replace(self, row: int, first: int, stop: int, values: np.ndarray) -> None:
+        """Characters or tokens of new pre-tokens for the leaves from ``first`` to before ``stop``, and new sums above them."""
+        n, sums = stop - first, self.sums[row]
+        place = np.arange(len(values)) * n // max(1, len(values))
         low, high = first + self.leaves, stop - 1 + self.leaves
-        self.sums[:, low : high + 1] = dealt
+        sums[low : high + 1] = np.bincount(place, values, n)
         while low > 1:
             low, high = low // 2, high // 2
-            below = self.sums[:, 2 * low : 2 * high + 2]
-            self.sums[:, low : high + 1] = below[:, ::2] + below[:, 1::2]
+            sums[low : high + 1] = sums[2 * low : 2 * high + 2].reshape(-1, 2).sum(axis=1)
 
 
 def tidy(edits: Sequence[dict] | None, size: int) -> list[tuple[int, int, str]]:
@@ -155,11 +154,15 @@ def _front(pieces: Sequence[str], size: int) -> tuple[str, bool]:
     return "".join(found)[:size], n <= size
 
 
-def _recut(before: str, tree: Tree, start: int, stop: int, replacement: str, pieces: Sequence[str], counts: Counts) -> int:
-    """Change the tree for one edit of a text whose first ``start`` characters are those of ``before``.
+# A tree, its leaves from the first to before the last, and the new pre-tokens of these.
+Recut = tuple[Tree, int, int, list[str]]
+
+
+def _recut(before: str, tree: Tree, start: int, stop: int, replacement: str, pieces: Sequence[str], counts: Counts) -> tuple[Recut, int]:
+    """Change the characters in the tree for one edit of a text whose first ``start`` characters are those of ``before``.
 
     ``pieces`` is the text behind ``stop``. Only a window around the edit is put together; it grows until the cuts
-    behind the edit fall on an old boundary. The number of characters encoded again is returned.
+    behind the edit fall on an old boundary. What is left to be counted and the number of characters encoded again are returned.
     """
     leaf, low = tree.find(max(0, start - 1))
     if low > 0:
@@ -187,29 +190,54 @@ def _recut(before: str, tree: Tree, start: int, stop: int, replacement: str, pie
         if last is not None or is_all:
             break
         size *= 4
-    counts.learn(pre_tokens)
-    sizes = np.array([len(p) for p in pre_tokens], np.int64)
-    tree.replace(leaf, tree.leaves if last is None else last, sizes, counts.of(pre_tokens))
-    return at - low
+    end = tree.leaves if last is None else last
+    tree.replace(0, leaf, end, np.fromiter(map(len, pre_tokens), np.int64, len(pre_tokens)))
+    return (tree, leaf, end, pre_tokens), at - low
 
 
-def edit_all(text: str, tree: Tree, changes: Sequence[tuple[int, int, str]], counts: Counts) -> tuple[str, int]:
-    """The text after edits in order and without overlaps, whose tree is changed in place, and the number of characters encoded again.
+def _count(recuts: Sequence[Recut], counts: Counts) -> None:
+    """The tokens of new pre-tokens in their trees, in the order of the edits; those of many edits and trees are learned together."""
+    counts.learn(set().union(*(pre_tokens for *_, pre_tokens in recuts)))
+    for tree, leaf, end, pre_tokens in recuts:
+        tree.replace(1, leaf, end, counts.of(pre_tokens))
+
 
-    Edits are made from the back, so that places are those of the text before; the text is put together once.
+def edit_each(
+    texts: Sequence[str], trees: Sequence[Tree], changes: Sequence[Sequence[tuple[int, int, str]]], counts: Counts
+) -> tuple[list[str], list[int]]:
+    """The texts after edits in order and without overlaps, whose trees are changed in place, and the numbers of characters encoded again.
+
+    Edits are made from the back, so that places are those of the text before; a text is put together once.
     """
-    pieces, free, again = [], len(text), 0
-    for start, stop, replacement in reversed(changes):
-        pieces.append(text[stop:free])
-        again += _recut(text, tree, start, stop, replacement, pieces, counts)
-        pieces.append(replacement)
-        free = start
-    pieces.append(text[:free])
-    return "".join(reversed(pieces)), again
+    edited, again, recuts, waiting = [], [], [], 0
+    for text, tree, own in zip(texts, trees, changes):
+        pieces, free, n = [], len(text), 0
+        for start, stop, replacement in reversed(own):
+            pieces.append(text[stop:free])
+            recut, size = _recut(text, tree, start, stop, replacement, pieces, counts)
+            recuts.append(recut)
+            waiting += len(recut[-1])
+            if waiting >= COUNTED_AT_ONCE:
+                _count(recuts, counts)
+                recuts, waiting = [], 0
+            n += size
+            pieces.append(replacement)
+            free = start
+        pieces.append(text[:free])
+        edited.append("".join(reversed(pieces)))
+        again.append(n)
+    _count(recuts, counts)
+    return edited, again
+
+
+def edit_all(text: str, tree: Tree, changes: Sequence[tuple[int, int, str]], counts: Counts) -> tuple[str, int]:
+    """The same for one text."""
+    edited, again = edit_each([text], [tree], [changes], counts)
+    return edited[0], again[0]
 
 
 def edit(text: str, tree: Tree, start: int, stop: int, replacement: str, counts: Counts) -> tuple[str, int]:
-    """The same for one edit."""
+    """The same for one edit of one text."""
     return edit_all(text, tree, [(start, stop, replacement)], counts)
 
 
@@ -244,12 +272,10 @@ def apply_edits(
 
     def run(part):
         counts = counts_of(path, pattern)
-        out = []
-        for text, raw, changes in zip(*(part.column(f"_{i}").to_pylist() for i in range(3))):
-            tree, changes = Tree.load(raw), tidy(changes, len(text))
-            text, again = edit_all(text, tree, changes, counts)
-            out.append((text, tree.dump(), tree.tokens, len(changes), again))
-        return list(zip(*out)) or [[]] * 5
+        texts, raw, given = (part.column(f"_{i}").to_pylist() for i in range(3))
+        trees, changes = list(map(Tree.load, raw)), [tidy(edits, len(text)) for edits, text in zip(given, texts)]
+        texts, again = edit_each(texts, trees, changes, counts)
+        return [texts, [t.dump() for t in trees], [t.tokens for t in trees], list(map(len, changes)), again]
 
     fields = "text string, tree binary, n_tokens long, n_edits long, n_reencoded long"
     given = F.col(edits) if isinstance(edits, str) else edits

@@ -1,8 +1,10 @@
 import random
+import re
 
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, token_counts
@@ -47,6 +49,53 @@ def test_tidy():
     assert token_counts.tidy(None, 10) == []
 
 
+def _applied(monkeypatch, texts, edits):
+    """What ``apply_edits`` gives for a batch of rows, and how many times pre-tokens were handed to the encoder."""
+    monkeypatch.setattr(token_counts, "map_rows", lambda df, inputs, keep, fields, run: run)
+    trees = []
+    for text in texts:
+        split = COUNTS.split(text)
+        COUNTS.learn(split)
+        trees.append(token_counts.Tree.build(np.array([len(p) for p in split], np.int64), COUNTS.of(split)).dump())
+    given = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("replacement", pa.string())]))
+    rows = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(trees, pa.binary()), pa.array(edits, given)], ["_0", "_1", "_2"])
+    calls, sizes = [], COUNTS.codec.sizes
+    monkeypatch.setattr(COUNTS.codec, "sizes", lambda new: calls.append(len(new)) or sizes(new))
+    after = token_counts.apply_edits(None, F.lit(None))(rows)
+    monkeypatch.undo()
+    return after, len(calls)
+
+
+def _many_edits(name):
+    """Every number of every text is replaced by a word that no other edit has."""
+    texts = [f"text {i} has some words, 10 or 20 of them, and ends {i}." * 5 for i in range(40)]
+    return texts, [
+        [{"start": m.start(), "stop": m.end(), "replacement": f"{name}{chr(97 + i % 26)}{i // 26 * 'x'}{chr(97 + k)}"} for k, m in enumerate(re.finditer("[0-9]+", text))]
+        for i, text in enumerate(texts)
+    ]
+
+
+def _replaced(text, edits):
+    for e in reversed(edits):
+        text = text[: e["start"]] + e["replacement"] + text[e["stop"] :]
+    return text
+
+
+def test_the_edits_of_a_batch_are_counted_in_one_call(spark, monkeypatch):
+    texts, edits = _many_edits("once")
+    after, calls = _applied(monkeypatch, texts, edits)
+    assert calls == 1
+    assert list(after[0]) == [_replaced(*both) for both in zip(texts, edits)] and list(after[2]) == [plain(t) for t in after[0]]
+
+
+def test_waiting_pre_tokens_are_bounded(spark, monkeypatch):
+    texts, edits = _many_edits("bounded")
+    monkeypatch.setattr(token_counts, "COUNTED_AT_ONCE", 300)
+    after, calls = _applied(monkeypatch, texts, edits)
+    assert 1 < calls < sum(map(len, edits))
+    assert list(after[0]) == [_replaced(*both) for both in zip(texts, edits)] and list(after[2]) == [plain(t) for t in after[0]]
+
+
 def test_hard_rows(spark):
     rows = brute.hard_rows(spark)
     state = token_counts.build(rows, keep=("doc_id", "n_ids"))
