@@ -90,7 +90,7 @@ class Codec:
         self.tokens = read_ranks(path)
         self.pattern = regex.compile(pattern)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(self.tokens))
-        self.words = WordCache(self._encode, np.array([len(t) for t in self.tokens]))
+        self.words = WordCache(self._encode, np.array([len(t) for t in self.tokens]), lines=pattern == public_tokenizers.PATTERN)
 
     def _apart(self, pre_tokens: Sequence[str]) -> list[list[int]]:
         """The ids of each pre-token. All are mapped at once, and one call encodes them: a call costs as much as many pre-tokens."""

@@ -5,10 +5,14 @@ not white space, so a text is the sequence of its words, each with the space in
 front of it, and the ids of a word do not depend on its neighbours. Words are
 encoded by the tokenizer itself and remembered. Texts with white space next to a
 space, or at an end, are encoded whole.
+
+A pre-tokenizer that looks for nothing but ``public_tokenizers.PATTERN`` also splits in front of
+a run of line breaks behind other characters, so lines begin words of their own: the breaks and what follows up to the next space.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Sequence
 from functools import lru_cache
@@ -72,15 +76,26 @@ def _without_mark(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pc.if_else(cut, pc.utf8_slice_codeunits(words, 0, -1), words), mark
 
 
+def _lines_apart(text: str) -> str:
+    """The text with one more space in front of each run of line breaks, except behind a carriage return.
+
+    A run behind a space makes an empty word, one in front of a space a word that ends with white space; both are encoded whole.
+    """
+    # twice, since a break ends one replaced pair and cannot begin the next
+    apart = text.replace("\n", " \n").replace("\n \n", "\n\n").replace("\n \n", "\n\n")
+    return apart.replace("\r \n", "\r\n")
+
+
 class WordCache:
     """The ids of texts, each word (with the space in front of it) encoded once, as little-endian 32-bit integers.
 
     ``encode`` gives the ids of a text, ``lengths`` the bytes each id stands for. Words that begin or end with
     white space (or are empty) are not remembered, and their texts are encoded whole: the split next to those depends on their neighbours.
+    With ``lines`` the first word of a line is one by itself, with the line breaks in front of it.
     """
 
-    def __init__(self, encode: Callable[[str], np.ndarray], lengths: np.ndarray, most: int = REMEMBERED_WORDS):
-        self.encode, self.lengths, self.most = encode, lengths, most
+    def __init__(self, encode: Callable[[str], np.ndarray], lengths: np.ndarray, most: int = REMEMBERED_WORDS, lines: bool = False):
+        self.encode, self.lengths, self.most, self.lines = encode, lengths, most, lines
         self.inner, self.first = Remembered(), Remembered()
 
     def __len__(self) -> int:
@@ -90,10 +105,10 @@ class WordCache:
         """All words in one call: joined by white space they are still split where they meet."""
         if not words:
             return []
-        # the white space belongs to the word behind it, or is a token of its own
-        ids = self.encode(" " + " ".join(words) if space else "\n".join(words))
+        # the white space belongs to the word behind it, is a token of its own, or the words bring it along
+        ids = self.encode("".join(words) if space == "\n" else " " + " ".join(words) if space else "\n".join(words))
         raw, stops = ids.astype("<u4").tobytes(), np.cumsum(self.lengths[ids])
-        sizes = np.asarray(pc.binary_length(pa.array(words, pa.string()))).astype(np.int64) + 1
+        sizes = np.asarray(pc.binary_length(pa.array(words, pa.string()))).astype(np.int64) + (space != "\n")
         last = (np.searchsorted(stops, np.cumsum(sizes) - (not space)) + 1).tolist()
         start = [0] + (last[:-1] if space else [n + 1 for n in last[:-1]])
         return [raw[4 * i : 4 * j] for i, j in zip(start, last)]
@@ -104,12 +119,15 @@ class WordCache:
         found, missing = remembered.known(words)
         new = [words[i] for i in missing]
         # stripping gives back the very text if there is nothing to strip
-        safe = [bool(w) and same for w, same in zip(new, map(is_, map(str.strip, new), new))]
-        places, new = list(compress(missing, safe)), list(compress(new, safe))
-        ids = self._encode_words(new, space)
-        remembered.update(zip(new, ids))
-        for i, own in zip(places, ids):
-            found[i] = own
+        safe = {space: [bool(w) and same for w, same in zip(new, map(is_, map(str.strip, new), new))]}
+        if self.lines and space:
+            safe["\n"] = [w[:1] == "\n" and w.rstrip() is w for w in new]
+        for kind, chosen in safe.items():
+            places, words = list(compress(missing, chosen)), list(compress(new, chosen))
+            ids = self._encode_words(words, kind)
+            remembered.update(zip(words, ids))
+            for i, own in zip(places, ids):
+                found[i] = own
         remembered.age(self.most)
         return found
 
@@ -125,7 +143,7 @@ class WordCache:
         """The ids of every text."""
         if not len(texts):
             return []
-        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        lists = pc.split_pattern(pa.array(map(_lines_apart, texts) if self.lines else texts, pa.string()), " ")
         sizes = np.asarray(lists.value_lengths()).astype(np.int64)
         starts = np.cumsum(sizes) - sizes
         encoded = lists.flatten().dictionary_encode()
@@ -164,7 +182,10 @@ def _byte_bpe(path: str) -> WordCache:
     def encode(text: str) -> np.ndarray:
         return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
 
-    return WordCache(encode, lengths)
+    known = json.loads(tokenizer.to_str())
+    given = known["pre_tokenizer"] or {}
+    lines = given.get("type") == "ByteLevel" and given["use_regex"] and not given["add_prefix_space"] and known["normalizer"] is None
+    return WordCache(encode, lengths, lines=lines)
 
 
 def encoded(texts: list[str], path: str = BYTE_BPE, words: int = REMEMBERED_WORDS) -> list[bytes]:
